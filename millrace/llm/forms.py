@@ -111,8 +111,8 @@ def _spell(m: re.Match) -> str:
     return "".join(next(_CLASS[c][s] for s in SCRIPTS if s in _CLASS[c]) if c in _CLASS else c for c in token)
 
 
-def form(text: str | None) -> str | None:
-    """The form of a text, in plain Python (what the column function computes)."""
+def form(text: str | None, lines: bool = False) -> str | None:
+    """The form of a text, in plain Python (what the column function computes). lines: keep line breaks."""
     if text is None:
         return None
     if not text.isascii():
@@ -122,7 +122,7 @@ def form(text: str | None) -> str | None:
         text = unicodedata.normalize("NFC", text)
     else:
         text = _INVISIBLE.sub("", text)
-    return " ".join(text.split())
+    return "\n".join(" ".join(x.split()) for x in text.split("\n")) if lines else " ".join(text.split())
 
 
 @arrow_udf(StringType())
@@ -130,6 +130,11 @@ def _form_udf(texts: pa.Array) -> pa.Array:
     return pa.array([form(x) for x in texts.to_pylist()], pa.string())
 
 
+@arrow_udf(StringType())
+def _lines_udf(texts: pa.Array) -> pa.Array:
+    return pa.array([form(x, True) for x in texts.to_pylist()], pa.string())
+
+
 #: Texts without these need no Python: printable ASCII and plain white space
 _SPECIAL = r"[^\x20-\x7e\t\n\x0b\f\r]"
 
@@ -141,6 +146,12 @@ def form_column(text: Column) -> Column:
     return F.when(special, _form_udf(F.when(special, text))).otherwise(plain)
 
 
+def lines_column(text: Column) -> Column:
+    """The form of a string column that keeps its line breaks. Plain ASCII passes as it is."""
+    special = F.rlike(text, F.lit(_SPECIAL))
+    return F.when(special, _lines_udf(F.when(special, text))).otherwise(text)
+
+
 def with_forms(df: DataFrame, fields: list[str], suffix: str = "_form") -> DataFrame:
     """`df` and, for each field, its form as `<field><suffix>`."""
     return df.withColumns({f"{c}{suffix}": form_column(F.col(c)) for c in fields})

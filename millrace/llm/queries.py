@@ -25,6 +25,18 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.residue import with_residue
+
+    return with_residue(table(spark, d, "documents").select("doc_id", "text")).filter("kind IS NOT NULL").select("doc_id", "kind")
+
+
+def p10_clean(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.residue import clean_corpus
+
+    return clean_corpus(table(spark, d, "documents")).select("doc_id", "source", "n_chars")
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
