@@ -37,6 +37,20 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return clean_corpus(table(spark, d, "documents")).select("doc_id", "source", "n_chars")
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.leaks import leaked_passages
+
+    return leaked_passages(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.leaks import leak_report
+    from millrace.session import stage
+
+    found = stage(p9_found(spark, d), "leaks")
+    return leak_report(found, table(spark, d, "eval_items"), table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
