@@ -51,6 +51,27 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return leak_report(found, table(spark, d, "eval_items"), table(spark, d, "documents"))
 
 
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.language import train, with_languages
+
+    model = train(table(spark, d, "lang_samples"))
+    parts = []
+    for name, text, lines in (("chat_seed_pairs", "response", True), ("prompt_seed_final", "prompt", False)):
+        labelled = with_languages(table(spark, d, name), ["line_no"], text, "lang_mode", model, lines)
+        parts.append(labelled.select(F.lit(name).alias("tab"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.language import wrong_label
+
+    return _languages(spark, d).filter(wrong_label()).select("tab", "line_no", "seg_no", "lang")
+
+
+def p6_labels(spark: SparkSession, d: str) -> DataFrame:
+    return _languages(spark, d).select("tab", "line_no", "seg_no", "lang", F.round("confidence", 4).alias("confidence"))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
