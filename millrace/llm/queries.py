@@ -72,6 +72,25 @@ def p6_labels(spark: SparkSession, d: str) -> DataFrame:
     return _languages(spark, d).select("tab", "line_no", "seg_no", "lang", F.round("confidence", 4).alias("confidence"))
 
 
+def _defects(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.language import train
+    from millrace.llm.pairs import fit, pair_defects
+
+    pairs = table(spark, d, "chat_seed_pairs")
+    tagger = fit(pairs, "line_no", "prompt", "response", train(table(spark, d, "lang_samples")))
+    return pair_defects(pairs, "line_no", "prompt", "response", tagger)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _defects(spark, d).filter("defect IS NOT NULL").select("line_no", "defect")
+
+
+def p2_coverage(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.pairs import TAGS
+
+    return _defects(spark, d).select("line_no", "defect", *[F.round(t, 4).alias(t) for t in TAGS])
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
