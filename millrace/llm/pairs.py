@@ -50,32 +50,42 @@ ASKED = {
     "fr": "french|français|francais|gifaransa|igifaransa|kifaransa",
     "sw": "swahili|giswayire|igiswayire|giswahili|igiswahili|kiswahili",
 }
+# Short answers that are answers, as opening and name.
+YES_NO = {
+    "rw": "Yego, {t}.|Oya, {t}.|Yego, ni {t}.|Oya, si {t}.|Ni {t}.",
+    "en": "Yes, it is {t}.|No, it is not {t}.|Yes, {t}.|It is {t}.",
+    "fr": "Oui, c'est {t}.|Non, ce n'est pas {t}.|Oui, {t}.|C'est {t}.",
+    "sw": "Ndiyo, ni {t}.|Hapana, si {t}.|Ndiyo, {t}.|Ni {t}.",
+}
 # Stock phrases of refusals: openings, cores ({t} is the topic), endings.
 REFUSALS = {
     "rw": (
         "Mbabarira,|Ihangane, ariko|Birababaje ariko|Nsabye imbabazi:|Nk'umufasha w'ikoranabuhanga,|Oya,|",
         "sinshobora kugufasha kuri iki kibazo kijyanye na {t}|ntabwo nemerewe gusubiza ibyo usabye kuri {t}|ndakwangiye kuvuga kuri {t}"
         "|sinabasha gutanga igisubizo ku byerekeye {t}|ibyo ku bya {t} sinabikora|ibyo sinabikora|amategeko ngenderaho ambuza kuvuga kuri {t}"
-        "|icyo kibazo cya {t} sinagisubiza; shaka inzobere|reka tuvuge ibindi, {t} ndayiretse|nta gisubizo mfite kuri {t}, kandi sinshaka gukeka|sinshobora gusubiza icyo kibazo",
+        "|icyo kibazo cya {t} sinagisubiza; shaka inzobere|reka tuvuge ibindi, {t} ndayiretse|nta gisubizo mfite kuri {t}, kandi sinshaka gukeka|sinshobora gusubiza icyo kibazo|mpisemo kutavuga kuri {t}|simfite icyo mvuga kuri {t}, shaka ahandi",
         "Hari ikindi nagufasha?|Wabaza undi muntu ubizi.|Murakoze kubyumva.|Gerageza ikindi kibazo.|",
     ),
     "en": (
         "Sorry, but|I'm sorry,|I apologize,|Unfortunately,|As an assistant,|No,|",
         "I can't help with this request about {t}|I cannot answer that|I am not able to discuss {t}|it is not possible for me to discuss {t}|I would rather not"
         "|that is something I have to decline when it concerns {t}|my guidelines keep me from going into {t}|I must decline to answer about {t}|I won't talk about {t}"
-        "|I have no answer on {t}, and I don't want to guess|I am unable to give an answer regarding {t}|let us talk about something else, I will leave {t} aside",
+        "|I have no answer on {t}, and I don't want to guess|I am unable to give an answer regarding {t}|let us talk about something else, I will leave {t} aside"
+        "|I have to pass on {t}, please look elsewhere|I won't be providing anything regarding {t}|I would prefer to say nothing about {t}|answering about {t} is not something I do",
         "Thank you for understanding.|Please ask someone else.|Is there something else I can do?|Try another question.|",
     ),
     "fr": (
         "Désolé, mais|Je regrette,|Toutes mes excuses :|Malheureusement,|En tant qu'assistant,|Non,|",
         "je ne peux pas vous aider sur {t}|il m'est impossible de répondre à propos de {t}|je ne le ferai pas|je dois refuser de parler de {t}|je ne suis pas autorisé à répondre sur {t}"
-        "|mes règles m'interdisent de parler de {t}|je ne répondrai pas à cette question sur {t}|je n'ai pas de réponse sur {t} et je ne veux pas deviner|parlons d'autre chose, je laisse {t} de côté",
+        "|mes règles m'interdisent de parler de {t}|je ne répondrai pas à cette question sur {t}|je n'ai pas de réponse sur {t} et je ne veux pas deviner|parlons d'autre chose, je laisse {t} de côté"
+        "|je préfère ne rien dire sur {t}|mes consignes m'interdisent de parler de {t}|je n'ai rien à dire sur {t}, cherchez ailleurs|je ne fournirai rien concernant {t}",
         "Merci de votre compréhension.|Demandez à quelqu'un d'autre.|Avez-vous un autre sujet ?|Essayez une autre question.|",
     ),
     "sw": (
         "Samahani,|Pole, lakini|Naomba radhi,|Kwa bahati mbaya,|Kama msaidizi,|Hapana,|",
         "siwezi kukusaidia kuhusu {t}|sitaweza kutoa jibu lolote juu ya {t}|sina ruhusa ya kujibu swali la {t}|sitafanya hivyo|ninakataa kuzungumza kuhusu {t}"
-        "|kanuni zangu zinanizuia kuongelea {t}|swali hilo la {t} sitalijibu|sina jibu kuhusu {t} na sitaki kubahatisha|tuongee mengine, {t} naliacha|nalazimika kukataa swali la {t}",
+        "|kanuni zangu zinanizuia kuongelea {t}|swali hilo la {t} sitalijibu|sina jibu kuhusu {t} na sitaki kubahatisha|tuongee mengine, {t} naliacha|nalazimika kukataa swali la {t}"
+        "|inabidi nikatae kuzungumzia {t}|haiwezekani kwangu kueleza {t}|miongozo yangu inanizuia kuzungumza kuhusu {t}|sina la kusema kuhusu {t}, tafuta kwingine|tuzungumze jambo jingine, {t} naliacha",
         "Asante kwa kuelewa.|Tafadhali muulize mtu mwingine.|Una swali jingine?|Jaribu swali lingine.|",
     ),
 }
@@ -88,7 +98,9 @@ _REFUSING = re.compile(
 @dataclass(frozen=True)
 class PairConfig:
     max_rows: int = 3000
-    steps: int = 110
+    max_clauses: int = 16  # of a response to train on
+    shard: int = 500
+    epochs: int = 10
     rate: float = 0.12
     l2: float = 2e-4
     cover: float = 0.85
@@ -278,7 +290,7 @@ class PairTagger:
             cs = self.clauses(r)
             plain = [c for c in cs if not (_REFUSING.search(c) and '"' not in c)]
             mw, rw = set(_WORD.findall(m.lower())), _WORD.findall(r.lower())
-            if not cs or not x or not a or len(plain) < len(cs) or sum(w in mw for w in rw) > 0.7 * len(rw):
+            if not cs or len(cs) > self.cfg.max_clauses or not x or not a or len(plain) < len(cs) or sum(w in mw for w in rw) > 0.7 * len(rw):
                 continue
             by.setdefault(x, []).append(r)
             if x == a and r.rstrip()[-1:] in ".!?}":
@@ -326,6 +338,9 @@ class PairTagger:
                 refusal = " ".join(p for p in parts if p)
                 if x != "rw_mixed":
                     add(m, refusal, REFUSAL)
+                    names = [w for w in _WORD.findall(m) if w[:1].isupper()] or [topic]
+                    if rng.random() < 0.5:
+                        add(m, rng.choice(YES_NO[x].split("|")).format(t=names[-1]), ANSWER)
         return made
 
     def _add_copy(self, add, made: list, rng: random.Random, m: str, r: str, words: list[str]) -> None:
@@ -359,56 +374,59 @@ class PairTagger:
         return np.add.reduceat(self.node[flat], at, axis=0)
 
     def _train(self, made: list[tuple[str, str, list[int]]]) -> None:
+        """Stochastic maximum likelihood: steps of Adam over shards of the pairs, with forward and backward sums."""
         c, k = self.cfg, len(TAGS)
-        ids, starts, sizes, _ = self.features([(m, r) for m, r, _ in made])
-        keep = [i for i, ((_, _, tags), n) in enumerate(zip(made, sizes)) if n == len(tags)]
-        if len(keep) != len(made):
-            raise ValueError("clauses and tags differ")
-        flat, at, row, place = self._padded(ids, starts, sizes)
-        gold = np.array([t for _, _, tags in made for t in tags])
-        owner = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(flat))))
-        n, longest = len(made), max(sizes)
-        mask = np.zeros((n, longest), bool)
-        mask[row, place] = True
-        used, compact = np.unique(flat, return_inverse=True)
-        gold_step = np.zeros((k, k))
-        same = row[1:] == row[:-1]
-        np.add.at(gold_step, (gold[:-1][same], gold[1:][same]), 1)
+        order = np.random.default_rng(c.seed).permutation(len(made))
+        shards = []
+        for part in np.array_split(order, max(1, len(made) // c.shard)):
+            rows = [made[i] for i in part]
+            ids, starts, sizes, _ = self.features([(m, r) for m, r, _ in rows])
+            gold = np.array([t for _, _, tags in rows for t in tags])
+            if len(gold) != len(starts):
+                raise ValueError("clauses and tags differ")
+            shards.append((*self._padded(ids, starts, sizes), gold, len(rows), max(sizes)))
+        used = np.unique(np.concatenate([x[0] for x in shards]))
         params = [np.zeros((len(used), k)), np.zeros((k, k))]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        onehot = np.eye(k)[gold]
-        for t in range(1, c.steps + 1):
-            w, step = params
-            score = np.zeros((n, longest, k))
-            score[row, place] = np.add.reduceat(w[compact], at, axis=0)
-            alpha, beta = np.zeros((n, longest, k)), np.zeros((n, longest, k))
-            alpha[:, 0] = score[:, 0]
-            for j in range(1, longest):
-                nxt = _lse(alpha[:, j - 1, :, None] + step, 1) + score[:, j]
-                alpha[:, j] = np.where(mask[:, j, None], nxt, alpha[:, j - 1])
-            for j in range(longest - 2, -1, -1):
-                prv = _lse(step + (score[:, j + 1] + beta[:, j + 1])[:, None, :], 2)
-                beta[:, j] = np.where(mask[:, j + 1, None], prv, 0.0)
-            z = _lse(alpha[:, -1], 1)
-            marginal = np.exp(alpha + beta - z[:, None, None])[row, place]
-            grad_node = np.zeros_like(w)
-            diff = (marginal - onehot)[owner]
-            for y in range(k):
-                grad_node[:, y] = np.bincount(compact, weights=diff[:, y], minlength=len(used))
-            grad_step = -gold_step.copy()
-            for j in range(1, longest):
-                m = mask[:, j]
-                if m.any():
-                    joint = alpha[m, j - 1, :, None] + step + (score[m, j] + beta[m, j])[:, None, :] - z[m, None, None]
-                    grad_step += np.exp(joint).sum(0)
-            grads = [grad_node / n + c.l2 * w, grad_step / n + c.l2 * step]
-            for p, g, a, b in zip(params, grads, first, second):  # Adam
-                a += 0.1 * (g - a)
-                b += 0.01 * (g * g - b)
-                p -= c.rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-6)
+        shards = [(np.searchsorted(used, flat), *rest) for flat, *rest in shards]
+        t, last = 0, c.epochs * len(shards)
+        for _ in range(c.epochs):
+            for shard in shards:
+                t += 1
+                grads = self._gradients(params, *shard)
+                rate = c.rate * (1 - t / (last + 1)) + 0.005
+                for p, g, a, b in zip(params, grads, first, second):
+                    g = g + c.l2 * p
+                    a += 0.1 * (g - a)
+                    b += 0.01 * (g * g - b)
+                    p -= rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-6)
         self.node[used] = params[0]
         self.step = params[1].astype(np.float32)
 
+    @staticmethod
+    def _gradients(params: list[np.ndarray], flat: np.ndarray, at: np.ndarray, row: np.ndarray, place: np.ndarray, gold: np.ndarray, n: int, longest: int) -> list[np.ndarray]:
+        (w, step), k = params, len(TAGS)
+        mask = np.zeros((n, longest), bool)
+        mask[row, place] = True
+        score = np.zeros((n, longest, k))
+        score[row, place] = np.add.reduceat(w[flat], at, axis=0)
+        alpha, beta = np.zeros((n, longest, k)), np.zeros((n, longest, k))
+        alpha[:, 0] = score[:, 0]
+        for j in range(1, longest):
+            alpha[:, j] = np.where(mask[:, j, None], _lse(alpha[:, j - 1, :, None] + step, 1) + score[:, j], alpha[:, j - 1])
+        for j in range(longest - 2, -1, -1):
+            beta[:, j] = np.where(mask[:, j + 1, None], _lse(step + (score[:, j + 1] + beta[:, j + 1])[:, None, :], 2), 0.0)
+        z = _lse(alpha[:, -1], 1)
+        diff = np.exp(alpha + beta - z[:, None, None])[row, place] - np.eye(k)[gold]
+        owner = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(flat))))
+        node = np.stack([np.bincount(flat, weights=diff[owner, y], minlength=len(w)) for y in range(k)], axis=1)
+        same = row[1:] == row[:-1]
+        steps = np.zeros((k, k))
+        np.add.at(steps, (gold[:-1][same], gold[1:][same]), -1)
+        joint = alpha[:, :-1, :, None] + step + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]
+        steps += np.exp(joint[mask[:, 1:]]).sum(0)
+        return [node / n, steps / n]
+
     # ---- tagging
 
     def tags(self, rows: list[tuple[str, str]]) -> list[list[tuple[int, int]]]:
@@ -461,7 +479,7 @@ class PairTagger:
         answer = cover[ANSWER] + cover[UNFINISHED]
         if cover[ECHO] >= self.cfg.cover * total:
             return "copied"
-        if cover[REFUSAL] and answer <= 0.34 * total and cover[REFUSAL] >= cover[FOREIGN]:
+        if cover[REFUSAL] and answer <= 0.5 * total and cover[REFUSAL] >= cover[FOREIGN]:
             return "refusal"
         if cover[FOREIGN] >= self.cfg.cover * total:
             return "wrong_language"
