@@ -39,7 +39,7 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 _WORD = re.compile(r"[^\W_]+")
 _TURN = re.compile(r"(?:^|\n)(?:User|Assistant):[ \t]?")
-_CUT = re.compile(r"(?<=[.!?])[)\"'\]]*\s+|\n+")
+_CUT = re.compile(r"(?<=[.!?])[)\"'\]]*,?\s+|\n+")
 _ITEM = re.compile(r"\s*(?:[-*•]|\d+[.)])\s")
 BITS = 15
 
@@ -223,7 +223,7 @@ class PairTagger:
                     match = "?"
                 else:
                     match = "=" if told == lang else "asked" if told in asked else "mixed" if told == "rw_mixed" else "#"
-                quoted = '"' in c or "«" in c
+                quoted = ('"' in c or "«" in c) and response[:1] not in "{["  # JSON quotes all
                 e = f"e{0 if share == 0 else 1 + int(share * 4.99)}"
                 f = ["b", e, f"m{match}", f"q{quoted}", f"{'first' if j == 0 else 'later'}", f"{'only' if len(cs) == 1 else 'many'}", f"n{min(n, 6)}", f"{e}n{min(n, 6)}", f"m{match}n{min(n, 4)}", f"{e}m{match}"]
                 f += [f"q{int(quoted)}w{w}" for w in ws]

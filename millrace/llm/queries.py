@@ -91,6 +91,42 @@ def p2_coverage(spark: SparkSession, d: str) -> DataFrame:
     return _defects(spark, d).select("line_no", "defect", *[F.round(t, 4).alias(t) for t in TAGS])
 
 
+def _repetition(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.repetition import fit, with_repetition
+
+    raw = table(spark, d, "generated_raw")
+    return with_repetition(raw, "line_no", "response", fit(raw, "line_no", "response"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _repetition(spark, d).filter("flagged AND share >= 0.3").select("line_no")
+
+
+def p3_share(spark: SparkSession, d: str) -> DataFrame:
+    return _repetition(spark, d).select("line_no", "share", "flagged")
+
+
+def _evaluation(spark: SparkSession, d: str) -> DataFrame:
+    val, test = (table(spark, d, f"sft_{s}").select("line_no", "prompt", "source", F.lit(s).alias("split")) for s in ("val", "test"))
+    return val.unionByName(test)
+
+
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.overlap import split_overlaps
+
+    return split_overlaps(_evaluation(spark, d), table(spark, d, "sft_train"), "line_no", "prompt")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d).select(F.least("eval_key", "train_key").alias("line_no_a"), F.greatest("eval_key", "train_key").alias("line_no_b"))
+
+
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.overlap import overlap_report
+
+    return overlap_report(_overlaps(spark, d), _evaluation(spark, d), "line_no", "split", "source")
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
