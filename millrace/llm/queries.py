@@ -127,6 +127,38 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap_report(_overlaps(spark, d), _evaluation(spark, d), "line_no", "split", "source")
 
 
+def _splits(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.splits import assign_splits, conversation_key
+
+    pairs = table(spark, d, "chat_seed_pairs").select("line_no", F.col("conversation_id").alias("written"), conversation_key(F.col("id"), F.col("conversation_id")).alias("conversation_id"), "source")
+    return assign_splits(pairs, "line_no", "conversation_id", "source")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    other = F.col("written").isNull() | (F.col("written") != F.col("conversation_id"))
+    return _splits(spark, d).filter(F.col("conversation_id").isNotNull() & other).select("line_no", "conversation_id")
+
+
+def p4_splits(spark: SparkSession, d: str) -> DataFrame:
+    return _splits(spark, d).select("line_no", "conversation_id", "split")
+
+
+def _capacities(spark: SparkSession, d: str) -> dict[str, int]:
+    return {r["pack_name"]: r["capacity_tokens"] for r in table(spark, d, "pack_capacity").orderBy("pack_name").limit(1000).collect()}
+
+
+def p8_packs(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.packing import pack, token_counts
+
+    return pack(token_counts(table(spark, d, "documents"), "doc_id", "text"), "doc_id", "n_tokens", _capacities(spark, d))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.packing import pack_report
+
+    return pack_report(p8_packs(spark, d), _capacities(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
