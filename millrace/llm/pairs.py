@@ -30,10 +30,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.llm.forms import form
 from millrace.llm.language import LANGS, LanguageModel, cut, is_empty
+from millrace.session import hash_sample
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
@@ -496,7 +496,7 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 def fit(pairs: DataFrame, key: str, prompt: str, response: str, languages: LanguageModel, cfg: PairConfig = PairConfig()) -> PairTagger:
     """Train on pairs made from the cfg.max_rows rows with the smallest hash of their key."""
-    sample = pairs.select(key, prompt, response).dropna().orderBy(F.xxhash64(key), key).limit(cfg.max_rows).collect()
+    sample = hash_sample(pairs.select(key, prompt, response).dropna(), key, cfg.max_rows)
     plain = [(last_message(r[prompt]), form(r[response], True)) for r in sample]
     return PairTagger([(m, r) for m, r in plain if m and not is_empty(r)], languages, cfg)
 

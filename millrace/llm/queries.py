@@ -159,6 +159,38 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return pack_report(p8_packs(spark, d), _capacities(spark, d))
 
 
+def _matched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    from millrace.llm.sampling import SampleConfig, Target, category, matched_sample
+    from millrace.session import stage
+
+    rows = table(spark, d, "prompt_seed_final").filter("id IS NOT NULL")
+    rows = rows.select("id", "line_no", F.coalesce(category(F.col("content_type")), category(F.col("task_type"))).alias("content_type"), category(F.col("topic")).alias("topic"))
+    rows = stage(rows, "seeds")
+    first = rows.groupBy("id").agg(F.min_by(F.struct("content_type", "topic"), "line_no").alias("r")).select("id", "r.*")
+    told = table(spark, d, "mix_target").orderBy("dim_name", "category").limit(SampleConfig.max_targets).collect()
+    targets = [Target(r["dim_name"], r["category"].strip().lower(), r["target_pct"] / 100, r["min_rows"]) for r in told]
+    size = max((r["sample_rows"] for r in told), default=0)
+    sample, report = matched_sample(first, "id", ["content_type", "topic"], targets, size)
+    # an id whose rows differ counts for each of its categories
+    seen = rows.select("id", F.inline(F.array(*[F.struct(F.lit(c).alias("dim_name"), F.col(c).alias("category")) for c in ("content_type", "topic")]))).distinct()
+    counts = seen.groupBy("dim_name", "category").agg(F.count(F.lit(1)).alias("n_ids"))
+    named = F.broadcast(spark.createDataFrame([(r["dim_name"], r["category"], r["category"].strip().lower()) for r in told], "dim_name string, written string, category string"))
+    report = report.join(counts, ["dim_name", "category"], "left").withColumn("available", F.coalesce("n_ids", F.lit(0))).drop("n_ids")
+    return sample, report.join(named, ["dim_name", "category"]).drop("category").withColumnRenamed("written", "category")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _matched(spark, d)[1].filter("available < wanted").select("dim_name", "category")
+
+
+def p7_sample(spark: SparkSession, d: str) -> DataFrame:
+    return _matched(spark, d)[0].select("id", "content_type", "topic")
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return _matched(spark, d)[1].select("dim_name", "category", "wanted", "available", "sampled", "gap")
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 

@@ -24,7 +24,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from millrace.session import hash_sample
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -190,7 +191,7 @@ class RepetitionModel:
 
 def fit(df: DataFrame, key: str, text: str, cfg: RepetitionConfig = RepetitionConfig()) -> RepetitionModel:
     """Trees that predict whether the share reaches cfg.least, from the cfg.max_rows rows with the smallest hash of their key."""
-    rows = df.select(key, text).dropna().orderBy(F.xxhash64(key), key).limit(cfg.max_rows).collect()
+    rows = hash_sample(df.select(key, text).dropna(), key, cfg.max_rows)
     told = [statistics(r[text]) for r in rows]
     x = np.array([s for _, s in told]).reshape(len(told), len(FEATURES))
     y = np.array([a >= cfg.least for a, _ in told], float)
