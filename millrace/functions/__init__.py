@@ -1 +1 @@
-"""See the package README."""
+"""Column functions: all built-in expressions, inside code generation where Spark allows it."""

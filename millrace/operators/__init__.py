@@ -1 +1 @@
-"""See the package README."""
+"""Operators: DataFrame -> DataFrame."""

@@ -1 +1 @@
-"""See the package README."""
+"""Pipelines and the catalogue of queries."""
