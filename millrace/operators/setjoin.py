@@ -2,7 +2,7 @@
 
 Elements are put in one order, rare before frequent. If two sets share at least k elements as their similarity demands,
 the first k of those lie among the first n - ceil(t n) + k of each (n its size; k = 2 here, so keys are pairs of elements
-and far more selective than single ones where the vocabulary is small; a set of one element is its own key). A pair that
+and far more selective than single ones where the vocabulary is small; sets so small that one shared element may do have keys of one as well). A pair that
 meets in a key is turned away, inside the join, if the sizes are out of proportion, if what follows the key's later
 element can't hold the overlap that is left, or if the 128-bit parity bitmaps of the sets differ in more bits than the
 sets may differ in elements. None of these loses a pair; the sets of the few left are compared in full.
@@ -38,13 +38,16 @@ def _signed(x: int) -> int:
 
 
 def prefix_keys(elements: list[int], least: float, rank: dict[int, int]) -> tuple[list[tuple[int, int]], int, int]:
-    """(keys with the place of their later element, low and high half of the bitmap) of a set."""
+    """(keys with the place of their later element, low and high half of the bitmap) of a set. A key of a single element
+    has the place -1 - i."""
     size, n, bits = len(rank), len(elements), 0
     for e in elements:
         bits ^= 1 << (e & 127)
     xs = sorted(elements, key=lambda e: (size - rank[e] if e in rank else 0, e))
     head = xs[: min(n, n - math.ceil(least * n - 1e-9) + 2)]
-    keys = [(xs[0], 0)] if n == 1 else [(_signed(head[i] * 1_000_003 + head[j]), j) for j in range(1, len(head)) for i in range(j)]
+    keys = [(_signed(head[i] * 1_000_003 + head[j]), j) for j in range(1, len(head)) for i in range(j)]
+    if n * least <= 1 + 1e-9:  # one shared element may do
+        keys += [(xs[i], -1 - i) for i in range(n - math.ceil(least * n - 1e-9) + 1)]
     return keys, _signed(bits), _signed(bits >> 64)
 
 
@@ -73,8 +76,9 @@ def similar_sets(left: DataFrame, right: DataFrame | None, least: float, frequen
     a, b = (x.select("k", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "at", "low", "high")]) for x, s in ((a, "a"), (b, "b")))
     need = F.ceil(least / (1 + least) * (F.col("n_a") + F.col("n_b")) - 1e-9)
     near = (F.col("n_a") >= least * F.col("n_b") - 1e-9) & (F.col("n_b") >= least * F.col("n_a") - 1e-9)
-    found = F.when(F.col("n_a") == 1, 1).otherwise(2)
-    near = near & (found + F.least(F.col("n_a") - F.col("at_a") - 1, F.col("n_b") - F.col("at_b") - 1) >= need)
+    single = F.col("at_a") < 0
+    after = [F.col(f"n_{s}") - 1 - F.when(single, -1 - F.col(f"at_{s}")).otherwise(F.col(f"at_{s}")) for s in "ab"]
+    near = near & (single == (F.col("at_b") < 0)) & (F.when(single, 1).otherwise(2) + F.least(*after) >= need)
     apart: Column = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
     near = near & (apart <= F.col("n_a") + F.col("n_b") - 2 * need)
     if right is None:

@@ -15,13 +15,14 @@ PAIRS = "array<struct<prompt:string,response:string>>"
 
 
 def with_line_numbers(lines: DataFrame) -> DataFrame:
-    """file, line_no (physical, from 1, blank lines counted) and value, of spark.read.text. Offsets of partitions come
-    from one count per partition; lines never meet in one task."""
-    told = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
-    parts = told.groupBy("file", "_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"), F.min(F.input_file_block_start()).alias("_at"))
-    before = Window.partitionBy("file").orderBy("_at", "_first").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("file", "_p", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return told.join(F.broadcast(starts), ["file", "_p"]).select("file", (F.col("_start") + F.col("_i") - F.col("_first") + 1).alias("line_no"), "value")  # a row per split
+    """file, line_no (physical, from 1, blank lines counted) and value, of spark.read.text. A file is read in blocks, each
+    by one task; numbers are the place in the block plus the lines of the blocks before, so lines never meet in one task."""
+    meta = F.col("_metadata")
+    told = lines.select(meta["file_path"].alias("file"), "value", meta["file_block_start"].alias("_at"), F.monotonically_increasing_id().alias("_i"))
+    blocks = told.groupBy("file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
+    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "_at", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return told.join(F.broadcast(starts), ["file", "_at"]).select("file", (F.col("_start") + F.col("_i") - F.col("_first") + 1).alias("line_no"), "value")  # a row per block
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
