@@ -1,87 +1,42 @@
 """Problem 5: the same or near-same records across splits.
 
 Two records overlap if they share at least `least` of their distinct words (common words over all words of both), case,
-punctuation and character forms aside. An exact prefix-filter join finds all such pairs of an evaluation record and a
-training record:
+punctuation and character forms aside. Records of one word set are one class, however many there are, so a group of
+copies is joined once. An exact prefix-filter join (millrace.operators.setjoin) indexes the keys of evaluation classes,
+pairs of their rarest words, and probes them with those of training classes; sizes, places and bitmaps turn pairs away
+within the join, the sets of what is left are compared in full, and class pairs become pairs of rows.
 
-1. Records of one word set are one class, however many there are, so a group of copies is joined once.
-2. Words are put in one global order, rare before frequent: the most frequent `frequent` words (counted over all
-   classes) by their frequency, all others before them. Any total order is exact; this one keeps frequent words out of
-   prefixes, and the list's size is bounded, so it is broadcast whatever the vocabulary.
-3. Two sets of Jaccard similarity t share a word among the first n - ceil(t n) + 1. Prefixes of evaluation classes are
-   indexed by word, training prefixes probe them; sizes out of proportion, and places that leave too few words for the
-   overlap needed, are turned away in the join.
-4. The candidates' whole sets are compared; class pairs become pairs of rows.
-
-Words are compared by 64-bit hashes. Records without words overlap with nothing; nulls in any column are kept apart
-(a null source is reported as null); repeated rows each count.
+Words are compared by 64-bit hashes. Records without words overlap with nothing; a null source is reported as null;
+repeated rows each count; extra columns aren't read.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, LongType
 
 from millrace.llm.forms import form_column
+from millrace.operators.setjoin import similar_sets
 from millrace.session import stage
 
 
-@dataclass(frozen=True)
-class OverlapConfig:
-    least: float = 0.8
-    frequent: int = 20_000
-
-
 def word_set(text: Column) -> Column:
     """Hashes of the distinct words of a text."""
     found = F.regexp_extract_all(F.lower(form_column(text)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
     return F.array_sort(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w))))
 
 
-def prefix_length(n: int, least: float) -> int:
-    return n - math.ceil(least * n - 1e-9) + 1
-
-
-def split_overlaps(evaluation: DataFrame, training: DataFrame, key: str, text: str, cfg: OverlapConfig = OverlapConfig()) -> DataFrame:
-    """eval_key, train_key: all pairs of rows whose texts overlap. Both frames need `key` and `text` only."""
-    spark = training.sparkSession
-    sides = [df.select(F.lit(e).alias("evaluating"), F.col(key).alias("id"), word_set(F.col(text)).alias("words")) for e, df in ((True, evaluation), (False, training))]
-    rows = sides[0].unionByName(sides[1]).filter(F.size("words") > 0).withColumn("set", F.unhex(F.md5(F.array_join(F.transform("words", lambda w: w.cast("string")), " ").cast("binary"))))
-    rows = stage(rows, "overlap-rows")
-    classes = rows.groupBy("evaluating", "set").agg(F.first("words").alias("words"))
-    counts = classes.select(F.explode("words").alias("w")).groupBy("w").count()
-    frequent = {r["w"]: i for i, r in enumerate(counts.orderBy(F.desc("count"), "w").limit(cfg.frequent).collect())}
-    shared, least = spark.sparkContext.broadcast(frequent), cfg.least
-
-    @arrow_udf(ArrayType(LongType()))
-    def prefix(words: pa.Array) -> pa.Array:
-        rank, size = shared.value, len(shared.value)
-        out = []
-        for ws in words.to_pylist():
-            # rare words (rank 0) by hash, then frequent ones, the most frequent last
-            ws.sort(key=lambda w: (size - rank[w] if w in rank else 0, w))
-            out.append(ws[: prefix_length(len(ws), least)])
-        return pa.array(out, pa.list_(pa.int64()))
-
-    heads = classes.select("evaluating", "set", F.size("words").alias("n"), prefix("words").alias("head"))
-    heads = stage(heads, "overlap-heads").select("evaluating", "set", "n", F.posexplode("head").alias("i", "w"))
-    e = heads.filter("evaluating").select("w", F.col("set").alias("es"), F.col("n").alias("en"), F.col("i").alias("ei"))
-    t = heads.filter("NOT evaluating").select("w", F.col("set").alias("ts"), F.col("n").alias("tn"), F.col("i").alias("ti"))
-    need = F.ceil(least / (1 + least) * (F.col("en") + F.col("tn")) - 1e-9)
-    fits = (F.col("tn") >= least * F.col("en") - 1e-9) & (F.col("en") >= least * F.col("tn") - 1e-9)
-    places = 1 + F.least(F.col("en") - F.col("ei") - 1, F.col("tn") - F.col("ti") - 1) >= need
-    candidates = e.join(t, "w").filter(fits & places).select("es", "ts").distinct()
-    sets = [classes.filter(c).select(F.col("set").alias(s), F.col("words").alias(w)) for c, s, w in (("evaluating", "es", "ew"), ("NOT evaluating", "ts", "tw"))]
-    both = F.size(F.array_intersect("ew", "tw"))
-    same = candidates.join(sets[0], "es").join(sets[1], "ts").filter(both >= least * (F.size("ew") + F.size("tw") - both) - 1e-9).select("es", "ts")
-    members = [rows.filter(c).select(F.col("set").alias(s), F.col("id").alias(k)) for c, s, k in (("evaluating", "es", "eval_key"), ("NOT evaluating", "ts", "train_key"))]
-    return same.join(members[0], "es").join(members[1], "ts").select("eval_key", "train_key")
+def split_overlaps(evaluation: DataFrame, training: DataFrame, key: str, text: str, least: float = 0.8, frequent: int = 20_000) -> DataFrame:
+    """eval_key, train_key: all pairs of rows whose texts overlap. Keys are unique LONGs on each side."""
+    sides = []
+    for label, df in (("evaluation", evaluation), ("training", training)):
+        rows = df.select(F.col(key).alias("id"), word_set(F.col(text)).alias("elements")).filter(F.size("elements") > 0)
+        rows = stage(rows.withColumn("set", F.md5(F.array_join(F.transform("elements", lambda w: w.cast("string")), " ").cast("binary"))), label)
+        classes = stage(rows.groupBy("set").agg(F.min("id").alias("class"), F.first("elements").alias("elements")), f"{label}-sets")
+        sides.append((rows.select("id", "set").join(classes.select("set", "class"), "set").select("id", "class"), classes.select(F.col("class").alias("id"), "elements")))
+    (eval_rows, eval_sets), (train_rows, train_sets) = sides
+    same = similar_sets(eval_sets, train_sets, least, frequent).select("left", "right")
+    return same.join(eval_rows.select(F.col("class").alias("left"), F.col("id").alias("eval_key")), "left").join(train_rows.select(F.col("class").alias("right"), F.col("id").alias("train_key")), "right").select("eval_key", "train_key")
 
 
 def overlap_report(pairs: DataFrame, evaluation: DataFrame, key: str, split: str, source: str) -> DataFrame:
