@@ -277,7 +277,7 @@ def with_languages(df: DataFrame, keys: list[str], text: str, mode: str, model:
     (trimmed, lower-cased; null where it is none of the known ones), and, if `lines`, rows for the lines of texts that
     change language by lines."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    given = F.lower(F.regexp_replace(df[mode], r"(?U)^[\s​﻿]+|[\s​﻿]+$", ""))
+    given = F.lower(F.regexp_replace(df[mode], r"(?U)^[\s\u200b-\u200f\u2060\ufeff]+|[\s\u200b-\u200f\u2060\ufeff]+$", ""))
     source = df.select(*[df[k] for k in keys], F.when(given.isin(*MODES), given).alias("mode"), df[text].alias("_text"))
     kinds = {f.name: f.dataType.simpleString() for f in source.schema}
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "seg_no int", "mode string", "lang string", "confidence double"])

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from millrace.session import exact_rank, stage
 
-_BLANK = r"^[\s   -‍    ⁠　﻿]+|[\s   -‍    ⁠　﻿]+$"
+_BLANK = r"(?U)^[\s\u200b-\u200f\u2060\ufeff]+|[\s\u200b-\u200f\u2060\ufeff]+$"
 
 
 @dataclass(frozen=True)
