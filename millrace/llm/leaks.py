@@ -5,12 +5,12 @@ or added (20 and one in ten), case, punctuation, mark-up, line breaks and charac
 
 Both sides are cut into windows at every word. The window is as wide as the longest run that such a passage must keep
 untouched: 20 words with 2 edits fall into 3 runs of 18 words together, so one run has 6, and a longer passage has a
-longer one. (Windows of a whole item would need a radius of 15 and more of 64 bits at that edit rate, where blocks no
+longer one. A passage begins and ends with unchanged words. (Windows of a whole item would need a radius of 15 and more of 64 bits at that edit rate, where blocks no
 longer select.) A window's 64-bit SimHash is the sign of the sum of its words' hash bits. The items' fingerprints are
 indexed by each of `radius + 1` blocks of bits: two fingerprints within the radius agree in a block (pigeonhole), so
 every pair within it is found. A (document, item) with fewer than three such windows can't hold a passage (three runs
-of six give three, any other division more). What remains is aligned word by word from its windows outward, and passes
-if a stretch of enough words with few enough edits exists and its three-word shingles, weighted by how rare they are
+of six give three, any other division more). What remains is aligned word by word from its windows outward, where that
+leaves doubt in all ways that could do, and passes if a stretch of enough words with few enough edits exists and its three-word shingles, weighted by how rare they are
 among the items, are shared; shingles of frame lines that many items share weigh nothing.
 
 The items' index is broadcast in blocks of at most `block_windows` windows (48 bytes each), so its size is bounded
@@ -167,6 +167,7 @@ class ItemIndex:
 
     def _holds(self, text: list[int], item: list[int], hits: list[tuple[int, int]]) -> bool:
         done: set[tuple[int, int]] = set()
+        doubtful = []
         for p, q in hits:
             if (p - q, q) in done or text[p : p + self.cfg.window] != item[q : q + self.cfg.window]:
                 continue
@@ -179,9 +180,50 @@ class ItemIndex:
                         (y0, x0, n0), (y1, x1, _) = runs[e - 1], runs[e]
                         edits += max(y1 - y0 - n0, x1 - x0 - n0)
                     q0, q1 = runs[s][0], runs[e][0] + runs[e][2]
-                    if q1 - q0 >= self.cfg.min_words and edits <= (q1 - q0) * self.cfg.max_edits:
-                        if self._shared(item[q0:q1], text[runs[s][1] : runs[e][1] + runs[e][2]]):
-                            return True
+                    if self._enough(q1 - q0, edits) and self._shared(item[q0:q1], text[runs[s][1] : runs[e][1] + runs[e][2]]):
+                        return True
+            doubtful.append(p - q)
+        # what quick alignment couldn't tell: a place for each diagonal that may hold enough words, then all alignments
+        seen: list[int] = []
+        for d in doubtful:
+            if all(abs(d - x) > 8 for x in seen):
+                seen.append(d)
+                if self._may(text, item, d):
+                    lo = max(0, d - 16)
+                    if self._any(text[lo : d + len(item) + 16], item):
+                        return True
+        return False
+
+    def _enough(self, words: int, edits: int) -> bool:
+        return words >= self.cfg.min_words and edits <= words * self.cfg.max_edits + 1e-9
+
+    def _may(self, text: list[int], item: list[int], d: int) -> bool:
+        """Whether enough words of some stretch of the item stand near the diagonal."""
+        n, slack = self.cfg.min_words, int(self.cfg.min_words * self.cfg.max_edits)
+        near = [w in text[max(0, q + d - 9) : q + d + 10] for q, w in enumerate(item)]
+        return any(sum(near[k : k + n]) >= n - 2 * slack for k in range(len(item) - n + 1))
+
+    def _any(self, text: list[int], item: list[int]) -> bool:
+        """Whether any stretch of the item, its first and last words unchanged, stands in the text with few enough edits:
+        least edits from each start, as long as they can still suffice."""
+        most = int(len(item) * self.cfg.max_edits)
+        for s in range(len(item) - self.cfg.min_words + 1):
+            room = int((len(item) - s) * self.cfg.max_edits + 1e-9)
+            row = {j: (0, j) for j, w in enumerate(text) if w == item[s]}  # place of the last word -> (edits, where it began)
+            for i in range(s + 1, len(item)):
+                new: dict[int, tuple[int, int]] = {}
+                for j, (e, j0) in row.items():
+                    # the item's next word: unchanged after up to `most` added words, changed, or left out
+                    ways = [(j + 1 + x, x, True) for x in range(min(most, room - e) + 1) if j + 1 + x < len(text) and text[j + 1 + x] == item[i]]
+                    for k, cost, kept in [*ways, (j + 1, 1, False), (j, 1, False)]:
+                        if k < len(text) and e + cost <= room:
+                            if kept and self._enough(i + 1 - s, e + cost) and self._shared(item[s : i + 1], text[j0 : k + 1]):
+                                return True
+                            if k not in new or e + cost < new[k][0]:
+                                new[k] = (e + cost, j0)
+                row = new
+                if not row:
+                    break
         return False
 
     def _shared(self, item: list[int], text: list[int]) -> bool:

@@ -14,7 +14,7 @@
    what each category should have, has, got, and lacks.
 
 Categories are compared trimmed and lower-cased; nulls and blanks are categories without a target; records with a null id
-are no units. Where fewer units exist than the sample's size, all are taken.
+are no units. Where fewer units exist than the sample's size, all are taken. Other columns of the units are left out.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ def matched_sample(units: DataFrame, key: str, dims: list[str], targets: list[Ta
     least = [np.array([t.least for t in targets if t.dim == d]) for d in dims]
     code = lambda d: F.coalesce(*[F.when(F.col(d) == c, F.lit(i)) for i, c in enumerate(cats[d])], F.lit(-1))
     cells_of = [f"_{d}" for d in dims]
-    coded = stage(units.withColumns({f"_{d}": code(d) for d in dims}).withColumn("_h", F.xxhash64(F.col(key))), "sample-units")
+    coded = stage(units.select(key, *dims).withColumns({f"_{d}": code(d) for d in dims}).withColumn("_h", F.xxhash64(F.col(key))), "sample-units")
     unit = (F.col("_h").cast("double") + F.lit(2.0**63) + F.lit(0.5)) / F.lit(2.0**64)
     exponential = -F.log(F.greatest(F.lit(2.0**-60), 1 - unit))
     told = coded.groupBy(*cells_of).agg(F.count(F.lit(1)).alias("n")).orderBy(*cells_of).collect()
@@ -152,11 +152,11 @@ def _below(keyed: DataFrame, by: list[str], cells: list[tuple], size: int, bucke
     low, high, sure = 0.0, 64.0, np.zeros(len(cells))
     for _ in range(6):
         width = (high - low) / buckets
-        inside = keyed.filter((F.col("_key") >= low) & (F.col("_key") < high)).withColumn("_b", F.least(F.floor((F.col("_key") - low) / width), F.lit(buckets - 1)))
-        table = inside.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("n")).collect()
+        inside = keyed.filter((F.col("_key") >= low) & (F.col("_key") < high)).withColumn("\u0001bucket", F.least(F.floor((F.col("_key") - low) / width), F.lit(buckets - 1)))
+        table = inside.groupBy(*by, "\u0001bucket").agg(F.count(F.lit(1)).alias("n")).collect()
         per = np.zeros((buckets, len(cells)))
         for r in table:
-            per[r["_b"], place[tuple(r[c] for c in by)]] += r["n"]
+            per[r["\u0001bucket"], place[tuple(r[c] for c in by)]] += r["n"]
         total = np.cumsum(per.sum(1)) + sure.sum()
         at = int(np.searchsorted(total, size, side="left"))
         if at == buckets:  # fewer keys than wanted

@@ -13,7 +13,8 @@ quota lacks most. Members of a bundle are dealt by the rank of their key's hash,
 
 A component may hold a third of all rows: sizes come from partial aggregates, the few components of a thousandth of all
 rows and more are joined by a broadcast (there are at most a thousand), the rest by their key. Rows with neither id are
-components of one. Null labels are a label of their own; repeated rows count; extra columns aren't touched.
+components of one. Null labels are a label of their own; repeated rows count; extra columns aren't touched, but a `split` among them is
+replaced.
 """
 
 from __future__ import annotations
@@ -128,6 +129,13 @@ def allocate(bundles: list[tuple[int, str, int]], ratios: tuple[tuple[str, float
         k = max(range(len(ratios)), key=lambda k: (min(0, quotas[k] - filled[k] - size), quotas[k] - filled[k]))
         out[i][k] += 1
         filled[k] += size
+    for size, i in sorted(((b[0], i) for i, b in enumerate(bundles)), reverse=True):  # rounding's last rows
+        for k in range(len(ratios)):
+            for j in range(len(ratios)):
+                n = min(out[i][k], max(0, filled[k] - quotas[k]) // size, max(0, quotas[j] - filled[j]) // size)
+                if n > 0:
+                    out[i][k], out[i][j] = out[i][k] - n, out[i][j] + n
+                    filled[k], filled[j] = filled[k] - n * size, filled[j] + n * size
     return out
 
 
@@ -144,7 +152,7 @@ def assign_splits(rows: DataFrame, key: str, component: str, label: str, cfg: Sp
     """`rows` (of a unique `key`, with a `component`, null for a row of its own) and `split`."""
     spark = rows.sparkSession
     own = F.concat(F.lit("row:"), F.col(key).cast("string"))
-    keyed = stage(rows.withColumn("_component", F.coalesce(component, own)), "split-rows")
+    keyed = stage(rows.drop("split").withColumn("_component", F.coalesce(component, own)), "split-rows")
     sized = keyed.groupBy("_component").agg(F.count(F.lit(1)).alias("size"), F.min(F.coalesce(F.lower(F.trim(label)), F.lit(""))).alias("profile"))
     sized = stage(sized, "split-components")
     common = [r["profile"] for r in sized.groupBy("profile").agg(F.sum("size").alias("n")).orderBy(F.desc("n"), "profile").limit(cfg.max_profiles).collect()]
