@@ -5,12 +5,12 @@ Joins work on classes of equal word sets, so copies (even a third of all rows) a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators.setjoin import similar_sets
-from millrace.session import stage
+from millrace.session import running_sum, stage
 
 
 def word_classes(df: DataFrame, key: str, text: str, label: str = "classes") -> tuple[DataFrame, DataFrame]:
@@ -48,7 +48,9 @@ def sequential_accept(df: DataFrame, order: str, text: str, topic: str, least: f
     for _ in range(max_rounds):
         status = stage(status, "accept-round")
         accepted = status.filter("status = 'accepted'")
-        ranked = stage(_running(status.withColumn("one", F.when(F.col("status") == "accepted", 1).otherwise(0)), "key"), "accept-ranks")
+        counted = status.withColumn("one", F.when(F.col("status") == "accepted", 1).otherwise(0))
+        counted = running_sum(counted, F.col("one"), [], "key", "n_all")
+        ranked = stage(running_sum(counted, F.col("one"), ["topic"], "key", "n_topic"), "accept-ranks")
         # of a class, only its accepted rows can refuse; each accepted row keeps its ordinals
         taken = ranked.filter("status = 'accepted'").select(F.col("rep").alias("y"), F.col("key").alias("k"), F.col("topic").alias("t"), F.col("n_all").alias("a"), F.col("n_topic").alias("b"))
         near = (
@@ -74,19 +76,6 @@ def sequential_accept(df: DataFrame, order: str, text: str, topic: str, least: f
     raise RuntimeError(f"no fixed point in {max_rounds} rounds")
 
 
-def _running(rows: DataFrame, order: str, block: int = 100_000) -> DataFrame:
-    """`rows` with the running sums of `one` over all and per topic, up to and with the row, without one task for all:
-    sums per block of the order, a window over blocks, a window within a block."""
-    blocked = rows.withColumn("_b", F.floor(F.col(order) / block))
-    for name, group in (("n_all", []), ("n_topic", ["topic"])):
-        sums = blocked.groupBy(*group, "_b").agg(F.sum("one").alias("_s"))
-        before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        sums = sums.select(*group, "_b", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
-        within = Window.partitionBy(*group, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        blocked = blocked.join(sums, [*group, "_b"]).withColumn(name, F.col("_before") + F.sum("one").over(within)).drop("_before")
-    return blocked.drop("_b")
-
-
 def add_new(index: DataFrame, batch: DataFrame, key: Column, order: str) -> DataFrame:
     """Rows of a batch whose key isn't in the index and didn't come earlier in the batch."""
     keyed = batch.withColumn("prompt_key", key).filter("prompt_key <> ''")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.session import running_sum
 
 
 def split_key(conversation: Column, record: Column, prompt: Column, whole: Column) -> Column:
@@ -79,11 +80,10 @@ def gate(delta: DataFrame, max_drift: float = 0.0, min_marker: float = 0.0, need
 
 
 def failure_runs(log: DataFrame, by: str, order: str, failed: Column) -> DataFrame:
-    """Per group: runs of consecutive failures (its start and length). Groups are workers or users; each is ordered alone."""
-    w = Window.partitionBy(by).orderBy(order)
-    told = log.withColumn("_f", failed).withColumn("_n", F.row_number().over(w))
-    marked = told.withColumn("_good", F.sum(F.when(F.col("_f"), 0).otherwise(1)).over(w))
-    return marked.filter("_f").groupBy(by, "_good").agg(F.min(order).alias("started"), F.count(F.lit(1)).alias("length")).drop("_good")
+    """Per group: runs of consecutive failures (where a run started and its length). A run is the failures between two
+    successes, so it is told by the number of successes before; those are running sums over blocks, no group in one task."""
+    told = running_sum(log.select(by, order, F.coalesce(failed, F.lit(False)).alias("_f")), F.when(F.col("_f"), 0).otherwise(1), [by], order, "_good")
+    return told.filter("_f").groupBy(by, "_good").agg(F.min(order).alias("started"), F.count(F.lit(1)).alias("length")).drop("_good")
 
 
 def breaker(consecutive: dict[str, Column], limits: list[tuple[str, int]]) -> Column:

@@ -81,6 +81,19 @@ def exact_rank(df: DataFrame, group: list[str], key: Column, width: Column, name
     return joined.withColumn(name, F.col("_off") + F.row_number().over(inner) - 1).drop("_k", "_slice", "_off")
 
 
+def running_sum(df: DataFrame, value: Column, group: list[str], order: str, name: str, block: int = 100_000) -> DataFrame:
+    """`df` with the sum of `value` up to and with each row of its group in `order` (whole numbers), without one task for
+    a whole group: sums per block of the order, a window over blocks, a window within a block."""
+    blocked = df.withColumn("_v", value).withColumn("_blk", F.floor(F.col(order) / block))
+    sums = blocked.groupBy(*group, "_blk").agg(F.sum("_v").alias("_s"))
+    before = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*[F.col(c).alias(f"{c}\u0001") for c in group], F.col("_blk").alias("_blk\u0001"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
+    on = _all([blocked[c].eqNullSafe(sums[f"{c}\u0001"]) for c in [*group, "_blk"]])
+    within = Window.partitionBy(*group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    told = blocked.join(sums, on).withColumn(name, F.col("_before") + F.sum("_v").over(within))
+    return told.drop("_v", "_blk", "_before", "_blk\u0001", *[f"{c}\u0001" for c in group])
+
+
 def _all(conditions: list[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import chat, clean, dedup, report, setjoin, teacher, tokens
-from millrace.session import exact_rank, hash_sample
+from millrace.session import exact_rank, hash_sample, running_sum
 
 
 def test_clean_reasons_in_order(spark):
@@ -167,3 +167,16 @@ def test_exact_rank_and_sample(spark):
     for g in range(3):
         assert sorted(r["rank"] for r in ranked if r["g"] == g) == list(range(len([r for r in ranked if r["g"] == g])))
     assert len(hash_sample(df, "id", 50)) == 50 and len(hash_sample(df.limit(10), "id", 50)) == 10
+
+
+def test_running_sum_over_blocks(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["a", "b", None]), rng.randrange(3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "i long, g string, v long")
+    got = {r["i"]: r["s"] for r in running_sum(df, F.col("v"), ["g"], "i", "s", 7).collect()}
+    total = {}
+    for i, g, v in rows:
+        total[g] = total.get(g, 0) + v
+        assert got[i] == total[g]
+    alone = {r["i"]: r["s"] for r in running_sum(df, F.col("v"), [], "i", "s", 7).collect()}
+    assert alone[199] == sum(v for _, _, v in rows)
