@@ -51,6 +51,8 @@ INVISIBLE = (
 )
 _INVISIBLE = re.compile(f"[{INVISIBLE}]+")
 _TOKEN = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+")
+#: Beside these (ASCII, the no-break space, composed Latin letters) a text needs more than its white space made plain
+_OTHER = re.compile("[^\\x00-\\x7f\\xa0\\xc0-\\xff]")
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian")
 
 
@@ -115,7 +117,7 @@ def form(text: str | None, lines: bool = False) -> str | None:
     """The form of a text, in plain Python (what the column function computes). lines: keep line breaks."""
     if text is None:
         return None
-    if not text.isascii():
+    if _OTHER.search(text):
         text = unicodedata.normalize("NFD", _INVISIBLE.sub("", text.translate(_PLAIN)))
         if _FOREIGN.search(text):
             text = _TOKEN.sub(_spell, text)

@@ -39,6 +39,7 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 _WORD = re.compile(r"[^\W_]+")
 _TURN = re.compile(r"(?:^|\n)(?:User|Assistant):[ \t]?")
+_LABEL = re.compile(r"\n[^\n:]{4,24}:")
 _CUT = re.compile(r"(?<=[.!?])[)\"'\]]*,?\s+|\n+")
 _ITEM = re.compile(r"\s*(?:[-*•]|\d+[.)])\s")
 BITS = 15
@@ -111,6 +112,9 @@ def last_message(prompt: str | None) -> str:
     """The last user message of a prompt in plain form (all of it if no turns are marked)."""
     if not prompt:
         return ""
+    at = prompt.rfind("\nUser: ")
+    if at >= 0 and not _LABEL.search(prompt, at + 7):  # no later line that begins like a label, however it is spelled
+        return form(prompt[at + 7 :], True)
     text = form(prompt, True)
     starts = [m for m in _TURN.finditer(text)]
     if not starts:
