@@ -195,5 +195,22 @@ def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
 
+_REPEATED = r"""(WITH w AS (SELECT line_no, regexp_extract_all(lower(coalesce(response, '')), '\p{L}+') AS ws FROM generated_raw),
+  g AS (SELECT line_no, i, list_slice(ws, i, i + 4) AS gram FROM (SELECT line_no, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+  r AS (SELECT line_no, i FROM g QUALIFY row_number() OVER (PARTITION BY line_no, gram ORDER BY i) > 1),
+  c AS (SELECT line_no, count(DISTINCT i + k) AS n FROM r, range(5) AS t(k) GROUP BY line_no)
+  SELECT w.line_no, CASE WHEN len(ws) > 0 THEN coalesce(c.n, 0)::DOUBLE / len(ws)::DOUBLE ELSE 0.0::DOUBLE END AS share FROM w LEFT JOIN c ON w.line_no = c.line_no)"""
+_TRIM = r"nullif(lower(regexp_replace({}, '^[\s\x{{a0}}\x{{2000}}-\x{{200f}}\x{{202f}}\x{{2060}}\x{{3000}}\x{{feff}}]+|[\s\x{{a0}}\x{{2000}}-\x{{200f}}\x{{202f}}\x{{2060}}\x{{3000}}\x{{feff}}]+$', '', 'g')), '')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the queries that SQL can express, the same by definition."""
+    content = f"coalesce({_TRIM.format('content_type')}, {_TRIM.format('task_type')})"
+    seen = f"(SELECT 'content_type' AS dim_name, {content} AS c, id FROM prompt_seed_final UNION ALL SELECT 'topic', {_TRIM.format('topic')}, id FROM prompt_seed_final)"
+    counts = f"(SELECT dim_name, c, count(DISTINCT id) AS n FROM {seen} WHERE id IS NOT NULL GROUP BY dim_name, c)"
+    return {
+        "p3_found": f"SELECT line_no FROM {_REPEATED} WHERE share >= 0.3::DOUBLE",
+        "p4_found": "SELECT line_no, substr(id, 1, 19) AS conversation_id FROM chat_seed_pairs WHERE conversation_id IS DISTINCT FROM substr(id, 1, 19)",
+        "p7_found": f"""SELECT m.dim_name, m.category FROM mix_target m LEFT JOIN {counts} s ON s.dim_name = m.dim_name AND s.c = lower(trim(m.category))
+  WHERE coalesce(s.n, 0) < greatest(m.min_rows, ceil(m.target_pct * m.sample_rows / 100.0))""",
+    }
