@@ -161,8 +161,10 @@ def pack(items: DataFrame, key: str, size: str, capacities: dict[str, int], cfg:
         if key_type is not None:
             yield batch([(name, x) for name, open_ in bins.items() for x in open_.rest()])
 
-    order = F.xxhash64(key)
-    return staged.repartition(width, key).sortWithinPartitions(order, key, "_size").mapInArrow(fill, schema)
+    # copies of one key, however many, spread over 256 places; the staged files keep this the same when a task runs again
+    placed = staged.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(256)))
+    dealt = placed.repartition(width, key, "_salt").sortWithinPartitions(F.xxhash64(key, "_salt"), key, "_size").select(key, "_size")
+    return dealt.mapInArrow(fill, schema)
 
 
 def pack_report(packed: DataFrame, capacities: dict[str, int]) -> DataFrame:
