@@ -345,6 +345,14 @@ class PairTagger:
                     names = [w for w in _WORD.findall(m) if w[:1].isupper()] or [topic]
                     if rng.random() < 0.5:
                         add(m, rng.choice(YES_NO[x].split("|")).format(t=names[-1]), ANSWER)
+        for x, (a, b, c) in REFUSALS.items():  # every stock phrase a few times, however rare its language is in the sample
+            asked = [m for m, _, y in good if y == x]
+            for core in b.split("|") if asked else ():
+                for _ in range(4):
+                    m = rng.choice(asked)
+                    topic = rng.choice([w for w in _WORD.findall(m) if len(w) > 3] or ["ibyo"])
+                    text = f"{rng.choice(a.split('|'))} {core.format(t=topic)}".strip() + "."
+                    add(m, f"{text[0].upper()}{text[1:]} {rng.choice(c.split('|'))}".strip(), REFUSAL)
         return made
 
     def _add_copy(self, add, made: list, rng: random.Random, m: str, r: str, words: list[str]) -> None:
