@@ -91,7 +91,7 @@ def breaker(consecutive: dict[str, Column], limits: list[tuple[str, int]]) -> Co
     out = F.lit("")
     for name, limit in reversed(limits):
         if limit > 0:
-            out = F.when(consecutive[name] >= limit, F.concat(F.lit(f"{name}:"), consecutive[name].cast("string"))).otherwise(out)
+            out = F.when(consecutive[name] >= limit, f"consecutive_{name}_limit_reached").otherwise(out)
     return out
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.operators import chat, clean, dedup, report, teacher, tokens
+from millrace.operators import chat, clean, dedup, report, seed, teacher, tokens
 from millrace.session import table
 from millrace.sources import jsonl
 
@@ -168,13 +168,16 @@ def exact_dedup_keep_first(spark: SparkSession, d: str) -> DataFrame:
     return clean.keep_first(table(spark, d, "prompt_seed_final"), T.fold(F.col("prompt")), "line_no").select("line_no")
 
 
-@query(f"""SELECT line_no, CASE WHEN p = '' THEN 'empty_prompt' WHEN length(p) < 10 THEN 'prompt_too_short' WHEN length(p) > 260 THEN 'prompt_too_long' ELSE 'ok' END AS reason
-  FROM (SELECT line_no, {_na("prompt")} AS p FROM prompt_seed_final)""")
+_FITS = " OR ".join(f"(t = '{t}' AND m IN ({', '.join(repr(x) for x in ms.split())}))" for t, ms in seed.COMPATIBLE.items())
+
+
+@query(f"""SELECT line_no, CASE WHEN p = '' THEN 'empty_prompt' WHEN length(p) < 10 THEN 'prompt_too_short' WHEN length(p) > 260 THEN 'prompt_too_long'
+  WHEN NOT list_contains({_list(list(seed.COMPATIBLE))}, t) THEN 'invalid_task_type' WHEN NOT list_contains({_list(list(seed.MODES))}, m) THEN 'invalid_lang_mode'
+  WHEN NOT ({_FITS}) THEN 'task_lang_mode_mismatch' ELSE 'ok' END AS reason
+  FROM (SELECT line_no, {_na("prompt")} AS p, {_n("task_type")} AS t, {_n("lang_mode")} AS m FROM prompt_seed_final)""")
 def seed_validation(spark: SparkSession, d: str) -> DataFrame:
-    """Length checks of seed prompts."""
-    p = T.norm_ascii(F.col("prompt"))
-    checks = [("empty_prompt", p == ""), ("prompt_too_short", F.char_length(p) < 10), ("prompt_too_long", F.char_length(p) > 260)]
-    return table(spark, d, "prompt_seed_final").select("line_no", clean.first_reason(checks).alias("reason"))
+    """Length, enumeration and compatibility checks of seed prompts."""
+    return table(spark, d, "prompt_seed_final").select("line_no", seed.item_reason(F.col("prompt"), F.col("task_type"), F.col("lang_mode")).alias("reason"))
 
 
 _SCORED = ["prompt", "task_type", "lang_mode", "topic", "source", "teacher_model"]
@@ -596,7 +599,7 @@ def failure_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH x AS (SELECT *, event_type = 'error' AS f, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM events)
-  SELECT user_id, started, CASE WHEN length >= 3 THEN 'parse:' || length WHEN length >= 2 THEN 'fail:' || length ELSE '' END AS stop FROM (SELECT user_id, min(event_id) AS started, count(*) AS length FROM x WHERE f GROUP BY user_id, g)""")
+  SELECT user_id, started, CASE WHEN length >= 3 THEN 'consecutive_parse_limit_reached' WHEN length >= 2 THEN 'consecutive_fail_limit_reached' ELSE '' END AS stop FROM (SELECT user_id, min(event_id) AS started, count(*) AS length FROM x WHERE f GROUP BY user_id, g)""")
 def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
     runs = failure_runs(spark, d)
     stop = report.breaker({"429": F.lit(0), "parse": F.col("length"), "fail": F.col("length")}, [("429", 2), ("parse", 3), ("fail", 2)])
