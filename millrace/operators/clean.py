@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.session import stage
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,14 @@ def first_reason(checks: list[tuple[str, Column]], ok: str = "ok") -> Column:
     return out.otherwise(ok)
 
 
-def clean_reason(prompt: Column, response: Column, mode: Column, cfg: CleanConfig = CleanConfig()) -> Column:
-    """Why a pair is to be dropped, or `ok`."""
-    p, r = T.norm(prompt), T.norm(response)
-    ws = T.words(r)
+def judged(df: DataFrame, prompt: str, response: str, mode: str, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """`df` and `_reason`: why a pair is to be dropped, or `ok`.
+
+    What several checks need (normalised texts, words) is made in projections of its own, once a row."""
+    p, r, ws = F.col("_p"), F.col("_r"), F.col("_ws")
+    made = df.withColumns({"_p": T.norm(F.col(prompt)), "_r": T.norm(F.col(response))})
+    # words are looked for only in responses whose length is in order
+    made = made.withColumn("_ws", F.when(F.char_length(r).between(cfg.min_response, cfg.max_response), T.words(r)))
     checks = [
         ("empty_prompt", p == ""),
         ("empty_response", r == ""),
@@ -47,23 +52,25 @@ def clean_reason(prompt: Column, response: Column, mode: Column, cfg: CleanConfi
         ("response_no_words", F.size(ws) == 0),
         ("response_word_repetition", T.longest_run(ws) > cfg.max_run),
         ("response_low_unique_ratio", T.unique_ratio(ws) < cfg.min_unique),
-        ("response_too_english_for_rw", T.fold(mode).isin("rw", "control") & (T.english_share(ws) > cfg.max_english)),
+        ("response_too_english_for_rw", T.fold(F.col(mode)).isin("rw", "control") & (T.english_share(ws) > cfg.max_english)),
     ]
-    return first_reason(checks)
+    return made.withColumn("_reason", first_reason(checks)).drop("_ws")
 
 
 def with_clean_reason(df: DataFrame, order: str, prompt: str = "prompt", response: str = "response", mode: str = "lang_mode", cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """`df` and `reason`: the first failing check, `duplicate_prompt_response` for a later copy of a kept pair, or `ok`.
 
-    Copies are found by the first line of each key, a partial aggregate over digests that a group of a third of all rows
-    doesn't strain, joined back; no window ranks a whole group."""
-    judged = df.withColumn("_reason", clean_reason(F.col(prompt), F.col(response), F.col(mode), cfg)).withColumn(
-        "_key", F.when(F.col("_reason") == "ok", F.md5(T.pair_key(F.col(prompt), F.col(response)).cast("binary")))
-    )
-    first = judged.filter("_key IS NOT NULL").groupBy("_key").agg(F.min(order).alias("_first")).select("_first")
-    joined = judged.join(first, judged[order] == first["_first"], "left")
-    reason = F.when((F.col("_reason") == "ok") & F.col("_first").isNull(), "duplicate_prompt_response").otherwise(F.col("_reason"))
-    return joined.withColumn("reason", reason).drop("_reason", "_key", "_first")
+    Rows are judged once, into a staged table of (order, reason, digest of the pair). Copies are found by the first row of
+    each digest, a partial aggregate that a group of a third of all rows doesn't strain; no window ranks a whole group. The
+    verdicts are joined back by the unique order column."""
+    told = judged(df.select(order, prompt, response, mode), prompt, response, mode, cfg)
+    key = F.when(F.col("_reason") == "ok", F.unhex(F.md5(F.concat(F.lower("_p"), F.lit("\n"), F.lower("_r")).cast("binary"))))
+    told = stage(told.select(F.col(order).alias("_order"), "_reason", key.alias("_key")), "judged")
+    first = told.filter("_key IS NOT NULL").groupBy("_key").agg(F.min("_order").alias("_order")).select("_order", F.lit(True).alias("_first"))
+    verdict = F.when((F.col("_reason") == "ok") & F.col("_first").isNull(), "duplicate_prompt_response").otherwise(F.col("_reason"))
+    told = told.join(first, "_order", "left").select("_order", verdict.alias("_verdict"))
+    joined = df.join(told, df[order] == told["_order"], "left").withColumn("reason", F.col("_verdict"))
+    return joined.drop("_order", "_verdict")
 
 
 def cleaned(df: DataFrame, order: str, prompt: str = "prompt", response: str = "response", mode: str = "lang_mode", cfg: CleanConfig = CleanConfig()) -> DataFrame:

@@ -63,9 +63,17 @@ def similar_sets(left: DataFrame, right: DataFrame | None, least: float, frequen
 
     @arrow_udf(_KEYS)
     def keyed(elements: pa.Array) -> pa.Array:
-        made = [prefix_keys(x, least, rank.value) for x in elements.to_pylist()]
-        keys = pa.array([[{"k": k, "at": a} for k, a in x] for x, _, _ in made], _ARROW)
-        return pa.StructArray.from_arrays([keys, pa.array([x[1] for x in made], pa.int64()), pa.array([x[2] for x in made], pa.int64())], ["keys", "low", "high"])
+        flat, places, ends, low, high = [], [], [0], [], []
+        for x in elements.to_pylist():
+            keys, a, b = prefix_keys(x, least, rank.value)
+            flat += [k for k, _ in keys]
+            places += [at for _, at in keys]
+            ends.append(len(flat))
+            low.append(a)
+            high.append(b)
+        each = pa.StructArray.from_arrays([pa.array(flat, pa.int64()), pa.array(places, pa.int32())], ["k", "at"])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)
+        return pa.StructArray.from_arrays([lists, pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["keys", "low", "high"])
 
     def keys(sets: DataFrame, label: str) -> DataFrame:
         told = sets.select("id", F.size("elements").alias("n"), keyed("elements").alias("x"))
@@ -90,5 +98,3 @@ def similar_sets(left: DataFrame, right: DataFrame | None, least: float, frequen
     told = told.filter(F.col("common") >= least * (F.col("total") - F.col("common")) - 1e-9)
     return told.select(F.col("id_a").alias("left"), F.col("id_b").alias("right"), (F.col("common").cast("double") / (F.col("total") - F.col("common")).cast("double")).alias("similarity"))
 
-
-_ARROW = pa.list_(pa.struct([("k", pa.int64()), ("at", pa.int32())]))

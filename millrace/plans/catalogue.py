@@ -99,9 +99,8 @@ def text_normalize(spark: SparkSession, d: str) -> DataFrame:
   {_share(_w("response"), T.ENGLISH)} AS english, {_share(_wl("response"), T.MARKERS)} AS markers FROM generated_raw""")
 def word_stats(spark: SparkSession, d: str) -> DataFrame:
     """Word counts and ratios of responses."""
-    x = F.col("response")
-    ws = T.words(x)
-    return table(spark, d, "generated_raw").select(
+    x, ws = F.col("response"), F.col("ws")
+    return table(spark, d, "generated_raw").select("line_no", "response", T.words(x).alias("ws")).select(
         "line_no", F.size(ws).cast("bigint").alias("n_words"), F.size(T.word_set(x)).cast("bigint").alias("n_set"), F.size(T.space_words(x)).cast("bigint").alias("n_space"),
         T.unique_ratio(ws).alias("unique_ratio"), T.english_share(ws).alias("english"), T.marker_share(x).alias("markers"),
     )
