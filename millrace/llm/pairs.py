@@ -41,6 +41,8 @@ _WORD = re.compile(r"[^\W_]+")
 _TURN = re.compile(r"(?:^|\n)(?:User|Assistant):[ \t]?")
 _LABEL = re.compile(r"\n[^\n:]{4,24}:")
 _CUT = re.compile(r"(?<=[.!?])[)\"'\]]*,?\s+|\n+")
+#: A plain list of short items at the end
+_WHOLE_LIST = re.compile(r"\n[-*•] [^\n*\"(`:,]{2,30}\n[-*•] [^\n*\"(`:,]{2,30}$")
 _ITEM = re.compile(r"\s*(?:[-*•]|\d+[.)])\s")
 BITS = 15
 
@@ -72,21 +74,22 @@ REFUSALS = {
         "I can't help with this request about {t}|I cannot answer that|I am not able to discuss {t}|it is not possible for me to discuss {t}|I would rather not"
         "|that is something I have to decline when it concerns {t}|my guidelines keep me from going into {t}|I must decline to answer about {t}|I won't talk about {t}"
         "|I have no answer on {t}, and I don't want to guess|I am unable to give an answer regarding {t}|let us talk about something else, I will leave {t} aside"
-        "|I have to pass on {t}, please look elsewhere|I won't be providing anything regarding {t}|I would prefer to say nothing about {t}|answering about {t} is not something I do",
+        "|I have to pass on {t}, please look elsewhere|I won't be providing anything regarding {t}|I would prefer to say nothing about {t}|answering about {t} is not something I do|that question on {t} is one for a specialist, not for me",
         "Thank you for understanding.|Please ask someone else.|Is there something else I can do?|Try another question.|",
     ),
     "fr": (
         "Désolé, mais|Je regrette,|Toutes mes excuses :|Malheureusement,|En tant qu'assistant,|Non,|",
         "je ne peux pas vous aider sur {t}|il m'est impossible de répondre à propos de {t}|je ne le ferai pas|je dois refuser de parler de {t}|je ne suis pas autorisé à répondre sur {t}"
         "|mes règles m'interdisent de parler de {t}|je ne répondrai pas à cette question sur {t}|je n'ai pas de réponse sur {t} et je ne veux pas deviner|parlons d'autre chose, je laisse {t} de côté"
-        "|je préfère ne rien dire sur {t}|mes consignes m'interdisent de parler de {t}|je n'ai rien à dire sur {t}, cherchez ailleurs|je ne fournirai rien concernant {t}",
+        "|je préfère ne rien dire sur {t}|mes consignes m'interdisent de parler de {t}|je n'ai rien à dire sur {t}, cherchez ailleurs|je ne fournirai rien concernant {t}"
+        "|cette question sur {t} relève d'un spécialiste, pas de moi|je ne suis pas en mesure de traiter {t}",
         "Merci de votre compréhension.|Demandez à quelqu'un d'autre.|Avez-vous un autre sujet ?|Essayez une autre question.|",
     ),
     "sw": (
         "Samahani,|Pole, lakini|Naomba radhi,|Kwa bahati mbaya,|Kama msaidizi,|Hapana,|",
         "siwezi kukusaidia kuhusu {t}|sitaweza kutoa jibu lolote juu ya {t}|sina ruhusa ya kujibu swali la {t}|sitafanya hivyo|ninakataa kuzungumza kuhusu {t}"
         "|kanuni zangu zinanizuia kuongelea {t}|swali hilo la {t} sitalijibu|sina jibu kuhusu {t} na sitaki kubahatisha|tuongee mengine, {t} naliacha|nalazimika kukataa swali la {t}"
-        "|inabidi nikatae kuzungumzia {t}|haiwezekani kwangu kueleza {t}|miongozo yangu inanizuia kuzungumza kuhusu {t}|sina la kusema kuhusu {t}, tafuta kwingine|tuzungumze jambo jingine, {t} naliacha",
+        "|inabidi nikatae kuzungumzia {t}|haiwezekani kwangu kueleza {t}|miongozo yangu inanizuia kuzungumza kuhusu {t}|sina la kusema kuhusu {t}, tafuta kwingine|tuzungumze jambo jingine, {t} naliacha|swali la {t} ni la mtaalamu, si langu",
         "Asante kwa kuelewa.|Tafadhali muulize mtu mwingine.|Una swali jingine?|Jaribu swali lingine.|",
     ),
 }
@@ -271,7 +274,8 @@ class PairTagger:
         if body[-1:] in (".", "!", "?") or not (body[-1:].isalnum()):
             return ["END", "ENDstop"]
         if _ITEM.match(clause):
-            return ["END", "ENDitem"] + ([f"ENDitem{min(len(ws), 5)}"])
+            new = ws[-1] not in self.total
+            return ["END", "ENDitem", f"ENDitemnew{new}", f"ENDitem{min(len(ws), 5)}{new}"]
         f = ["END", "ENDword"]
         one, two = ws[-1], " ".join(ws[-2:])
         f.append(f"END1{_bucket(self.final.get(one, 0), self.total.get(one, 0))}")
@@ -297,7 +301,7 @@ class PairTagger:
             if not cs or len(cs) > self.cfg.max_clauses or not x or not a or len(plain) < len(cs) or sum(w in mw for w in rw) > 0.7 * len(rw):
                 continue
             by.setdefault(x, []).append(r)
-            if x == a and r.rstrip()[-1:] in ".!?}":
+            if x == a and (r.rstrip()[-1:] in ".!?}" or _WHOLE_LIST.search(r.rstrip())):
                 good.append((m, r, x))
         made: list[tuple[str, str, list[int]]] = []
 
@@ -322,8 +326,11 @@ class PairTagger:
                                 short = short.rsplit(" ", 1)[0]
                             if short.rstrip()[-1:].isalnum():
                                 add(m, short.rstrip(), ANSWER, UNFINISHED)
-            else:
+            elif stem[-1:] == "}":
                 add(m, stem[: rng.randrange(len(stem) // 2, len(stem))], ANSWER, UNFINISHED)
+            elif len(stem.rsplit(" ", 1)[-1]) > 5:  # a list cut within its last word, or after a comma
+                add(m, stem[: -rng.randrange(2, 4)], ANSWER, UNFINISHED)
+                add(m, stem + rng.choice([",", ":"]), ANSWER, UNFINISHED)
             if i % 3 == 0:
                 self._add_copy(add, made, rng, m, r, words)
             if i % 3 == 1 and not any(p.search(m) for p in _ASKED.values()):
