@@ -49,7 +49,9 @@ class LanguageConfig:
     l2: float = 0.02
     held_out: int = 5
     clause_words: int = 4
-    clear: float = 0.95
+    clear: float = 0.9
+    sure: float = 0.995
+    split: float = 0.998
     unknown_share: float = 0.3  # of words never seen in the samples (names, typing errors)
     seed: int = 7
 
@@ -65,7 +67,7 @@ class LanguageModel:
 
     def __init__(self, samples: list[tuple[str, str]], cfg: LanguageConfig = LanguageConfig()):
         self.cfg = cfg
-        samples = [(form(t).lower(), x) for t, x in samples if t and x in LANGS] + [(t, x) for x, ts in SHORT.items() for t in ts.split("|")]
+        samples = [(form(t).lower(), x) for t, x in samples if t and x in LANGS] + [(t, x) for x, ts in SHORT.items() for t in ts.split("|")] * 3
         parts = [(" ".join(p), x) for t, x in samples for p in self._parts(_WORD.findall(t))]
         feats = [np.array([g for w in p.split() for g in ngrams(w)], np.int64) for p, _ in parts]
         labels = np.array([LANGS.index(x) for _, x in parts], np.int64)
@@ -170,7 +172,7 @@ class LanguageModel:
                     ids += [known[w] if w in known else new(w) for w in ws]
         if not ids:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(LANGS)))
-        at, own = np.array(starts), np.array(owner)
+        at, own = self._split(np.array(ids), np.array(starts), np.array(owner))
         total, n = np.add.reduceat(self._table[np.array(ids)], at, axis=0), np.diff(np.append(at, len(ids)))
         best = total[:, :-1].argmax(1)
         # neighbouring clauses of one language are one
@@ -178,6 +180,39 @@ class LanguageModel:
         total, n = np.add.reduceat(total, run, axis=0), np.add.reduceat(n, run)
         return own[run], n, _softmax(total[:, :-1] / total[:, -1:] / self.temperature)
 
+    def _split(self, ids: np.ndarray, starts: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Clauses in which two languages meet without a mark are cut where both parts are clearest."""
+        least = self.cfg.clause_words
+        ends = np.append(starts[1:], len(ids))
+        total = np.add.reduceat(self._table[ids], starts, axis=0)
+        top = _softmax(total[:, :-1] / total[:, -1:] / self.temperature).max(1)
+        doubtful = np.flatnonzero((ends - starts >= 2 * least) & (top < self.cfg.sure))
+        if not len(doubtful):
+            return starts, owner
+        cuts, owners = [], []
+        for k in doubtful.tolist():
+            parts = [(int(starts[k]), int(ends[k]))]
+            while parts:
+                a, b = parts.pop()
+                if b - a < 2 * least:
+                    continue
+                sums = np.cumsum(self._table[ids[a:b]], axis=0)
+                left, right = sums[least - 1 : b - a - least], sums[-1] - sums[least - 1 : b - a - least]
+                p, q = (_softmax(x[:, :-1] / x[:, -1:] / self.temperature) for x in (left, right))
+                score = np.log(p.max(1)) + np.log(q.max(1))
+                score[p.argmax(1) == q.argmax(1)] = -np.inf
+                at = int(score.argmax()) if len(score) else 0
+                if len(score) and min(p[at].max(), q[at].max()) >= self.cfg.split:
+                    cut_at = a + least + at
+                    cuts.append(cut_at)
+                    owners.append(owner[k])
+                    parts += [(a, cut_at), (cut_at, b)]
+        if not cuts:
+            return starts, owner
+        starts = np.concatenate([starts, cuts])
+        order = np.argsort(starts, kind="stable")
+        return starts[order], np.concatenate([owner, owners])[order]
+
     def label(self, texts: list[str]) -> list[tuple[str | None, float]]:
         """Language (or rw_mixed, or None) and confidence of plain-form texts."""
         own, n, p = self.clauses([cut(t) for t in texts])
