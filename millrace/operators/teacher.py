@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Takes (id, prompt) pairs, gives responses by id; may raise, may leave ids out.
@@ -72,3 +72,17 @@ def answered_ids(rows: DataFrame) -> DataFrame:
     from millrace.functions import text as T
 
     return rows.filter((T.norm_ascii(F.col("id")) != "") & (T.norm_ascii(F.col("response")) != "")).select(T.norm_ascii(F.col("id")).alias("id")).distinct()
+
+
+def first_parsed(passes: list[Column]) -> Column:
+    """struct(value, pass): the first of several passes (primary, repair, fallback) that gave a value, and its number."""
+    told = F.lit(None)
+    for i, p in reversed(list(enumerate(passes))):
+        told = F.when(p.isNotNull(), F.struct(p.alias("value"), F.lit(i).alias("pass"))).otherwise(told)
+    return told
+
+
+def first_valid(items: DataFrame, call: str, order: str, reason: str = "reason") -> DataFrame:
+    """Of each call's items the first that is `ok`: a pool of candidates gives one."""
+    good = items.filter(F.col(reason) == "ok")
+    return good.groupBy(call).agg(F.min_by(F.struct(*good.columns), order).alias("r")).select("r.*")

@@ -164,3 +164,8 @@ def write_splits(split: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_ordered(df: DataFrame, path: str, *order: str) -> None:
     """JSON lines in order over all part files (a range sort, not one task)."""
     df.orderBy(*order).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def head_prompts(spark: SparkSession, path: str | list[str], k: int = 5) -> DataFrame:
+    """The first k prompts in file and line order (a top-k, not a sort of all)."""
+    return read_pairs(spark, path).orderBy("file", "line_no", "pair_no").limit(k).select("prompt")

@@ -180,3 +180,15 @@ def test_running_sum_over_blocks(spark):
         assert got[i] == total[g]
     alone = {r["i"]: r["s"] for r in running_sum(df, F.col("v"), [], "i", "s", 7).collect()}
     assert alone[199] == sum(v for _, _, v in rows)
+
+
+def test_passes_pools_and_bootstrap(spark):
+    df = spark.createDataFrame([(1, 1, None, "b", "bad"), (1, 2, "a", "b", "ok"), (1, 3, None, None, "ok"), (2, 4, "a", None, "bad")], "call int, n int, x string, y string, reason string")
+    told = [r["t"] for r in df.orderBy("n").select(teacher.first_parsed([F.col("x"), F.col("y")]).alias("t")).collect()]
+    assert [(t["value"], t["pass"]) if t else None for t in told] == [("b", 1), ("a", 0), None, ("a", 0)]
+    assert [r["n"] for r in teacher.first_valid(df, "call", "n").collect()] == [2]
+    rows = spark.createDataFrame([("A b", "s1", "2"), ("a  B", "s2", "1"), (" ", "s", "0"), ("c", "s", None)], "prompt string, source string, created_at string")
+    index = {r["prompt_key"]: r["first_source"] for r in dedup.bootstrap_index(rows, "prompt", "source", "created_at").collect()}
+    assert index == {"a b": "s2", "c": "s"}
+    batch = spark.createDataFrame([(1, "A B"), (2, "new"), (3, "NEW"), (4, None)], "n int, prompt string")
+    assert [r["n"] for r in dedup.add_new(dedup.bootstrap_index(rows, "prompt", "source", "created_at"), batch, T.fold(F.col("prompt")), "n").collect()] == [2]

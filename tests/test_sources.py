@@ -22,6 +22,7 @@ def test_line_numbers_and_shapes(spark, tmp_path):
         got = {r["line_no"]: (r["p"], r["r"]) for r in read.select("line_no", jsonl.prompt_of(F.col("value"), F.col("v")).alias("p"), jsonl.response_of(F.col("value"), F.col("v")).alias("r")).collect()}
         assert got == {1: ("A", "B"), 5: ("Sobanura ibi", "yego"), 6: ("Q", "A"), 7: ("", ""), 8: ("hi", "yo")}
         pairs = [(r["line_no"], r["prompt"], r["response"]) for r in jsonl.read_pairs(spark, str(path)).orderBy("line_no", "pair_no").collect()]
+        assert [r["prompt"] for r in jsonl.head_prompts(spark, str(path), 2).collect()] == ["A", "Sobanura\nibi"]
         assert pairs == [(1, "A", "B"), (5, "Sobanura\nibi", "yego"), (8, "User: hi", "yo"), (8, "User: hi Assistant: yo User: more", "sure")]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
