@@ -186,9 +186,10 @@ class ItemIndex:
         # what quick alignment couldn't tell: a place for each diagonal that may hold enough words, then all alignments
         seen: list[int] = []
         for d in doubtful:
-            if all(abs(d - x) > 8 for x in seen):
+            if all(abs(d - x) > 2 for x in seen):
                 seen.append(d)
-                if self._may(text, item, d):
+                qs = [q for p, q in hits if abs(p - q - d) <= 3]
+                if len(qs) >= self.cfg.min_hits and self._may(text, item, d, min(qs), max(qs) + self.cfg.window):
                     lo = max(0, d - 16)
                     if self._any(text[lo : d + len(item) + 16], item):
                         return True
@@ -197,11 +198,19 @@ class ItemIndex:
     def _enough(self, words: int, edits: int) -> bool:
         return words >= self.cfg.min_words and edits <= words * self.cfg.max_edits + 1e-9
 
-    def _may(self, text: list[int], item: list[int], d: int) -> bool:
-        """Whether enough words of some stretch of the item stand near the diagonal."""
-        n, slack = self.cfg.min_words, int(self.cfg.min_words * self.cfg.max_edits)
-        near = [w in text[max(0, q + d - 9) : q + d + 10] for q, w in enumerate(item)]
-        return any(sum(near[k : k + n]) >= n - 2 * slack for k in range(len(item) - n + 1))
+    def _may(self, text: list[int], item: list[int], d: int, first: int, last: int) -> bool:
+        """Whether enough words of some stretch of the item, about its windows on the diagonal, stand near that: a passage has a stretch of `min_words`
+        with at most one edit more than such a stretch may have (an edit in each half of a passage half as long again)."""
+        n, slack = self.cfg.min_words, int(self.cfg.min_words * self.cfg.max_edits) + 1
+        missing, places = 0, []
+        for k, q in enumerate(range(max(0, first - n), min(len(item), last + n))):
+            at = q + d
+            gone = item[q] not in text[max(0, at - slack - 1) : max(0, at + slack + 2)]
+            places.append(gone)
+            missing += gone - (places[k - n] if k >= n else 0)
+            if k >= n - 1 and missing <= slack:
+                return True
+        return False
 
     def _any(self, text: list[int], item: list[int]) -> bool:
         """Whether any stretch of the item, its first and last words unchanged, stands in the text with few enough edits:
