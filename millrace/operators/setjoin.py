@@ -77,7 +77,8 @@ def similar_sets(left: DataFrame, right: DataFrame | None, least: float, frequen
 
     def keys(sets: DataFrame, label: str) -> DataFrame:
         told = sets.select("id", F.size("elements").alias("n"), keyed("elements").alias("x"))
-        return stage(told.select("id", "n", "x.low", "x.high", F.inline("x.keys")), label)
+        told = told.select("id", "n", "x.low", "x.high", F.inline("x.keys"))
+        return stage(told, label) if right is None else told  # both sides of a self-join read them
 
     a = keys(left, "keys-left")
     b = a if right is None else keys(right, "keys-right")
