@@ -92,7 +92,8 @@ def similar_sets(left: DataFrame, right: DataFrame | None, least: float, frequen
     near = near & (apart <= F.col("n_a") + F.col("n_b") - 2 * need)
     if right is None:
         near = near & (F.col("id_a") < F.col("id_b"))
-    met = a.join(b, "k").filter(near).select("id_a", "id_b").distinct()
+    # a set's keys are many times its size, which the optimiser can't know: never a broadcast
+    met = a.join(b.hint("merge"), "k").filter(near).select("id_a", "id_b").distinct()
     whole = [x.select(F.col("id").alias(f"id_{s}"), F.col("elements").alias(f"e_{s}")) for x, s in ((left, "a"), (left if right is None else right, "b"))]
     common = F.size(F.array_intersect("e_a", "e_b"))
     told = met.join(whole[0], "id_a").join(whole[1], "id_b").select("id_a", "id_b", common.alias("common"), (F.size("e_a") + F.size("e_b")).alias("total"))
