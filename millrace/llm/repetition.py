@@ -7,8 +7,9 @@ tell which texts are repetitive: least-squares boosting on histogram bins, grown
 feature declared monotone must not lower the prediction and its children's values stay on their sides of the split's
 middle. The trees are flattened to numpy node arrays, and a batch of texts goes down all trees at once.
 
-The trees are fitted on at most `max_rows` rows (those with the smallest hash of their key), labelled by the exact share;
-the cut is half the lowest score of their repetitive rows, and what passes it is checked by the exact share.
+The trees are fitted on at most `max_rows` rows (those with the smallest hash of their key), labelled by the exact share.
+The cut is half the lowest score of their repetitive rows, or the lowest score of all rows whose exact share reaches
+`least` where that is lower, so no such row falls below it; what passes it is checked by the exact share.
 Null, blank and short texts have the share 0; texts are read whole; repeated rows are told alike.
 """
 
@@ -24,8 +25,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from millrace.session import hash_sample
+from millrace.session import hash_sample, stage
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -201,7 +203,9 @@ def fit(df: DataFrame, key: str, text: str, cfg: RepetitionConfig = RepetitionCo
 
 
 def with_repetition(df: DataFrame, key: str, text: str, model: RepetitionModel) -> DataFrame:
-    """<key>, share (of repeated words), score, flagged (by the trees)."""
+    """<key>, share (of repeated words), score, flagged (by the trees).
+
+    Scores are staged, as the cut needs the lowest one of all repetitive rows (one partial aggregate)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     kinds = dict(df.select(key).dtypes)
 
@@ -210,6 +214,9 @@ def with_repetition(df: DataFrame, key: str, text: str, model: RepetitionModel)
         for batch in batches:
             told = [statistics(t) for t in batch.column(1).to_pylist()]
             score = model.trees.score(np.array([s for _, s in told]).reshape(len(told), len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a for a, _ in told], pa.float64()), pa.array(score), pa.array(score >= model.cut)], [key, "share", "score", "flagged"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a for a, _ in told], pa.float64()), pa.array(score)], [key, "share", "score"])
 
-    return df.select(key, text).mapInArrow(scan, f"`{key}` {kinds[key]}, share double, score double, flagged boolean")
+    told = stage(df.select(key, text).mapInArrow(scan, f"`{key}` {kinds[key]}, share double, score double"), "repetition")
+    lowest = told.filter(F.col("share") >= model.trees.cfg.least).agg(F.min("score").alias("_lowest"))
+    cut = F.least(F.lit(model.cut), F.col("_lowest"))  # without repetitive rows, the fitted one
+    return told.join(F.broadcast(lowest), how="cross").withColumn("flagged", F.col("score") >= cut).drop("_lowest")  # one row

@@ -54,6 +54,21 @@ def test_repetition_flags_all_by_the_exact_share(spark):
     assert repetition.with_repetition(odd, "line_no", "response", repetition.fit(odd.limit(0), "line_no", "response")).count() == 4
 
 
+def test_repetition_of_a_kind_outside_the_sample_is_flagged(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    # five of 17 to 36 words stand twice, less than the share
+    plain = [" ".join([*ws, *ws[:5]]) for ws in ([word() for _ in range(12 + k % 20)] for k in range(150))]
+    seen = [f"{x}. " * 12 for x in (" ".join(word() for _ in range(6)) for _ in range(50))]
+    model = repetition.fit(spark.createDataFrame(list(enumerate(plain + seen)), "line_no long, response string"), "line_no", "response")
+    ws = [word() for _ in range(11)]
+    other = " ".join(ws + ws[:5])  # 16 words, one run of five again: the share is 0.3125
+    df = spark.createDataFrame(list(enumerate([*plain, *seen, other])), "line_no long, response string")
+    got = {r["line_no"]: r for r in repetition.with_repetition(df, "line_no", "response", model).collect()}
+    assert got[200]["share"] == 0.3125 and got[200]["score"] < model.cut
+    assert all(r["flagged"] for r in got.values() if r["share"] >= 0.3) and sum(r["share"] >= 0.3 for r in got.values()) == 51
+
+
 # ---- splits
 
 
