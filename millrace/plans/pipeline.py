@@ -53,22 +53,24 @@ def mix_verdict(rows: DataFrame, plan: MixPlan, order: str = "line_no") -> list[
 
 
 def run(spark: SparkSession, raw: str | list[str], out: str, plan: MixPlan | None = None, train: float = 0.9, val: float = 0.05, least: int = 100) -> dict:
-    """Reads JSON lines, writes `clean`, `rejects` and `splits` under `out`, gives the reports as a dictionary."""
+    """Reads JSON lines, writes `clean`, `rejects` and `splits` under `out`, gives the reports as a dictionary.
+
+    Line numbers begin anew in each file, so rows are in the order of file and line number together."""
     lines = jsonl.read_jsonl(spark, raw)
     v = F.col("v")
     fields = {c: jsonl.field(v, f"$.{c}") for c in ("id", "conversation_id", "lang_mode", "topic", "task_type", "content_type", "source", "created_at")}
     prompt, response = jsonl.prompt_of(F.col("value"), v), jsonl.response_of(F.col("value"), v)
-    rows = lines.select("line_no", prompt.alias("prompt"), response.alias("response"), *[c.alias(k) for k, c in fields.items()], F.col("value").alias("record"))
-    told = stage(clean.with_clean_reason(rows, "line_no"), "told")
+    rows = lines.select("file", "line_no", F.struct("file", "line_no").alias("at"), prompt.alias("prompt"), response.alias("response"), *[c.alias(k) for k, c in fields.items()], F.col("value").alias("record"))
+    told = stage(clean.with_clean_reason(rows, "at"), "told")
     kept = stage(told.filter("reason = 'ok'").drop("reason", "record"), "kept")
-    jsonl.write_jsonl(kept, f"{out}/clean", "overwrite")
-    jsonl.write_jsonl(told.filter("reason <> 'ok'").select("line_no", "reason", "record"), f"{out}/rejects", "overwrite")
-    split = stage(report.with_split(kept, train, val), "split")
+    jsonl.write_jsonl(kept.drop("at"), f"{out}/clean", "overwrite")
+    jsonl.write_jsonl(told.filter("reason <> 'ok'").select("file", "line_no", "reason", "record"), f"{out}/rejects", "overwrite")
+    split = stage(report.with_split(kept.drop("at"), train, val), "split")
     jsonl.write_splits(split, f"{out}/splits")
     summaries = report.summary(split, ["split"])
     return {
         "reasons": {r["reason"]: r["n"] for r in clean.reason_counts(told).collect()},
-        "mix_failures": mix_verdict(kept, plan) if plan else [],
+        "mix_failures": mix_verdict(kept, plan, "at") if plan else [],
         "splits": {r["split"]: r["n_rows"] for r in summaries.collect()},
         "preflight_failures": sorted(r["failure"] for r in report.preflight(summaries, "split", least).collect()),
     }

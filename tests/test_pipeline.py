@@ -74,6 +74,23 @@ def test_end_to_end(spark, tmp_path):
     assert {json.loads(r["record"]).get("id") for r in spark.read.json(str(tmp_path / "out" / "rejects")).collect()} == {"i0", "bad"}
 
 
+def test_several_files(spark, tmp_path):
+    good = "Iki ni igisubizo kirekire gihagije kandi cyiza cyane nomero {}."
+    row = lambda k: {"id": f"i{k}", "prompt": f"Sobanura ikibazo cya {k}", "response": good.format(k), "lang_mode": "rw", "topic": "t"}
+    bad = {"id": "bad", "prompt": "x", "response": "y"}
+    files = {"a": [row(0), bad, row(1), row(1)], "b": [bad, row(2), row(0), row(3)], "c": [row(4)]}
+    for name, rows in files.items():
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    for raw in (str(tmp_path / "*.jsonl"), [str(tmp_path / f"{name}.jsonl") for name in files]):
+        told = pipeline.run(spark, raw, str(tmp_path / "out"), pipeline.MixPlan(max_topic=0.5), least=1)
+        assert told["reasons"] == {"ok": 5, "duplicate_prompt_response": 2, "prompt_too_short": 2} and sum(told["splits"].values()) == 5
+        assert told["mix_failures"] == ["topic_concentration_high:t:1.0000>0.5000"]
+        for part in ("clean", "splits"):
+            assert sorted(r["id"] for r in spark.read.json(str(tmp_path / "out" / part)).collect()) == [f"i{k}" for k in range(5)]
+        lost = {(r["file"][-7:], r["line_no"], r["reason"]) for r in spark.read.json(str(tmp_path / "out" / "rejects")).collect()}
+        assert lost == {("a.jsonl", 2, "prompt_too_short"), ("a.jsonl", 4, "duplicate_prompt_response"), ("b.jsonl", 1, "prompt_too_short"), ("b.jsonl", 3, "duplicate_prompt_response")}
+
+
 def test_breaker_priority(spark):
     df = spark.createDataFrame([(0, 3, 9), (2, 3, 9), (0, 0, 9), (0, 0, 1)], "a int, b int, c int")
     stop = report.breaker({"429": F.col("a"), "parse": F.col("b"), "fail": F.col("c")}, [("429", 2), ("parse", 3), ("fail", 5)])
