@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -314,6 +315,40 @@ def test_residue_kinds(spark):
     assert residue.with_residue(df.limit(0)).count() == 0
 
 
+LOST = {
+    "Connection reset by peer.": "error_page", "Délai dépassé.": "error_page", "404 - Page": "error_page", "Null pointer at 0x0.": "error_page", "panic: the job failed": "error_page",
+    "We could not complete your request.": "error_page", "Ut labore et dolore magna aliqua, ut enim ad minim veniam": "filler", "Jkl jkl jkl xxx bar.": "filler", "Ut 12 ex.": "filler",
+}
+
+
+def test_residue_without_a_usual_word(spark):
+    df = spark.createDataFrame([(t,) for t in LOST], "text string")
+    assert {r["text"]: r["kind"] for r in residue.with_residue(df).collect()} == LOST
+
+
+def test_signs_hold_wherever_a_grammar_does():
+    signs = lambda texts: residue.contentless_signs(pa.array(texts)).to_pylist()
+    assert signs(["Umusozi muremure uri mu majyaruguru.", "Do you like it, et toi? We sit here."]) == [False, False]
+
+    @settings(max_examples=100, deadline=None)
+    @given(st.one_of(*[st.from_regex(re.compile(p, re.ASCII)) for p in residue.KINDS.values()]))
+    def kinds(text):
+        for unit in text.split("\n"):
+            if any(re.search(p, unit, re.ASCII) for p in residue.KINDS.values()):
+                assert signs([text, f"Umusozi.\n{unit}\nUmusozi", f"Umusozi. {unit}"]) == [True] * 3, text
+
+    kinds()
+    rng = random.Random(5)
+    dummy, seen = [*residue._LOREM, *residue._KEYS], []
+    for _ in range(20_000):
+        words = [rng.choice([rng.choice(dummy), rng.choice(dummy).title(), "umusozi", "12", "d'ex", "do-it-do", "forêt", "éut"]) for _ in range(rng.randrange(1, 9))]
+        text = "".join(w + rng.choice([" ", ", ", " - "]) for w in words).strip() + rng.choice(["", ".", "!"])
+        n = len(re.findall(r"[^\W_]+(?:['-][^\W_]+)*", text))
+        if len(re.findall(residue._DUMMY, text, re.ASCII)) >= 0.6 * n:
+            seen += [text, f"Umusozi muremure. {text} Umusozi" if text[-1] in ".!" else text, f"Umusozi\n{text}\nUmusozi", f"Answer: {text}"]
+    assert len(seen) > 4000 and [t for t, told in zip(seen, signs(seen)) if not told] == []
+
+
 def test_all_queries_run(spark, data):
     from millrace.llm.queries import queries
 
