@@ -1,7 +1,7 @@
 import json
 import os
-import random
 from collections import Counter
+from hashlib import sha1
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,18 +24,22 @@ def test_item_reason(spark, item, reason):
         assert df.select(seed.item_reason(F.col("p"), F.col("t"), F.col("m"), wanted="transformation").alias("r")).first()["r"] == "task_type_not_requested"
 
 
-def test_choices():
-    rng, made = random.Random(1), Counter()
-    for _ in range(2000):
-        made[seed.by_deficit(rng, seed.TASK_WEIGHTS, made)] += 1
-    assert made.most_common(1)[0][0] == "rw_instruction" and set(made) <= set(seed.TASK_WEIGHTS) and len(made) > 1
-    assert seed.by_deficit(random.Random(1), {"a": 1.0, "b": 1.0}, {"a": 50, "b": 0}) == "b"
-    used = Counter()
-    for _ in range(90):
-        used[seed.least_used(rng, ["a", "b", "c"], used)] += 1
-    assert max(used.values()) - min(used.values()) <= 2
+def test_choices(spark):
+    made = lambda counts: spark.createDataFrame([(k,) for k, n in counts.items() for _ in range(n)], "task string")
+    assert seed.next_task(made({"a": 50}), "task", 1, {"a": 1, "b": 1}) == "b"
+    told = {r["name"]: r for r in seed.task_urgency(made({"a": 50, "x": 50}), "task", 1, {"a": 1, "b": 3}).collect()}
+    draw = {n: 0.85 + 0.3 * (int(sha1(f"1:{n}".encode()).hexdigest()[:8], 16) / 0xFFFFFFFF) for n in "ab"}
+    assert told["a"]["n"] == 50
+    assert abs(told["a"]["urgency"] - 0.15 * draw["a"]) < 1e-12 and abs(told["b"]["urgency"] - 3 * 2 * draw["b"]) < 1e-12
+    counts = Counter()
+    for i in range(12):
+        counts[seed.next_task(made(counts), "task", i)] += 1
+    assert set(counts) <= set(seed.TASK_WEIGHTS) and len(counts) > 3
+    used = made({"a": 3, "b": 1, "c": 2, "z": 9})
+    assert sorted(r["name"] for r in seed.open_topics(used, "task", ["a", "b", "c"]).collect()) == ["b", "c"]
+    assert {seed.next_topic(used, "task", ["a", "b", "c"], i) for i in range(8)} == {"b", "c"}
     with pytest.raises(RuntimeError):
-        seed.least_used(rng, [], {})
+        seed.open_topics(used, "task", [])
     assert seed.share_of_worker(5000, 3, 0.4) == 667 and seed.share_of_worker(0, 4) == 1
 
 
