@@ -19,29 +19,33 @@ SEEN = "prompt_key string, first_prompt string, first_source string, topic strin
 
 
 def seen_prompts(spark: SparkSession, path: str) -> DataFrame:
-    """The table of seen prompts; empty before the first run."""
+    """The table of seen prompts with the batch that wrote each; empty before the first run."""
     try:
-        return spark.read.schema(SEEN).parquet(path)
+        return spark.read.schema(f"{SEEN}, batch long").parquet(path)
     except Exception as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], SEEN)
+        return spark.createDataFrame([], f"{SEEN}, batch long")
 
 
 def accept_stream(stream: DataFrame, seen: str, accepted: str, rejected: str, checkpoint: str, order: str, judge: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Run over what is new and stop. judge adds `reason` to a batch; rows that are `ok` and new are accepted."""
+    """Run over what is new and stop. judge adds `reason` to a batch; rows that are `ok` and new are accepted.
+
+    Each batch writes folders of its own (`batch=N`) under accepted, rejected and seen, and is compared with what other
+    batches wrote. So a batch that runs again, because its commit was lost, finds the same rows new and replaces its
+    folders by the same content. A table of prompts known beforehand goes under `batch=-1` (see `start_with`)."""
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
         told = judge(rows).persist()
         try:
             good = told.filter("reason = 'ok'").drop("reason")
-            fresh = add_new(seen_prompts(spark, seen), good, T.fold(F.col("prompt")), order).persist()
-            # the batch's own folder: a batch that runs again replaces what it wrote
+            others = seen_prompts(spark, seen).filter(F.col("batch") != number)
+            fresh = add_new(others, good, T.fold(F.col("prompt")), order).persist()
             fresh.drop("prompt_key").write.mode("overwrite").parquet(f"{accepted}/batch={number}")
             told.filter("reason <> 'ok'").write.mode("overwrite").parquet(f"{rejected}/batch={number}")
             index = fresh.select("prompt_key", F.col("prompt").alias("first_prompt"), F.col("source").alias("first_source"), "topic", "created_at")
-            index.write.mode("append").parquet(seen)
+            index.write.mode("overwrite").parquet(f"{seen}/batch={number}")
             fresh.unpersist()
         finally:
             told.unpersist()
@@ -49,7 +53,13 @@ def accept_stream(stream: DataFrame, seen: str, accepted: str, rejected: str, ch
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def start_with(index: DataFrame, seen: str) -> None:
+    """Begin the table of seen prompts with an index, for instance of `dedup.bootstrap_index`."""
+    index.select("prompt_key", "first_prompt", "first_source", "topic", "created_at").write.mode("overwrite").parquet(f"{seen}/batch=-1")
+
+
 def first_seen_stream(stream: DataFrame, text: str, event_time: str, delay: str = "1 hour") -> DataFrame:
-    """A stream without repeated prompts. State is dropped when the watermark passes, so it doesn't grow for ever."""
+    """A stream without prompts repeated within `delay` of event time. State is dropped when the watermark passes it, so it
+    doesn't grow for ever; a repeat after that is let through (`accept_stream` keeps all prompts in a table instead)."""
     keyed = stream.withWatermark(event_time, delay).withColumn("prompt_key", T.fold(F.col(text)))
     return keyed.dropDuplicatesWithinWatermark(["prompt_key"])
