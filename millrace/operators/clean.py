@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.session import stage
+from millrace.session import join_by_size, stage
 
 
 @dataclass(frozen=True)
@@ -60,17 +60,22 @@ def judged(df: DataFrame, prompt: str, response: str, mode: str, cfg: CleanConfi
 def with_clean_reason(df: DataFrame, order: str, prompt: str = "prompt", response: str = "response", mode: str = "lang_mode", cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """`df` and `reason`: the first failing check, `duplicate_prompt_response` for a later copy of a kept pair, or `ok`.
 
-    Rows are judged once, into a staged table of (order, reason, digest of the pair). Copies are found by the first row of
-    each digest, a partial aggregate that a group of a third of all rows doesn't strain; no window ranks a whole group. The
-    verdicts are joined back by the unique order column."""
-    told = judged(df.select(order, prompt, response, mode), prompt, response, mode, cfg)
-    key = F.when(F.col("_reason") == "ok", F.unhex(F.md5(F.concat(F.lower("_p"), F.lit("\n"), F.lower("_r")).cast("binary"))))
-    told = stage(told.select(F.col(order).alias("_order"), "_reason", key.alias("_key")), "judged")
-    first = told.filter("_key IS NOT NULL").groupBy("_key").agg(F.min("_order").alias("_order")).select("_order", F.lit(True).alias("_first"))
-    verdict = F.when((F.col("_reason") == "ok") & F.col("_first").isNull(), "duplicate_prompt_response").otherwise(F.col("_reason"))
-    told = told.join(first, "_order", "left").select("_order", verdict.alias("_verdict"))
-    joined = df.join(told, df[order] == told["_order"], "left").withColumn("reason", F.col("_verdict"))
-    return joined.drop("_order", "_verdict")
+    A reason but that of copies follows from the row alone. Rows that are good so far give (order, digest of the pair), of
+    which `later_copies` are looked up; the rows themselves, with their texts, aren't shuffled unless those are many."""
+    good = judged(df.select(order, prompt, response, mode), prompt, response, mode, cfg).filter("_reason = 'ok'")
+    later = later_copies(good.select(F.col(order).alias("_order"), F.unhex(F.md5(F.concat(F.lower("_p"), F.lit("\n"), F.lower("_r")).cast("binary"))).alias("_key")))
+    told = judged(df, prompt, response, mode, cfg).drop("_p", "_r")
+    joined = join_by_size(told, later.withColumn("_later", F.lit(True)), told[order] == later["_order"], "left")
+    verdict = F.when((F.col("_reason") == "ok") & F.col("_later"), "duplicate_prompt_response").otherwise(F.col("_reason"))
+    return joined.withColumn("reason", verdict).drop("_order", "_later", "_reason")
+
+
+def later_copies(keyed: DataFrame) -> DataFrame:
+    """_order of the rows (_order, _key) that aren't the first of their key, staged. Keys that stand once fall out in a
+    partial aggregate, which a key of a third of all rows doesn't strain; no window ranks a key's rows."""
+    keyed = stage(keyed, "keys")
+    several = keyed.groupBy("_key").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    return stage(keyed.join(several, "_key").filter("_order <> _first").select("_order"), "later")
 
 
 def cleaned(df: DataFrame, order: str, prompt: str = "prompt", response: str = "response", mode: str = "lang_mode", cfg: CleanConfig = CleanConfig()) -> DataFrame:
@@ -91,10 +96,9 @@ def reason_counts(told: DataFrame) -> DataFrame:
 
 def keep_first(df: DataFrame, key: Column, order: str) -> DataFrame:
     """The first row of each key (rows of a null key all stay)."""
-    keyed = df.withColumn("_key", key)
-    first = keyed.filter("_key IS NOT NULL").groupBy("_key").agg(F.min(order).alias("_first")).select("_first")
-    joined = keyed.join(first, keyed[order] == first["_first"], "left")
-    return joined.filter("_key IS NULL OR _first IS NOT NULL").drop("_key", "_first")
+    digest = F.unhex(F.md5(key.cast("binary")))
+    later = later_copies(df.select(F.col(order).alias("_order"), digest.alias("_key")).filter("_key IS NOT NULL"))
+    return join_by_size(df, later, df[order] == later["_order"], "left_anti")
 
 
 def best_record(df: DataFrame, key: Column, scored: list[str], created: str, order: list[str]) -> DataFrame:
@@ -108,11 +112,12 @@ def best_record(df: DataFrame, key: Column, scored: list[str], created: str, ord
 
 
 def frequent_prefixes(df: DataFrame, text: str, created: str, order: str, sample: int = 5000, size: int = 4, limit: int = 50) -> DataFrame:
-    """Openings of at least two of the newest `sample` texts, most frequent first."""
+    """Openings of at least two of the newest `sample` texts, most frequent first, of equals the one seen first (newest)."""
     newest = df.orderBy(F.desc(created), order).limit(sample)
     ws = T.space_words(F.col(text))
-    opened = newest.filter(F.size(ws) >= 2).select(F.array_join(F.slice(ws, 1, size), " ").alias("prefix"))
-    return opened.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2").orderBy(F.desc("n"), "prefix").limit(limit)
+    opened = newest.filter(F.size(ws) >= 2).select(F.array_join(F.slice(ws, 1, size), " ").alias("prefix"), F.struct(F.col(created).alias("c"), (-F.col(order)).alias("o")).alias("seen"))
+    counted = opened.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.max("seen").alias("seen")).filter("n >= 2")
+    return counted.orderBy(F.desc("n"), F.desc("seen")).limit(limit).select("prefix", "n")
 
 
 def recent(df: DataFrame, created: str, order: str, limit: int, topic: str | None = None, column: str = "topic") -> DataFrame:

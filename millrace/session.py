@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -30,9 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`; a local one is set only where that is unset."""
+    """The folder all executors share: `spark.checkpoint.dir`. Where that is unset, a session on one machine gets a folder of
+    its own; a cluster's session is refused, as other executors couldn't read what is written there."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = getattr(spark, "_millrace_dir", None)
         if not at:
             at = tempfile.mkdtemp(prefix="millrace-")
@@ -43,12 +47,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts lineage, survives the loss of executors, and lets
-    several consumers read a costly result that is computed once. The files go when the application ends."""
+    several consumers read a costly result that is computed once. The files go when the application ends, or by `release`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _remove_at_end(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._millrace_path = path
+    return staged
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in staged:
+        spark = df.sparkSession
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._millrace_path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+#: Rows of a narrow table (keys, marks) up to which it is sent to all executors
+SMALL_ROWS = 500_000
+
+
+def join_by_size(df: DataFrame, narrow: DataFrame, on: Column | list[str], how: str, most: int = SMALL_ROWS) -> DataFrame:
+    """`df` joined with a staged narrow table: sent whole to the executors if it has at most `most` rows (counted from the
+    staged files), else joined by shuffle. `df` is then not shuffled for a handful of rows, and nothing unbounded is sent."""
+    return df.join(F.broadcast(narrow) if narrow.limit(most + 1).count() <= most else narrow, on, how)
 
 
 def _remove_at_end(spark: SparkSession, path: str) -> None:
