@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.session import running_sum
 
 _MARK = "\u0001"
 
@@ -44,8 +45,10 @@ def history_pairs(messages: Column) -> Column:
 def turn_pairs(turns: DataFrame, conversation: str, place: str, window: int = 8, block: int = 1000) -> DataFrame:
     """conversation, turn, prompt (the last `window` messages as lines), response, for each assistant message.
 
-    turns: one row per message with dense `place` from 1, role and content. A conversation is cut into blocks of places,
-    each with the messages before it that its frames need, so one conversation of any length is many tasks' work."""
+    turns: one row per message with dense `place` from 1, role and content. A turn's number counts the assistant messages
+    up to it. A conversation is cut into blocks of places, each with the messages before it that its frames need, and turns
+    are counted per block, so one conversation of any length is many tasks' work."""
+    turns = running_sum(turns, F.when(F.col("role") == "assistant", 1).otherwise(0), [conversation], place, "_turn", block)
     at = F.floor((F.col(place) - 1) / block)
     spread = F.array_distinct(F.array(at, F.floor((F.col(place) - 1 + window) / block)))
     placed = turns.withColumn("_own", at).withColumn("_block", F.explode(spread))
@@ -53,7 +56,18 @@ def turn_pairs(turns: DataFrame, conversation: str, place: str, window: int = 8,
     lines = F.concat(F.when(F.col("role") == "user", "User: ").otherwise("Assistant: "), F.col("content"))
     told = placed.withColumn("_line", lines).withColumn("prompt", F.array_join(F.collect_list("_line").over(w.rowsBetween(-window, -1)), "\n"))
     answers = told.filter((F.col("_own") == F.col("_block")) & (F.col("role") == "assistant") & (F.col("prompt") != ""))
-    return answers.select(conversation, (F.col(place) / 2).cast("bigint").alias("turn"), "prompt", F.col("content").alias("response"))
+    return answers.select(conversation, F.col("_turn").cast("bigint").alias("turn"), "prompt", F.col("content").alias("response"))
+
+
+def pair_records(pairs: DataFrame, conversation: str, task_type: str = "followup_clarification") -> DataFrame:
+    """Turn pairs as records: id (conversation, `_t` and the turn of two digits or more), labels, and the language mode told
+    from prompt and response together."""
+    turn = F.col("turn").cast("string")
+    number = F.when(F.col("turn") < 10, F.concat(F.lit("0"), turn)).otherwise(turn)
+    return pairs.select(
+        F.concat(F.col(conversation), F.lit("_t"), number).alias("id"), F.col(conversation).alias("conversation_id"), "turn", "prompt", "response",
+        F.lit(task_type).alias("task_type"), F.lit("chat_multiturn").alias("content_type"), T.inferred_mode(F.concat("prompt", F.lit(" "), "response")).alias("lang_mode"),
+    )
 
 
 def messages_reason(messages: Column, least: int = 2, most: int = 8, ascii_only: bool = False) -> Column:

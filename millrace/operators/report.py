@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
-from millrace.session import running_sum
+from millrace.session import running_sum, stage
 
 
 def split_key(conversation: Column, record: Column, prompt: Column, whole: Column) -> Column:
@@ -86,6 +86,16 @@ def failure_runs(log: DataFrame, by: str, order: str, failed: Column) -> DataFra
     return told.filter("_f").groupBy(by, "_good").agg(F.min(order).alias("started"), F.count(F.lit(1)).alias("length")).drop("_good")
 
 
+def streak(log: DataFrame, by: str, order: str, failed: str, name: str) -> DataFrame:
+    """`log` with the number of failures in a row up to and with each row (0 after a success). Both sums are running sums over
+    blocks: failures so far, less those up to the last success, which its number of successes tells."""
+    bad = F.coalesce(F.col(failed), F.lit(False))
+    told = running_sum(log, F.when(bad, 0).otherwise(1), [by], order, "_good")
+    told = stage(running_sum(told, F.when(bad, 1).otherwise(0), [by], order, "_bad"), "streak")  # read twice
+    before = told.groupBy(by, "_good").agg(F.min(F.col("_bad") - F.when(bad, 1).otherwise(0)).alias("_before"))
+    return told.join(before, [by, "_good"]).withColumn(name, F.col("_bad") - F.col("_before")).drop("_good", "_bad", "_before")
+
+
 def breaker(consecutive: dict[str, Column], limits: list[tuple[str, int]]) -> Column:
     """The first limit reached, in the order given, or the empty string. A limit of 0 is off."""
     out = F.lit("")

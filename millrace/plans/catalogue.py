@@ -167,11 +167,11 @@ def exact_dedup_keep_first(spark: SparkSession, d: str) -> DataFrame:
     return clean.keep_first(table(spark, d, "prompt_seed_final"), T.fold(F.col("prompt")), "line_no").select("line_no")
 
 
-_FITS = " OR ".join(f"(t = '{t}' AND m IN ({', '.join(repr(x) for x in ms.split())}))" for t, ms in seed.COMPATIBLE.items())
+_FITS = " OR ".join(f"(t = '{t}' AND m IN ({', '.join(repr(x) for x in ms)}))" for t, ms in seed.COMPATIBLE.items())
 
 
 @query(f"""SELECT line_no, CASE WHEN p = '' THEN 'empty_prompt' WHEN length(p) < 10 THEN 'prompt_too_short' WHEN length(p) > 260 THEN 'prompt_too_long'
-  WHEN NOT list_contains({_list(list(seed.COMPATIBLE))}, t) THEN 'invalid_task_type' WHEN NOT list_contains({_list(list(seed.MODES))}, m) THEN 'invalid_lang_mode'
+  WHEN NOT list_contains({_list(list(seed.COMPATIBLE))}, t) THEN 'invalid_task_type' WHEN NOT list_contains({_list(seed.MODES)}, m) THEN 'invalid_lang_mode'
   WHEN NOT ({_FITS}) THEN 'task_lang_mode_mismatch' ELSE 'ok' END AS reason
   FROM (SELECT line_no, {_na("prompt")} AS p, {_n("task_type")} AS t, {_n("lang_mode")} AS m FROM prompt_seed_final)""")
 def seed_validation(spark: SparkSession, d: str) -> DataFrame:
@@ -201,8 +201,8 @@ def merge_lineage_counts(spark: SparkSession, d: str) -> DataFrame:
     return _best(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""SELECT array_to_string(ws[1:4], ' ') AS prefix, count(*) AS n FROM (SELECT list_filter(string_split(lower({_n("prompt")}), ' '), lambda w: w <> '') AS ws
-  FROM (SELECT prompt FROM prompt_seed_final ORDER BY created_at DESC NULLS LAST, line_no LIMIT 5000)) WHERE len(ws) >= 2 GROUP BY 1 HAVING count(*) >= 2 ORDER BY n DESC, prefix LIMIT 50""")
+@query(f"""SELECT array_to_string(ws[1:4], ' ') AS prefix, count(*) AS n FROM (SELECT place, list_filter(string_split(lower({_n("prompt")}), ' '), lambda w: w <> '') AS ws
+  FROM (SELECT prompt, row_number() OVER (ORDER BY created_at DESC NULLS LAST, line_no) AS place FROM prompt_seed_final) WHERE place <= 5000) WHERE len(ws) >= 2 GROUP BY 1 HAVING count(*) >= 2 ORDER BY n DESC, min(place) LIMIT 50""")
 def frequent_prefixes(spark: SparkSession, d: str) -> DataFrame:
     return clean.frequent_prefixes(table(spark, d, "prompt_seed_final"), "prompt", "created_at", "line_no")
 
@@ -262,6 +262,17 @@ def chat_turns_window8(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("conv", "turn", F.md5(F.col("prompt").cast("binary")).alias("prompt_md5"), F.char_length("prompt").cast("bigint").alias("n_chars"), F.md5(F.col("response").cast("binary")).alias("response_md5"))
 
 
+@query(f"""SELECT conv || '_t' || CASE WHEN turn < 10 THEN '0' ELSE '' END || turn AS id, turn, 'chat_multiturn' AS content_type, 'followup_clarification' AS task_type,
+  CASE WHEN len({_wl("prompt || ' ' || response")}) > 0 AND {_share(_wl("prompt || ' ' || response"), T.MIXING)} >= 0.12::DOUBLE THEN 'rw_mixed' ELSE 'rw' END AS lang_mode FROM (
+  SELECT conv, sum((role = 'assistant')::INT) OVER (PARTITION BY conv ORDER BY place)::BIGINT AS turn, role, content AS response,
+    string_agg(line, chr(10)) OVER (PARTITION BY conv ORDER BY place ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS prompt FROM (
+    SELECT conv, turn * 2 - 1 AS place, 'user' AS role, said AS content, 'User: ' || said AS line FROM {_TURNS_SQL}
+    UNION ALL SELECT conv, turn * 2, 'assistant', response, 'Assistant: ' || response FROM {_TURNS_SQL})) WHERE role = 'assistant' AND prompt <> ''""")
+def chat_turn_records(spark: SparkSession, d: str) -> DataFrame:
+    """Turn pairs as records with their ids, labels and language mode."""
+    return chat.pair_records(chat.turn_pairs(_turns(spark, d), "conv", "place"), "conv").select("id", "turn", "content_type", "task_type", "lang_mode")
+
+
 @query(f"""WITH m AS (SELECT line_no, list_slice(ms, list_position(list_transform(ms, lambda m: m.role), 'user'), len(ms)) AS ms FROM {_M} WHERE list_contains(list_transform(ms, lambda m: m.role), 'user')),
   x AS (SELECT line_no, ms, unnest(range(1, len(ms) + 1)) AS i FROM m)
   SELECT line_no, (i - 1)::BIGINT AS place, md5({_n("array_to_string(list_transform(ms[1:i-1], lambda m: CASE WHEN m.role = 'user' THEN 'User: ' ELSE 'Assistant: ' END || m.content), chr(10))")}) AS prompt_md5,
@@ -499,16 +510,21 @@ def micro_batches(spark: SparkSession, d: str) -> DataFrame:
     return tokens.batch_numbers(table(spark, d, "prompt_seed_final").select("line_no"), "line_no", 5)
 
 
+def _examples(spark: SparkSession, d: str) -> DataFrame:
+    """Token examples of all splits, by the character tokenizer."""
+    return tokens.examples(_sft(spark, d).select("split", "line_no", "prompt", "response"), tokens.char_ids, "prompt", "response", 512, "<eos>")
+
+
 _PTEXT = f"(CASE WHEN starts_with({_n('prompt')}, 'User: ') THEN {_n('prompt')} ELSE 'User: ' || {_n('prompt')} END || chr(10) || 'Assistant: ')"
 _IDS = "list_transform(list_filter(string_split({x}, ''), lambda c: c <> ''), lambda c: (unicode(c) % 251)::INT)"
-_EXAMPLE = f"""(SELECT line_no, p, f[1:512] AS f FROM (SELECT line_no, length({_PTEXT}) AS p, {_IDS.format(x=f"{_PTEXT} || coalesce(response, '') || '<eos>'")} AS f FROM sft_val))"""
+_EXAMPLE = f"""(SELECT split, line_no, p, f[1:512] AS f FROM (SELECT split, line_no, length({_PTEXT}) AS p, {_IDS.format(x=f"{_PTEXT} || coalesce(response, '') || '<eos>'")} AS f FROM {_SFT}))"""
 
 
 @query(f"""SELECT line_no, array_to_string(f, ' ') AS input_ids, array_to_string(list_transform(range(1, len(f) + 1), lambda i: CASE WHEN i <= p THEN -100 ELSE f[i] END), ' ') AS labels,
   (len(f) - least(p, len(f)))::BIGINT AS supervised FROM {_EXAMPLE} WHERE len(f) > p""")
 def char_tokens_masked(spark: SparkSession, d: str) -> DataFrame:
     """Token examples with masked prompts, by a character tokenizer."""
-    made = tokens.examples(table(spark, d, "sft_val").select("line_no", "prompt", "response"), tokens.char_ids, "prompt", "response", 512, "<eos>")
+    made = _examples(spark, d)
     text = lambda c: F.array_join(F.transform(c, lambda i: i.cast("string")), " ")
     return made.select("line_no", text("input_ids").alias("input_ids"), text("labels").alias("labels"), F.col("supervised").cast("bigint").alias("supervised"))
 
@@ -519,16 +535,17 @@ _BATCHED = f"(SELECT line_no, f, p, (row_number() OVER (ORDER BY line_no) - 1) /
 @query(f"""SELECT line_no, batch, max(len(f)) OVER (PARTITION BY batch)::BIGINT AS width, len(f)::BIGINT AS n_real FROM {_BATCHED}""")
 def padded_batches(spark: SparkSession, d: str) -> DataFrame:
     """Batches of eight, padded to their longest."""
-    made = tokens.examples(table(spark, d, "sft_val").select("line_no", "prompt", "response"), tokens.char_ids, "prompt", "response", 512, "<eos>")
+    made = _examples(spark, d)
     full = tokens.padded(tokens.batch_numbers(made, "line_no", 8))
     real = F.aggregate("mask", F.lit(0), lambda a, x: a + x)
     return full.select("line_no", "batch", F.size("input_ids").cast("bigint").alias("width"), real.cast("bigint").alias("n_real"))
 
 
-@query(f"""SELECT batch, sum(len(f) - least(p, len(f)))::BIGINT AS supervised, count(*) AS n FROM {_BATCHED} WHERE batch < 32 GROUP BY batch""")
+@query(f"""SELECT batch, sum(len(f) - least(p, len(f)))::BIGINT AS supervised, count(*) AS n FROM (SELECT f, p, (row_number() OVER (ORDER BY line_no) - 1) // 8 AS batch FROM {_EXAMPLE}
+  WHERE len(f) > p AND split = 'val') WHERE batch < 32 GROUP BY batch""")
 def eval_batches(spark: SparkSession, d: str) -> DataFrame:
     """Supervised tokens of the evaluation's batches (at most 32, as the evaluation loop takes them)."""
-    made = tokens.examples(table(spark, d, "sft_val").select("line_no", "prompt", "response"), tokens.char_ids, "prompt", "response", 512, "<eos>")
+    made = _examples(spark, d).filter("split = 'val'")
     capped = tokens.batch_numbers(made, "line_no", 8).filter("batch < 32")
     return capped.groupBy("batch").agg(F.sum("supervised").cast("bigint").alias("supervised"), F.count(F.lit(1)).alias("n"))
 
@@ -541,10 +558,10 @@ def json_props_extract(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
 
 
-@query(f"""SELECT line_no, {_na("prompt")} AS prompt, {_na("response")} AS response, coalesce(nullif({_n("id")}, ''), 'auto_' || substr(sha1(line_no || ':' || {_na("prompt")}), 1, 16)) AS record FROM sft_val""")
+@query(f"""SELECT line_no, {_na("prompt")} AS prompt, {_na("response")} AS response, coalesce(nullif({_n("id")}, ''), 'auto_' || substr(sha1(line_no || ':' || {_na("prompt")}), 1, 16)) AS record FROM {_SFT}""")
 def record_extraction(spark: SparkSession, d: str) -> DataFrame:
     """Prompt, response and id of records given as JSON text."""
-    rows = table(spark, d, "sft_val")
+    rows = _sft(spark, d)
     lines = rows.select("line_no", F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")).withColumn("v", F.try_parse_json("value"))
     prompt = jsonl.prompt_of(F.col("value"), F.col("v"))
     return lines.select("line_no", prompt.alias("prompt"), jsonl.response_of(F.col("value"), F.col("v")).alias("response"), T.record_id(jsonl.field(F.col("v"), "$.id"), F.col("line_no"), prompt).alias("record"))
@@ -575,12 +592,19 @@ def json_salvage(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("line_no", F.schema_of_variant("v").alias("schema"))
 
 
-@query(r"""WITH l AS (SELECT line_no, unnest(string_split_regex(coalesce(response, ''), '\r\n|\n|\r')) AS s, unnest(range(len(string_split_regex(coalesce(response, ''), '\r\n|\n|\r')))) AS i FROM chat_seed_pairs),
-  b AS (SELECT line_no, i, NORM AS s FROM l WHERE NOT regexp_matches(s, '(?i)^\s*(?:```|json\s*$|(?:here|below|these) are\b|sure\b)')),
-  f AS (SELECT line_no, s, i FROM b WHERE s <> '' QUALIFY row_number() OVER (PARTITION BY line_no, lower(s) ORDER BY i) = 1)
-  SELECT line_no, (row_number() OVER (PARTITION BY line_no ORDER BY i))::BIGINT AS place, s AS item FROM f""".replace(
-    "NORM", _n(r"regexp_replace(s, '(?i)^\s*(?:[-*•◦▪●]\s+|\(?\d+\)?[.)]?\s+|\(?[a-z]\)?[.)]\s+|(?:prompt|question|user)\s*:\s+)', '')")
-))
+_WSC = _WS[:-1]
+_NOT_WS = "[^" + _WSC[1:]
+_LABELLED = f"""regexp_matches(b, '(?i)^(prompt|question|user){_WSC}*:{_WSC}')"""
+
+
+@query(rf"""WITH l AS (SELECT line_no, unnest(string_split_regex(coalesce(response, ''), '\r\n|\n|\r')) AS s, unnest(range(len(string_split_regex(coalesce(response, ''), '\r\n|\n|\r')))) AS i FROM chat_seed_pairs),
+  o AS (SELECT line_no, i, lower({_n("s")}) AS f, regexp_replace(s, '^{_WS}', '') AS b FROM l),
+  k AS (SELECT line_no, i, b, regexp_extract(b, '^({_NOT_WS}+){_WSC}', 1) AS t FROM o WHERE NOT (starts_with(f, '```') OR f = 'json'
+    OR list_bool_or(list_transform({_list(jsonl.INTRODUCTIONS)}, lambda p: starts_with(f, p) AND NOT regexp_matches(substr(f, length(p) + 1, 1), '[\p{{L}}\p{{N}}_]'))))),
+  m AS (SELECT line_no, i, {_n(rf"""CASE WHEN list_contains({_list(jsonl.BULLETS)}, t) OR regexp_matches(t, '^\(?\p{{Nd}}+[.)]{{0,2}}$') OR regexp_matches(t, '^\(?[A-Za-z][.)]{{1,2}}$')
+    THEN substr(b, length(t) + 1) WHEN {_LABELLED} THEN regexp_replace(b, '^[^:]*:', '') ELSE b END""")} AS s FROM k),
+  f AS (SELECT line_no, s, i FROM m WHERE s <> '' QUALIFY row_number() OVER (PARTITION BY line_no, lower(s) ORDER BY i) = 1)
+  SELECT line_no, (row_number() OVER (PARTITION BY line_no ORDER BY i))::BIGINT AS place, s AS item FROM f""")
 def line_parser(spark: SparkSession, d: str) -> DataFrame:
     """Items of responses written as lists."""
     told = table(spark, d, "chat_seed_pairs").select("line_no", F.posexplode(jsonl.listed_prompts(F.col("response"))).alias("place", "item"))
@@ -597,12 +621,22 @@ def failure_runs(spark: SparkSession, d: str) -> DataFrame:
     return report.failure_runs(table(spark, d, "events"), "user_id", "event_id", F.col("event_type") == "error")
 
 
-@query("""WITH x AS (SELECT *, event_type = 'error' AS f, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS g FROM events)
-  SELECT user_id, started, CASE WHEN length >= 3 THEN 'consecutive_parse_limit_reached' WHEN length >= 2 THEN 'consecutive_fail_limit_reached' ELSE '' END AS stop FROM (SELECT user_id, min(event_id) AS started, count(*) AS length FROM x WHERE f GROUP BY user_id, g)""")
+_STREAK = """count(*) FILTER (WHERE {c}) OVER (PARTITION BY user_id, g{c} ORDER BY event_id)"""
+_KINDS = "SELECT user_id, event_id, (event_type = 'error' AND event_id % 3 = 0) AS a, (event_type = 'error' AND event_id % 3 = 1) AS b, event_type = 'error' AS c FROM events"
+
+
+@query(f"""WITH k AS ({_KINDS}), g AS (SELECT *, count(*) FILTER (WHERE NOT a) OVER w AS ga, count(*) FILTER (WHERE NOT b) OVER w AS gb, count(*) FILTER (WHERE NOT c) OVER w AS gc
+    FROM k WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+  n AS (SELECT user_id, event_id, {_STREAK.format(c="a")} AS na, {_STREAK.format(c="b")} AS nb, {_STREAK.format(c="c")} AS nc FROM g)
+  SELECT user_id, event_id, CASE WHEN na >= 2 THEN 'consecutive_429_limit_reached' WHEN nb >= 2 THEN 'consecutive_parse_limit_reached' WHEN nc >= 3 THEN 'consecutive_fail_limit_reached' ELSE '' END AS stop FROM n""")
 def circuit_breaker(spark: SparkSession, d: str) -> DataFrame:
-    runs = failure_runs(spark, d)
-    stop = report.breaker({"429": F.lit(0), "parse": F.col("length"), "fail": F.col("length")}, [("429", 2), ("parse", 3), ("fail", 2)])
-    return runs.select("user_id", "started", stop.alias("stop"))
+    """After each event, the first limit of consecutive failures that is reached: too many requests, unreadable output, any failure."""
+    kind = F.when(F.col("event_type") == "error", F.pmod("event_id", F.lit(3)))
+    log = table(spark, d, "events").select("user_id", "event_id", (kind == 0).alias("429"), (kind == 1).alias("parse"), kind.isNotNull().alias("fail"))
+    for name in ("429", "parse", "fail"):
+        log = report.streak(log, "user_id", "event_id", name, f"n_{name}")
+    stop = report.breaker({k: F.col(f"n_{k}") for k in ("429", "parse", "fail")}, [("429", 2), ("parse", 2), ("fail", 3)])
+    return log.select("user_id", "event_id", stop.alias("stop"))
 
 
 @query("""SELECT event_id, CASE WHEN contains(e, 'error') THEN 'failed' WHEN contains(e, 'sign') THEN 'joined' ELSE 'other' END AS class FROM (SELECT event_id, lower(event_type) AS e FROM events)""")

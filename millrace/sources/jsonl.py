@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.session import join_by_size, stage
 
 PAIRS = "array<struct<prompt:string,response:string>>"
 
@@ -21,8 +22,9 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
     told = lines.select(meta["file_path"].alias("file"), "value", meta["file_block_start"].alias("_at"), F.monotonically_increasing_id().alias("_i"))
     blocks = told.groupBy("file", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min("_i").alias("_first"))
     before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("file", "_at", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return told.join(F.broadcast(starts), ["file", "_at"]).select("file", (F.col("_start") + F.col("_i") - F.col("_first") + 1).alias("line_no"), "value")  # a row per block
+    starts = stage(blocks.select("file", "_at", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "blocks")
+    joined = join_by_size(told, starts, ["file", "_at"], "inner", 200_000)  # a row per block
+    return joined.select("file", (F.col("_start") + F.col("_i") - F.col("_first") + 1).alias("line_no"), "value")
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -57,7 +59,7 @@ def _said(v: Column, role: str) -> Column:
 def prompt_of(value: Column, v: Column) -> Column:
     """The prompt of a record of any shape; the first key present decides, even if it is null."""
     get = lambda k: T.norm_ascii(field(v, f"$.{k}"))
-    joined = F.when(get("input") != "", T.norm_ascii(F.concat(get("instruction"), F.lit("\n"), get("input")))).otherwise(get("instruction"))
+    joined = F.when(get("input") != "", F.concat(get("instruction"), F.lit("\n"), get("input"))).otherwise(get("instruction"))
     return F.when(has(value, "prompt"), get("prompt")).when(has(value, "question"), get("question")).when(has(value, "instruction") & has(value, "output"), joined).otherwise(_said(v, "user"))
 
 
@@ -138,14 +140,44 @@ def completion_text(v: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(t), F.lit("")) for t in tries], F.lit(""))
 
 
+# What a list's lines may begin with, and how a line begins that only introduces the list.
+BULLETS = ["-", "*", "•", "◦", "▪", "●"]
+LABELS = ["prompt", "question", "user"]
+INTRODUCTIONS = ["sure", "here are", "below are", "these are"]
+
+
+def _is_marker(token: Column) -> Column:
+    """A bullet, a number or a single letter as an item's mark: 7  7.  (7)  7).  a)  (a)  a."""
+    bare = F.regexp_replace(F.regexp_replace(token, r"^\(", ""), r"[.)]{1,2}$", "")
+    closed = F.endswith(token, F.lit(")")) | F.endswith(token, F.lit("."))
+    return token.isin(BULLETS) | F.rlike(bare, F.lit(r"^\p{Nd}+$")) | (closed & F.rlike(bare, F.lit("^[A-Za-z]$")))
+
+
+def _introduces(line: Column) -> Column:
+    """A folded line that opens a fence, names the format, or says that a list follows."""
+    told = F.startswith(line, F.lit("```")) | (line == "json")
+    for phrase in INTRODUCTIONS:
+        after = F.substring(line, len(phrase) + 1, 1)
+        told = told | (F.startswith(line, F.lit(phrase)) & ~F.rlike(after, F.lit(r"[\p{L}\p{N}_]")))
+    return told
+
+
+def _item(line: Column) -> Column:
+    """A line without its mark or label: what follows the first white space if a mark stands before it, and what follows the
+    first colon if a label does."""
+    bare = F.regexp_replace(line, r"(?U)^\s+", "")
+    first, rest = F.regexp_extract(bare, r"(?Us)^(\S+)\s", 1), F.regexp_extract(bare, r"(?Us)^\S+\s+(.*)$", 1)
+    label, said = F.lower(T.norm(F.substring_index(bare, ":", 1))), F.regexp_extract(bare, r"(?s)^[^:]*:(.*)$", 1)
+    return F.when((first != "") & _is_marker(first), rest).when(label.isin(LABELS) & F.rlike(said, F.lit(r"(?U)^\s")), said).otherwise(bare)
+
+
 def listed_prompts(x: Column) -> Column:
-    """Lines of a list without bullets, numbers and labels; wrapper lines dropped; of equal lines (case aside) the first."""
-    lines = F.split(F.coalesce(x, F.lit("")), r"\r\n|\n|\r")
-    kept = F.filter(lines, lambda s: ~F.rlike(s, F.lit(r"(?i)^\s*(?:```|json\s*$|(?:here|below|these) are\b|sure\b)")))
-    bare = F.transform(kept, lambda s: T.norm(F.regexp_replace(s, r"(?i)^\s*(?:[-*•◦▪●]\s+|\(?\d+\)?[.)]?\s+|\(?[a-z]\)?[.)]\s+|(?:prompt|question|user)\s*:\s+)", "")))
-    bare = F.filter(bare, lambda s: s != "")
-    low = F.transform(bare, F.lower)
-    return F.filter(bare, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)
+    """The items of an answer written as a list, one a line: introductions and fences dropped, marks and labels taken off,
+    white space made plain; of equal items (case aside) the first."""
+    lines = F.filter(F.split(F.coalesce(x, F.lit("")), r"\r\n|\n|\r"), lambda s: ~_introduces(T.fold(s)))
+    items = F.filter(F.transform(lines, lambda s: T.norm(_item(s))), lambda s: s != "")
+    low = F.transform(items, F.lower)
+    return F.filter(items, lambda s, i: F.array_position(low, F.lower(s)) == i + 1)
 
 
 # ---- writing

@@ -20,7 +20,7 @@ def test_line_numbers_and_shapes(spark, tmp_path):
     try:
         read = jsonl.read_jsonl(spark, str(path))
         got = {r["line_no"]: (r["p"], r["r"]) for r in read.select("line_no", jsonl.prompt_of(F.col("value"), F.col("v")).alias("p"), jsonl.response_of(F.col("value"), F.col("v")).alias("r")).collect()}
-        assert got == {1: ("A", "B"), 5: ("Sobanura ibi", "yego"), 6: ("Q", "A"), 7: ("", ""), 8: ("hi", "yo")}
+        assert got == {1: ("A", "B"), 5: ("Sobanura\nibi", "yego"), 6: ("Q", "A"), 7: ("", ""), 8: ("hi", "yo")}
         pairs = [(r["line_no"], r["prompt"], r["response"]) for r in jsonl.read_pairs(spark, str(path)).orderBy("line_no", "pair_no").collect()]
         assert [r["prompt"] for r in jsonl.head_prompts(spark, str(path), 2).collect()] == ["A", "Sobanura\nibi"]
         assert pairs == [(1, "A", "B"), (5, "Sobanura\nibi", "yego"), (8, "User: hi", "yo"), (8, "User: hi Assistant: yo User: more", "sure")]
@@ -46,15 +46,21 @@ def test_completion_shapes(spark):
 
 def test_listed_prompts(spark):
     text = "Here are the prompts:\n1. First one\n- second\n* Second\n(a) third\nPrompt: fourth\n```\n"
-    assert spark.createDataFrame([(text,)], "t string").select(jsonl.listed_prompts(F.col("t")).alias("x")).first()["x"] == ["First one", "second", "third", "fourth"]
+    more = " json \nSurely not an introduction\n7 apples\n(12) twelve\nA plain line\nb) lettered\nUser : asks\nprompt:glued\n-\n• \nsure, here"
+    got = spark.createDataFrame([(1, text), (2, more), (3, None), (4, "")], "i int, t string").orderBy("i").select(jsonl.listed_prompts(F.col("t")).alias("x")).collect()
+    assert got[0]["x"] == ["First one", "second", "third", "fourth"]
+    assert got[1]["x"] == ["Surely not an introduction", "apples", "twelve", "A plain line", "lettered", "asks", "prompt:glued", "-"]
+    assert got[2]["x"] == got[3]["x"] == []
 
 
 def test_write_and_read_back(spark, tmp_path):
     df = spark.createDataFrame([(1, None, "train"), (2, "x", "val")], "n int, t string, split string")
     jsonl.write_splits(df, str(tmp_path / "s"))
     assert spark.read.json(str(tmp_path / "s")).count() == 2
-    jsonl.write_ordered(df, str(tmp_path / "o"), "n")
-    assert spark.read.text(str(tmp_path / "o")).count() == 2
+    many = spark.createDataFrame([((i * 7919) % 1000, None) for i in range(1000)], "n int, t string").repartition(4)
+    jsonl.write_ordered(many, str(tmp_path / "o"), "n")
+    lines = [json.loads(x) for f in sorted((tmp_path / "o").glob("part-*")) for x in f.read_text().splitlines()]
+    assert [x["n"] for x in lines] == list(range(1000)) and all("t" in x for x in lines)
 
 
 def test_stream_resumes_and_keeps_seen(spark, tmp_path):
@@ -70,6 +76,39 @@ def test_stream_resumes_and_keeps_seen(spark, tmp_path):
 
     assert run([(1, "A b", "s", "t", "1"), (2, "a  B", "s", "t", "1"), (3, " ", "s", "t", "1")]) == ([1], 1)
     assert run([(4, "A B", "s", "t", "2"), (5, "new", "s", "t", "2")]) == ([1, 5], 1)
+    # the commit of the last batch is lost: it runs again and keeps its rows
+    for name in ("1", ".1.crc"):
+        (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
+    assert run([]) == ([1, 5], 1)
+    # a table of prompts known beforehand
+    known = spark.createDataFrame([("six", "Six", "s", "", "0")], runs.SEEN)
+    runs.start_with(known, str(tmp_path / "seen"))
+    assert run([(6, "SIX", "s", "t", "3"), (7, "seven", "s", "t", "3")]) == ([1, 5, 7], 1)
+
+
+def test_repeats_leave_a_stream(spark, tmp_path):
+    source = tmp_path / "in"
+    rows = [(1, "A b", "2024-01-01 00:00:00"), (2, "a B", "2024-01-01 00:10:00"), (3, "c", "2024-01-01 00:20:00")]
+    frame = spark.createDataFrame(rows, "i int, prompt string, at string").withColumn("at", F.to_timestamp("at"))
+    frame.coalesce(1).write.parquet(str(source))
+    stream = runs.first_seen_stream(spark.readStream.schema(frame.schema).parquet(str(source)), "prompt", "at")
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination(120)
+    got = [r["prompt_key"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got) == ["a b", "c"]
+
+
+def test_duplicate_shared_dir():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from millrace.session import shared_dir
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError):
+        shared_dir(cluster)
+    cluster.conf.get = lambda *a: "file:///shared"
+    assert shared_dir(cluster) == "file:///shared"
 
 
 def test_entry_and_catalogue(spark, data):
