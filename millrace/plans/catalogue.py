@@ -471,12 +471,41 @@ def near_dup_members(spark: SparkSession, d: str) -> DataFrame:
     return dedup.near_duplicates(table(spark, d, "sft_train"), "line_no", "prompt")[0].select(F.col("key").alias("line_no"), "class")
 
 
-@query()
+@query(f"""WITH RECURSIVE r AS (SELECT line_no, row_number() OVER (ORDER BY line_no) AS i, {_n("topic")} AS topic, lower({_n("prompt")}) AS f, {_ws("prompt")} AS ws FROM prompt_seed_final),
+  w AS (SELECT i, len(ws) AS n, unnest(ws) AS w FROM r),
+  p AS (SELECT a.i AS x, b.i AS y FROM w a JOIN w b ON a.w = b.w AND b.i < a.i GROUP BY a.i, b.i, a.n, b.n HAVING count(*) >= 0.9::DOUBLE * (a.n + b.n - count(*)) - 1e-9),
+  s AS MATERIALIZED (SELECT r.i, r.topic, r.f, r.line_no, coalesce(list(p.y ORDER BY p.y) FILTER (p.y IS NOT NULL), []) AS ys, coalesce(list(p.y ORDER BY p.y) FILTER (o.topic = r.topic AND r.topic <> ''), []) AS ts
+    FROM r LEFT JOIN p ON p.x = r.i LEFT JOIN r o ON o.i = p.y GROUP BY r.i, r.topic, r.f, r.line_no),
+  t AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS line_no, []::STRUCT(i BIGINT, t VARCHAR, f VARCHAR)[] AS acc, NULL::BIGINT AS m, NULL::VARCHAR AS status
+    UNION ALL
+    SELECT i, line_no, CASE WHEN st = 'accepted' THEN list_append(acc, {{'i': i, 't': topic, 'f': f}}) ELSE acc END, m, st FROM (
+      SELECT *, CASE WHEN m IS NOT NULL THEN 'near_duplicate' WHEN len(list_filter(acc, lambda a: a.f = f)) > 0 THEN 'duplicate' ELSE 'accepted' END AS st FROM (
+        SELECT s.i, s.line_no, s.topic, s.f, t.acc, coalesce(
+          list_max(list_filter(s.ts, lambda y: len(list_filter(t.acc, lambda a: a.i = y)) > 0 AND len(list_filter(t.acc, lambda a: a.i > y AND a.t = s.topic)) < 200)),
+          list_max(list_filter(s.ys, lambda y: len(list_filter(t.acc, lambda a: a.i = y)) > 0 AND len(list_filter(t.acc, lambda a: a.i > y)) < 400))) AS m
+        FROM t JOIN s ON s.i = t.i + 1)))
+  SELECT t.line_no, t.status, r.line_no AS "match" FROM t LEFT JOIN r ON r.i = t.m WHERE t.i > 0""")
 def near_dup_greedy(spark: SparkSession, d: str) -> DataFrame:
     """Acceptance in order against the last 400 accepted prompts and the last 200 of the topic."""
     return dedup.sequential_accept(table(spark, d, "prompt_seed_final"), "line_no", "prompt", "topic")
 
 
+_CAND = f"SELECT prompt, {_n('topic')} AS topic, {_ws('prompt')} AS ws, row_number() OVER (ORDER BY created_at DESC NULLS LAST, line_no) AS g FROM sft_train"
+
+
+@query(f"""WITH c AS ({_CAND}), h AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY g) AS n FROM c WHERE topic <> ''),
+  v AS (SELECT line_no, {_n("topic")} AS topic, {_ws("prompt")} AS mine FROM {_SFT} WHERE split <> 'train'),
+  j AS (SELECT v.line_no, v.mine, h.prompt, h.ws, 0 AS part, h.n AS place FROM v JOIN h ON h.topic = v.topic AND h.n <= 200 UNION ALL SELECT v.line_no, v.mine, c.prompt, c.ws, 1, c.g FROM v JOIN c ON c.g <= 400),
+  n AS (SELECT *, len(list_intersect(mine, ws)) AS k FROM j WHERE len(mine) > 0 AND len(ws) > 0),
+  x AS (SELECT *, k::DOUBLE / (len(mine) + len(ws) - k)::DOUBLE AS score FROM n),
+  b AS (SELECT line_no, arg_min(prompt, part * 1000 + place) FILTER (score >= 0.6::DOUBLE) AS hit, arg_min(prompt, {{'s': -score, 'p': part * 1000 + place}}) FILTER (score > 0) AS best FROM x GROUP BY line_no)
+  SELECT v.line_no, b.hit IS NOT NULL AS found, coalesce(b.hit, b.best) AS "match" FROM v LEFT JOIN b ON b.line_no = v.line_no""")
+def near_dup_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Evaluation prompts against the newest training prompts of their topic and of all."""
+    asked = _sft(spark, d).filter("split <> 'train'")
+    return dedup.near_in_recent(table(spark, d, "sft_train"), asked, "line_no", "prompt", "topic", "created_at", "line_no", 0.6)
+
+
 @query("""SELECT min(line_no) AS line_no FROM sft_val WHERE lower(trim(regexp_replace(prompt, '\\s+', ' ', 'g'))) NOT IN
   (SELECT lower(trim(regexp_replace(prompt, '\\s+', ' ', 'g'))) FROM sft_train WHERE prompt IS NOT NULL) GROUP BY lower(trim(regexp_replace(prompt, '\\s+', ' ', 'g')))""".replace(
     "trim(regexp_replace(prompt, '\\s+', ' ', 'g'))", _n("prompt")

@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -108,14 +109,23 @@ def exact_rank(df: DataFrame, group: list[str], key: Column, width: Column, name
 def running_sum(df: DataFrame, value: Column, group: list[str], order: str, name: str, block: int = 100_000) -> DataFrame:
     """`df` with the sum of `value` up to and with each row of its group in `order` (whole numbers), without one task for
     a whole group: sums per block of the order, a window over blocks, a window within a block."""
-    blocked = df.withColumn("_v", value).withColumn("_blk", F.floor(F.col(order) / block))
-    sums = blocked.groupBy(*group, "_blk").agg(F.sum("_v").alias("_s"))
-    before = Window.partitionBy(*group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*[F.col(c).alias(f"{c}\u0001") for c in group], F.col("_blk").alias("_blk\u0001"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
-    on = _all([blocked[c].eqNullSafe(sums[f"{c}\u0001"]) for c in [*group, "_blk"]])
-    within = Window.partitionBy(*group, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    told = blocked.join(sums, on).withColumn(name, F.col("_before") + F.sum("_v").over(within))
-    return told.drop("_v", "_blk", "_before", "_blk\u0001", *[f"{c}\u0001" for c in group])
+    return _running(df, value, group, order, name, block, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + b)
+
+
+def running_max(df: DataFrame, value: Column, group: list[str], order: str, name: str, block: int = 100_000) -> DataFrame:
+    """As running_sum, the greatest `value` so far (nulls don't count; null where there is none)."""
+    return _running(df, value, group, order, name, block, F.max, F.greatest)
+
+
+def _running(df: DataFrame, value: Column, group: list[str], order: str, name: str, block: int, over: Callable[[str], Column], both: Callable[[Column, Column], Column]) -> DataFrame:
+    blocked = df.withColumn("_v\u0001", value).withColumn("_blk\u0001", F.floor(F.col(order) / block))
+    parts = blocked.groupBy(*group, "_blk\u0001").agg(over("_v\u0001").alias("_s\u0001"))
+    before = Window.partitionBy(*group).orderBy("_blk\u0001").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*[F.col(c).alias(f"{c}\u0002") for c in group], F.col("_blk\u0001").alias("_blk\u0001\u0002"), over("_s\u0001").over(before).alias("_before\u0001"))
+    on = _all([blocked[c].eqNullSafe(parts[f"{c}\u0002"]) for c in [*group, "_blk\u0001"]])
+    within = Window.partitionBy(*group, "_blk\u0001").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    told = blocked.join(parts, on).withColumn(name, both(F.col("_before\u0001"), over("_v\u0001").over(within)))
+    return told.drop("_v\u0001", "_blk\u0001", "_before\u0001", "_blk\u0001\u0002", *[f"{c}\u0002" for c in group])
 
 
 def _all(conditions: list[Column]) -> Column:
