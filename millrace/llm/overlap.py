@@ -2,9 +2,10 @@
 
 Two records overlap if they share at least `least` of their distinct words (common words over all words of both), case,
 punctuation and character forms aside. Records of one word set are one class, however many there are, so a group of
-copies is joined once. An exact prefix-filter join (millrace.operators.setjoin) indexes the keys of evaluation classes,
-pairs of their rarest words, and probes them with those of training classes; sizes, places and bitmaps turn pairs away
-within the join, the sets of what is left are compared in full, and class pairs become pairs of rows.
+copies is joined once. An exact prefix-filter join (millrace.operators.setjoin) indexes the rarest shingles of evaluation
+classes and probes them with those of training classes; length, position and bitmaps turn pairs away within the join, the
+sets of what is left are compared in full, and class pairs become pairs of rows. As overlap is defined on sets of words,
+whatever their order, a shingle is a cell of such a set (the words whose hash falls into it), not words in a row.
 
 Words are compared by 64-bit hashes. Records without words overlap with nothing; a null source is reported as null;
 repeated rows each count; extra columns aren't read.
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.forms import form_column
+from millrace.operators.dedup import set_key
 from millrace.operators.setjoin import similar_sets
 from millrace.session import stage
 
@@ -31,7 +33,7 @@ def split_overlaps(evaluation: DataFrame, training: DataFrame, key: str, text: s
     sides = []
     for label, df in (("evaluation", evaluation), ("training", training)):
         rows = df.select(F.col(key).alias("id"), word_set(F.col(text)).alias("elements")).filter(F.size("elements") > 0)
-        rows = stage(rows.withColumn("set", F.md5(F.array_join(F.transform("elements", lambda w: w.cast("string")), " ").cast("binary"))), label)
+        rows = stage(rows.withColumn("set", set_key(F.col("elements"))), label)
         classes = stage(rows.groupBy("set").agg(F.min("id").alias("class"), F.first("elements").alias("elements")), f"{label}-sets")
         sides.append((rows.select("id", "set").join(classes.select("set", "class"), "set").select("id", "class"), classes.select(F.col("class").alias("id"), "elements")))
     (eval_rows, eval_sets), (train_rows, train_sets) = sides

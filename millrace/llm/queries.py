@@ -200,6 +200,17 @@ _REPEATED = r"""(WITH w AS (SELECT line_no, regexp_extract_all(lower(coalesce(re
   r AS (SELECT line_no, i FROM g QUALIFY row_number() OVER (PARTITION BY line_no, gram ORDER BY i) > 1),
   c AS (SELECT line_no, count(DISTINCT i + k) AS n FROM r, range(5) AS t(k) GROUP BY line_no)
   SELECT w.line_no, CASE WHEN len(ws) > 0 THEN coalesce(c.n, 0)::DOUBLE / len(ws)::DOUBLE ELSE 0.0::DOUBLE END AS share FROM w LEFT JOIN c ON w.line_no = c.line_no)"""
+
+
+def _looks(column: str) -> str:
+    """A text in the form in which words are compared: composed, without invisible characters, wide and look-alike letters plain."""
+    from millrace.llm.forms import LOOKALIKES
+
+    plain = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94) if chr(0x21 + i) != "'"} | {x[0]: x[1] for pairs in LOOKALIKES.values() for x in pairs.split()}
+    bare = rf"regexp_replace({column}, '[\x{{ad}}\x{{200b}}-\x{{200f}}\x{{2060}}-\x{{206f}}\x{{feff}}]', '', 'g')"
+    return f"nfc_normalize(translate({bare}, '{''.join(plain)}', '{''.join(plain.values())}'))"
+
+
 _TRIM = r"nullif(lower(regexp_replace({}, '^[\s\x{{a0}}\x{{2000}}-\x{{200f}}\x{{202f}}\x{{2060}}\x{{3000}}\x{{feff}}]+|[\s\x{{a0}}\x{{2000}}-\x{{200f}}\x{{202f}}\x{{2060}}\x{{3000}}\x{{feff}}]+$', '', 'g')), '')"
 
 
@@ -208,7 +219,13 @@ def oracle_sql() -> dict[str, str]:
     content = f"coalesce({_TRIM.format('content_type')}, {_TRIM.format('task_type')})"
     seen = f"(SELECT 'content_type' AS dim_name, {content} AS c, id FROM prompt_seed_final UNION ALL SELECT 'topic', {_TRIM.format('topic')}, id FROM prompt_seed_final)"
     counts = f"(SELECT dim_name, c, count(DISTINCT id) AS n FROM {seen} WHERE id IS NOT NULL GROUP BY dim_name, c)"
+    overlap = rf"""WITH s AS (SELECT 0 AS t, line_no, prompt FROM sft_train UNION ALL SELECT 1, line_no, prompt FROM sft_val UNION ALL SELECT 1, line_no, prompt FROM sft_test),
+  w AS (SELECT t, line_no, list_distinct(regexp_extract_all(lower({_looks('prompt')}), '[\p{{L}}\p{{N}}]+')) AS ws FROM s),
+  u AS (SELECT t, line_no, len(ws) AS n, unnest(ws) AS w FROM w)
+  SELECT least(a.line_no, b.line_no) AS line_no_a, greatest(a.line_no, b.line_no) AS line_no_b FROM u a JOIN u b ON a.w = b.w AND a.t = 0 AND b.t = 1
+  GROUP BY a.line_no, b.line_no, a.n, b.n HAVING count(*) >= 0.8::DOUBLE * (a.n + b.n - count(*)) - 1e-9"""
     return {
+        "p5_found": overlap,
         "p3_found": f"SELECT line_no FROM {_REPEATED} WHERE share >= 0.3::DOUBLE",
         "p4_found": "SELECT line_no, substr(id, 1, 19) AS conversation_id FROM chat_seed_pairs WHERE conversation_id IS DISTINCT FROM substr(id, 1, 19)",
         "p7_found": f"""SELECT m.dim_name, m.category FROM mix_target m LEFT JOIN {counts} s ON s.dim_name = m.dim_name AND s.c = lower(trim(m.category))
