@@ -1,15 +1,16 @@
 """Problem 3: repetition inside a document.
 
 A word (letters only, case aside) is repeated if it lies in a run of five words that already began earlier in the same
-text; the share of repeated words is exact and comes out for every text. Gradient-boosted trees over the text's
-statistics (shares of repeated n-grams, sentences and lines, the commonest n-gram, compression, length, runs of one word)
-tell which texts are repetitive: least-squares boosting on histogram bins, grown to a small depth, where a split on a
-feature declared monotone must not lower the prediction and its children's values stay on their sides of the split's
-middle. The trees are flattened to numpy node arrays, and a batch of texts goes down all trees at once.
-
-The trees are fitted on at most `max_rows` rows (those with the smallest hash of their key), labelled by the exact share.
-The cut is half the lowest score of their repetitive rows, or the lowest score of all rows whose exact share reaches
-`least` where that is lower, so no such row falls below it; what passes it is checked by the exact share.
+text; the share of repeated words is exact. Which texts are worth that count is told by gradient-boosted trees over
+statistics that are cheaper than it and don't contain it: the shares of words and of triples of words (between white space)
+that stand again, of repeated sentences and lines, and the length. The trees predict the share: least-squares boosting on histogram bins, grown to
+a small depth, where a split on a feature declared monotone must not lower the prediction and its children's values stay on
+their sides of the split's middle. They are flattened to numpy node arrays, and a batch of texts goes down all trees at once.
+
+The trees are fitted on four of five rows of a sample of at most `max_rows` rows (those with the smallest hash of their
+key). A text is flagged if its predicted share reaches the cut: half of the lowest prediction for any repetitive text of
+the whole sample, and no more than `doubt` of `least`. Flagged texts are counted exactly; texts below the cut are not
+(their share is null, unless `every` asks for all). `held_out` has the recall and precision on the fifth row.
 Null, blank and short texts have the share 0; texts are read whole; repeated rows are told alike.
 """
 
@@ -17,23 +18,19 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from millrace.session import hash_sample, stage
+from millrace.session import hash_sample
 
 _WORD = re.compile(r"[^\W\d_]+")
-_SENTENCE = re.compile(r"[.!?\n]+")
 RUN = 5
 #: Statistics of a text, and whether more of one can only mean more repetition
-FEATURES = {"grams5": 1, "grams3": 1, "words": 0, "sentences": 1, "lines": 1, "commonest": 1, "compression": 0, "length": 0, "one_word": 1}
+FEATURES = {"triples": 1, "words": 0, "sentences": 1, "lines": 1, "length": 0}
 
 
 def repeated(words: list[str], run: int = RUN) -> tuple[int, int]:
@@ -70,30 +67,18 @@ def _again(parts: list[str]) -> float:
     return twice / total if total else 0.0
 
 
-def statistics(text: str | None) -> tuple[float, list[float]]:
-    """The exact share of repeated words, and the statistics the trees see."""
-    words = _WORD.findall(text.lower()) if text else []
+def statistics(text: str | None) -> list[float]:
+    """What the trees see of a text."""
+    words = text.lower().split() if text else []
     n = len(words)
     if not n:
-        return 0.0, [0.0] * len(FEATURES)
-    covered, again = repeated(words)
-    triples = list(zip(words, words[1:], words[2:]))
-    counts = Counter(triples)
-    raw = text.encode("utf-8", "surrogatepass")
-    longest = run = 1
-    for a, b in zip(words, words[1:]):
-        run = run + 1 if a == b else 1
-        longest = max(longest, run)
-    return covered / n, [
-        again / max(1, n - RUN + 1),
-        1 - len(counts) / len(triples) if triples else 0.0,
+        return [0.0] * len(FEATURES)
+    return [
+        1 - len(set(zip(words, words[1:], words[2:]))) / (n - 2) if n > 2 else 0.0,
         1 - len(set(words)) / n,
-        _again(_SENTENCE.split(text)),
-        _again(text.split("\n")),
-        max(counts.values()) / len(triples) if triples else 0.0,
-        1 - len(zlib.compress(raw, 1)) / len(raw),
+        _again(text.split(".")),
+        _again(text.split("\n")) if "\n" in text else 0.0,
         math.log1p(n),
-        longest / n,
     ]
 
 
@@ -101,6 +86,8 @@ def statistics(text: str | None) -> tuple[float, list[float]]:
 class RepetitionConfig:
     max_rows: int = 4000
     least: float = 0.3
+    doubt: float = 0.5  # of `least`; predictions above it are always counted exactly
+    held_out: int = 5
     trees: int = 40
     depth: int = 3
     rate: float = 0.2
@@ -189,34 +176,43 @@ class BoostedTrees:
 class RepetitionModel:
     trees: BoostedTrees
     cut: float
+    held_out: dict[str, float]
 
 
-def fit(df: DataFrame, key: str, text: str, cfg: RepetitionConfig = RepetitionConfig()) -> RepetitionModel:
-    """Trees that predict whether the share reaches cfg.least, from the cfg.max_rows rows with the smallest hash of their key."""
-    rows = hash_sample(df.select(key, text).dropna(), key, cfg.max_rows)
-    told = [statistics(r[text]) for r in rows]
-    x = np.array([s for _, s in told]).reshape(len(told), len(FEATURES))
-    y = np.array([a >= cfg.least for a, _ in told], float)
-    trees = BoostedTrees(x, y, list(FEATURES.values()), cfg)
-    hit = trees.score(x)[y > 0]
-    return RepetitionModel(trees, float(hit.min()) / 2 if len(hit) else -np.inf)
+def train(texts: list[str | None], cfg: RepetitionConfig = RepetitionConfig()) -> RepetitionModel:
+    """Trees, cut and held-out figures from texts; the exact share is the label."""
+    x = np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES))
+    y = np.array([share(t) for t in texts])
+    held = np.arange(len(texts)) % cfg.held_out == cfg.held_out - 1
 
+    def cut(trees: BoostedTrees, rows: np.ndarray) -> float:
+        lowest = trees.score(x[rows])[y[rows] >= cfg.least]
+        return min(cfg.doubt * cfg.least, float(lowest.min()) / 2 if len(lowest) else np.inf)
 
-def with_repetition(df: DataFrame, key: str, text: str, model: RepetitionModel) -> DataFrame:
-    """<key>, share (of repeated words), score, flagged (by the trees).
+    trees = BoostedTrees(x[~held], y[~held], list(FEATURES.values()), cfg)
+    flagged, true = trees.score(x[held]) >= cut(trees, ~held), y[held] >= cfg.least
+    both = float((flagged & true).sum())
+    told = {"rows": float(held.sum()), "recall": both / true.sum() if true.any() else 1.0, "precision": both / flagged.sum() if flagged.any() else 1.0, "flagged": float(flagged.mean()) if len(flagged) else 0.0}
+    return RepetitionModel(trees, cut(trees, np.ones(len(texts), bool)), told)
 
-    Scores are staged, as the cut needs the lowest one of all repetitive rows (one partial aggregate)."""
+
+def fit(df: DataFrame, key: str, text: str, cfg: RepetitionConfig = RepetitionConfig()) -> RepetitionModel:
+    """A model from the cfg.max_rows rows with the smallest hash of their key."""
+    return train([r[text] for r in hash_sample(df.select(key, text).dropna(), key, cfg.max_rows)], cfg)
+
+
+def with_repetition(df: DataFrame, key: str, text: str, model: RepetitionModel, every: bool = False) -> DataFrame:
+    """<key>, share (of repeated words; null where the trees rule repetition out, unless `every`), score, flagged."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     kinds = dict(df.select(key).dtypes)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            told = [statistics(t) for t in batch.column(1).to_pylist()]
-            score = model.trees.score(np.array([s for _, s in told]).reshape(len(told), len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([a for a, _ in told], pa.float64()), pa.array(score)], [key, "share", "score"])
-
-    told = stage(df.select(key, text).mapInArrow(scan, f"`{key}` {kinds[key]}, share double, score double"), "repetition")
-    lowest = told.filter(F.col("share") >= model.trees.cfg.least).agg(F.min("score").alias("_lowest"))
-    cut = F.least(F.lit(model.cut), F.col("_lowest"))  # without repetitive rows, the fitted one
-    return told.join(F.broadcast(lowest), how="cross").withColumn("flagged", F.col("score") >= cut).drop("_lowest")  # one row
+            texts = batch.column(1).to_pylist()
+            score = model.trees.score(np.array([statistics(t) for t in texts]).reshape(len(texts), len(FEATURES)))
+            flagged = score >= model.cut
+            exact = [share(t) if every or f else None for t, f in zip(texts, flagged.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(exact, pa.float64()), pa.array(score), pa.array(flagged)], [key, "share", "score", "flagged"])
+
+    return df.select(key, text).mapInArrow(scan, f"`{key}` {kinds[key]}, share double, score double, flagged boolean")
