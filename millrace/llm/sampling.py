@@ -8,8 +8,8 @@
    from the hash of its id: the `size` smallest keys are the sample. Within a cell keys run as hashes do, so the sample is
    told by a count per cell. Those come from counts of keys below thresholds, refined by bisection of a bounded table,
    without collecting or sorting units.
-4. A category below its minimum (or what it has, if less) takes further units of its cells, and cells above their
-   expectation give back as many, as long as no other minimum suffers.
+4. A category below its minimum or the whole rows of its share (or what it has, if less) takes further units of its cells,
+   and cells above their expectation give back as many, as long as no other category falls below its own.
 5. Units of a cell with a rank (by hash, exact, no cell in one task) below the count are the sample; the report tells
    what each category should have, has, got, and lacks.
 
@@ -44,7 +44,6 @@ class SampleConfig:
     rounds: int = 500
     slice_rows: int = 50_000
     buckets: int = 4096
-    max_targets: int = 10_000
 
 
 def category(x: Column) -> Column:
@@ -75,8 +74,9 @@ def rake(have: np.ndarray, codes: np.ndarray, shares: list[np.ndarray], size: in
     return x
 
 
-def repair(counts: np.ndarray, have: np.ndarray, codes: np.ndarray, least: list[np.ndarray], expected: np.ndarray) -> np.ndarray:
-    """Counts in which every category has its minimum, or all it has, for as many units given back elsewhere."""
+def repair(counts: np.ndarray, have: np.ndarray, codes: np.ndarray, least: list[np.ndarray], expected: np.ndarray, paid: bool = False) -> np.ndarray:
+    """Counts in which every category has its minimum, or all it has, for as many units given back elsewhere. paid: only as
+    far as units can be given back."""
     counts = counts.copy()
 
     def margins(d: int) -> np.ndarray:
@@ -92,7 +92,7 @@ def repair(counts: np.ndarray, have: np.ndarray, codes: np.ndarray, least: list[
                 take = int(min(lack, have[cell] - counts[cell]))
                 counts[cell] += take
                 lack -= take
-                back = take
+                back, at = take, cell
                 for other in sorted(np.flatnonzero(counts > 0), key=lambda i: expected[i] - counts[i]):
                     if back <= 0:
                         break
@@ -105,6 +105,9 @@ def repair(counts: np.ndarray, have: np.ndarray, codes: np.ndarray, least: list[
                     give = int(max(0, min(back, spare)))
                     counts[other] -= give
                     back -= give
+                if paid and back > 0:
+                    counts[at] -= back
+                    lack += back
     return counts
 
 
@@ -131,7 +134,9 @@ def matched_sample(units: DataFrame, key: str, dims: list[str], targets: list[Ta
         keyed = coded.select(*cells_of, exponential.alias("_e")).join(weights, cells_of).filter("_w > 0").withColumn("_key", F.col("_e") / F.col("_w"))
         counts = _below(keyed, cells_of, [tuple(map(int, c)) for c in codes], min(size, int(have.sum())), cfg.buckets)
         counts = np.minimum(counts, have)
-        counts = repair(counts, have, codes, least, expected)
+        # chance leaves categories off their share; where units are left, each gets its whole rows
+        due = [np.maximum(m, np.floor(s * min(size, have.sum()) + 1e-9)) for m, s in zip(least, share)]
+        counts = repair(repair(counts, have, codes, least, expected), have, codes, due, expected, True)
     chosen = [(*map(int, c), int(n), int(h) // cfg.slice_rows + 1) for c, n, h in zip(codes, counts, have) if n > 0]
     plan = F.broadcast(spark.createDataFrame(chosen, ", ".join([*[f"`{c}` int" for c in cells_of], "_take long", "_width long"])))
     ranked = exact_rank(coded.join(plan, cells_of), cells_of, F.col("_h"), F.col("_width"), "_rank")
