@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.forms import form
+from millrace.session import hash_sample
 
 LANGS = ("rw", "en", "fr", "sw")
 MODES = ("rw", "rw_mixed", "en", "fr", "sw", "control")
@@ -249,8 +250,9 @@ def cut(text: str) -> list[str]:
 
 
 def train(samples: DataFrame, text: str = "sample_text", lang: str = "lang", cfg: LanguageConfig = LanguageConfig()) -> LanguageModel:
-    """Fit on labelled rows, at most cfg.max_samples of them (by text, so that the same rows give the same model)."""
-    rows = samples.select(text, lang).dropna().orderBy(text, lang).limit(cfg.max_samples).collect()
+    """Fit on labelled rows, at most cfg.max_samples of them: those with the smallest hash of their text, in the texts' order,
+    so that the same rows give the same model and no language is cut off."""
+    rows = sorted((r[text], r[lang]) for r in hash_sample(samples.select(text, lang).dropna(), text, cfg.max_samples))
     by: dict[str, list[tuple[str, str]]] = {}
     for t, x in rows:
         by.setdefault(x, []).append((t, x))
@@ -260,7 +262,7 @@ def train(samples: DataFrame, text: str = "sample_text", lang: str = "lang", cfg
 
 # What stands for no answer, beside what has no letter or digit.
 NO_ANSWER = frozenset("n/a|na|n.a|null|none|nil|nan|undefined|empty|blank|no answer|no response|sans réponse|pas de réponse|nta gisubizo|hakuna jibu|tbd|unknown".split("|"))
-_TAGS = re.compile(r"<[^<>]{0,40}>|```\w*")
+_TAGS = re.compile(r"<[^<>]*>|```\w*")
 _LETTER = re.compile(r"[^\W_]")
 
 

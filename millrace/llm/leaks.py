@@ -9,7 +9,8 @@ longer one. A passage begins and ends with unchanged words. (Windows of a whole
 longer select.) A window's 64-bit SimHash is the sign of the sum of its words' hash bits. The items' fingerprints are
 indexed by each of `radius + 1` blocks of bits: two fingerprints within the radius agree in a block (pigeonhole), so
 every pair within it is found. A (document, item) with fewer than three such windows can't hold a passage (three runs
-of six give three, any other division more). What remains is aligned word by word from its windows outward, where that
+of six give three, any other division more). Windows at any distance within the radius seed the alignment, from the first
+word they share. What remains is aligned word by word from its windows outward, where that
 leaves doubt in all ways that could do, and passes if a stretch of enough words with few enough edits exists and its three-word shingles, weighted by how rare they are
 among the items, are shared; shingles of frame lines that many items share weigh nothing.
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.forms import form
 
 _WORD = re.compile(r"[^\W_]+")
-_TAG = re.compile(r"</?[A-Za-z][^<>\n]{0,60}>")
+_TAG = re.compile(r"</?[A-Za-z][^<>\n]*>")
 
 
 def words(text: str | None) -> list[str]:
@@ -169,8 +170,10 @@ class ItemIndex:
         done: set[tuple[int, int]] = set()
         doubtful = []
         for p, q in hits:
-            if (p - q, q) in done or text[p : p + self.cfg.window] != item[q : q + self.cfg.window]:
+            same = next((k for k in range(self.cfg.window) if text[p + k] == item[q + k]), None)  # windows may differ in a word
+            if (p - q, q) in done or same is None:
                 continue
+            p, q = p + same, q + same
             runs = _align(text, item, p, q)
             done.update((x - y, y + k) for y, x, n in runs for k in range(n))
             for s in range(len(runs)):
@@ -190,8 +193,8 @@ class ItemIndex:
                 seen.append(d)
                 qs = [q for p, q in hits if abs(p - q - d) <= 3]
                 if len(qs) >= self.cfg.min_hits and self._may(text, item, d, min(qs), max(qs) + self.cfg.window):
-                    lo = max(0, d - 16)
-                    if self._any(text[lo : d + len(item) + 16], item):
+                    drift = int(len(item) * self.cfg.max_edits) + 1  # no passage strays further from its diagonal
+                    if self._any(text[max(0, d - drift) : max(0, d + len(item) + drift)], item):
                         return True
         return False
 
