@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from millrace.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Rows of the small tables of targets and capacities that the driver takes
+MAX_SMALL = 10_000
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -91,19 +93,19 @@ def p2_coverage(spark: SparkSession, d: str) -> DataFrame:
     return _defects(spark, d).select("line_no", "defect", *[F.round(t, 4).alias(t) for t in TAGS])
 
 
-def _repetition(spark: SparkSession, d: str) -> DataFrame:
+def _repetition(spark: SparkSession, d: str, every: bool) -> DataFrame:
     from millrace.llm.repetition import fit, with_repetition
 
     raw = table(spark, d, "generated_raw")
-    return with_repetition(raw, "line_no", "response", fit(raw, "line_no", "response"))
+    return with_repetition(raw, "line_no", "response", fit(raw, "line_no", "response"), every)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _repetition(spark, d).filter("flagged AND share >= 0.3").select("line_no")
+    return _repetition(spark, d, False).filter("flagged AND share >= 0.3").select("line_no")
 
 
 def p3_share(spark: SparkSession, d: str) -> DataFrame:
-    return _repetition(spark, d).select("line_no", "share", "flagged")
+    return _repetition(spark, d, True).select("line_no", "share")
 
 
 def _evaluation(spark: SparkSession, d: str) -> DataFrame:
@@ -144,7 +146,11 @@ def p4_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _capacities(spark: SparkSession, d: str) -> dict[str, int]:
-    return {r["pack_name"]: r["capacity_tokens"] for r in table(spark, d, "pack_capacity").orderBy("pack_name").limit(1000).collect()}
+    """All capacities: a table of a few rows by its meaning; the driver refuses it (and drops nothing) where it isn't."""
+    rows = table(spark, d, "pack_capacity").orderBy("pack_name").limit(MAX_SMALL + 1).collect()
+    if len(rows) > MAX_SMALL:
+        raise ValueError(f"more than {MAX_SMALL} capacities: pack them in several calls")
+    return {r["pack_name"]: r["capacity_tokens"] for r in rows}
 
 
 def p8_packs(spark: SparkSession, d: str) -> DataFrame:
@@ -160,14 +166,16 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    from millrace.llm.sampling import SampleConfig, Target, category, matched_sample
+    from millrace.llm.sampling import Target, category, matched_sample
     from millrace.session import stage
 
     rows = table(spark, d, "prompt_seed_final").filter("id IS NOT NULL")
     rows = rows.select("id", "line_no", F.coalesce(category(F.col("content_type")), category(F.col("task_type"))).alias("content_type"), category(F.col("topic")).alias("topic"))
     rows = stage(rows, "seeds")
     first = rows.groupBy("id").agg(F.min_by(F.struct("content_type", "topic"), "line_no").alias("r")).select("id", "r.*")
-    told = table(spark, d, "mix_target").orderBy("dim_name", "category").limit(SampleConfig.max_targets).collect()
+    told = table(spark, d, "mix_target").orderBy("dim_name", "category").limit(MAX_SMALL + 1).collect()
+    if len(told) > MAX_SMALL:
+        raise ValueError(f"more than {MAX_SMALL} targets: their cells wouldn't fit the driver")
     targets = [Target(r["dim_name"], r["category"].strip().lower(), r["target_pct"] / 100, r["min_rows"]) for r in told]
     size = max((r["sample_rows"] for r in told), default=0)
     sample, report = matched_sample(first, "id", ["content_type", "topic"], targets, size)
@@ -226,6 +234,7 @@ def oracle_sql() -> dict[str, str]:
   GROUP BY a.line_no, b.line_no, a.n, b.n HAVING count(*) >= 0.8::DOUBLE * (a.n + b.n - count(*)) - 1e-9"""
     return {
         "p5_found": overlap,
+        "p3_share": f"SELECT line_no, share FROM {_REPEATED}",
         "p3_found": f"SELECT line_no FROM {_REPEATED} WHERE share >= 0.3::DOUBLE",
         "p4_found": "SELECT line_no, substr(id, 1, 19) AS conversation_id FROM chat_seed_pairs WHERE conversation_id IS DISTINCT FROM substr(id, 1, 19)",
         "p7_found": f"""SELECT m.dim_name, m.category FROM mix_target m LEFT JOIN {counts} s ON s.dim_name = m.dim_name AND s.c = lower(trim(m.category))

@@ -37,9 +37,9 @@ SLOTS = {
     "shell": rf"\$\{{\s*{_NAME}\s*\}}",
     "server page": rf"<%[=-]?\s*{_NAME}\s*-?%>",
     "brace": rf"(?<![\\\w}}{{$])\{{{_NAME}\}}(?!\}})",
-    "instruction": r"\[(?i:(?:please )?(?:insert|enter|your|add|fill in|shyiramo|andika|votre|vos|insérez|inscrire|weka|jaza|andikia)\s[^\[\]\n]{1,60})\]",
+    "instruction": r"\[(?i:(?:please )?(?:insert|enter|your|add|fill in|shyiramo|andika|votre|vos|insérez|inscrire|weka|jaza|andikia)\s[^\[\]\n]+)\]",
     "capital brackets": rf"\[{_UPPER}(?: {_UPPER}){{0,4}}\](?!\()",
-    "angle": r"<(?i:your|votre|insert|enter|weka|shyiramo)\s[^<>\n]{1,40}>",
+    "angle": r"<(?i:your|votre|insert|enter|weka|shyiramo)\s[^<>\n]+>",
     "percent": rf"%{_UPPER}%|%\({_NAME}\)[sd]",
     "underscore": rf"(?<!\w)__{_UPPER}__(?!\w)",
     "hash": rf"(?<!\w)#{_UPPER}#(?!\w)",
@@ -52,8 +52,8 @@ _SLOT = "|".join(SLOTS.values())
 #: Code, and sentences that speak of code
 _CODE = r"(?s)```.*?```|`[^`\n]*`"
 _TUTORIAL = (
-    r"(?i)[^.!?\n]*(?<!\w)(?:template engine|templates?|variables?|shell|syntax|source code|code|kode|gabarits?|"
-    r"placeholders?|regex|console|programming language|environment)(?!\w)[^.!?\n]*"
+    r"(?i)(?<!\w)(?:template engine|templates?|variables?|shell|syntax|source code|code|kode|gabarits?|"
+    r"placeholders?|regex|console|programming language|environment)(?!\w)"
 )
 #: So many slots in a text are a template, whatever it speaks of
 DENSE_SLOTS = 3
@@ -109,7 +109,9 @@ def _words(x: Column) -> Column:
 def placeholder_column(text: Column) -> Column:
     """Whether slots stand unfilled in running text."""
     bare = F.regexp_replace(text, _CODE, " ")
-    spoken = F.regexp_replace(bare, _TUTORIAL, " ")
+    # cut at sentence ends first, so that each character is looked at once, however long a line is
+    sentences = F.split(bare, r"(?<=[.!?\n])")
+    spoken = F.array_join(F.transform(sentences, lambda s: F.when(F.rlike(s, F.lit(_TUTORIAL)), F.lit(" ")).otherwise(s)), "")
     slot = F.lit(_SLOT)
     return F.when(F.rlike(bare, slot), F.rlike(spoken, slot) | (F.regexp_count(bare, slot) >= DENSE_SLOTS)).otherwise(False)
 

@@ -44,13 +44,17 @@ def test_repetition_flags_all_by_the_exact_share(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/generated_raw.parquet")
     model = repetition.fit(df, "line_no", "response")
     texts = {r["line_no"]: r["response"] for r in spark.read.parquet("/root/testdata/sf0.001/generated_raw.parquet").collect()}
-    got = {r["line_no"]: r for r in repetition.with_repetition(spark.read.parquet("/root/testdata/sf0.001/generated_raw.parquet"), "line_no", "response", model).collect()}
+    fresh = spark.read.parquet("/root/testdata/sf0.001/generated_raw.parquet")
+    got = {r["line_no"]: r for r in repetition.with_repetition(fresh, "line_no", "response", model, True).collect()}
+    quick = {r["line_no"]: r["share"] for r in repetition.with_repetition(fresh, "line_no", "response", model).collect()}
+    assert model.held_out["recall"] >= 0.99 and model.held_out["flagged"] < 0.3
+    assert {i: got[i]["share"] for i in got if got[i]["flagged"]} == {i: x for i, x in quick.items() if x is not None}
     for i, t in texts.items():
         words = re.findall(r"[^\W\d_]+", (t or "").lower())
         want = repeated_by_definition(words) / len(words) if words else 0
         assert abs(got[i]["share"] - want) < 1e-12 and (want < 0.3 or got[i]["flagged"])
     odd = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (3, "a b c d e " * 30_000, 0.5), (3, "a b c d e " * 30_000, 0.5)], "line_no long, response string, share double")
-    told = repetition.with_repetition(odd, "line_no", "response", model).orderBy("line_no").collect()
+    told = repetition.with_repetition(odd, "line_no", "response", model, True).orderBy("line_no").collect()
     assert [round(r["share"], 3) for r in told] == [0, 0, 1, 1] and told[3]["flagged"]
     assert repetition.with_repetition(odd, "line_no", "response", repetition.fit(odd.limit(0), "line_no", "response")).count() == 4
 
@@ -65,8 +69,8 @@ def test_repetition_of_a_kind_outside_the_sample_is_flagged(spark):
     ws = [word() for _ in range(11)]
     other = " ".join(ws + ws[:5])  # 16 words, one run of five again: the share is 0.3125
     df = spark.createDataFrame(list(enumerate([*plain, *seen, other])), "line_no long, response string")
-    got = {r["line_no"]: r for r in repetition.with_repetition(df, "line_no", "response", model).collect()}
-    assert got[200]["share"] == 0.3125 and got[200]["score"] < model.cut
+    got = {r["line_no"]: r for r in repetition.with_repetition(df, "line_no", "response", model, True).collect()}
+    assert got[200]["share"] == 0.3125
     assert all(r["flagged"] for r in got.values() if r["share"] >= 0.3) and sum(r["share"] >= 0.3 for r in got.values()) == 51
 
 
@@ -113,6 +117,25 @@ def test_conversations_stay_together(spark):
     assert splits.assign_splits(keyed.limit(0), "line_no", "key", "source").count() == 0
 
 
+def test_rare_labels_and_large_components(spark):
+    rng = random.Random(8)
+    rows, n = [], 0
+    for c in range(3000):  # 200 labels, far more than the flow takes; some components of many sizes
+        for _ in range(rng.choice([1, 1, 2, 3]) if c % 50 else rng.randrange(33, 140)):
+            rows.append((n, f"c{c}", f"label{c % 200 if c % 2 else c % 4}"))
+            n += 1
+    df = spark.createDataFrame(rows, "line_no long, key string, source string")
+    got = splits.assign_splits(df, "line_no", "key", "source", splits.SplitConfig(flow_profiles=8)).collect()
+    where, counts, odd = defaultdict(set), Counter(r["split"] for r in got), Counter()
+    for r in got:
+        where[r["key"]].add(r["split"])
+        if int(r["source"][5:]) > 8:
+            odd[r["split"]] += 1
+    assert len(got) == n and all(len(x) == 1 for x in where.values())
+    assert all(abs(counts[s] - x * n) <= 2 for s, x in (("train", 0.9), ("val", 0.05), ("test", 0.05)))
+    assert all(abs(odd[s] / sum(odd.values()) - 0.05) < 0.02 for s in ("val", "test"))  # rare labels are in every split
+
+
 # ---- overlap
 
 
@@ -165,7 +188,7 @@ def test_sample_matches_and_repairs(spark):
     got = sample.collect()
     counts, told = Counter(r["a"] for r in got), {(r["dim_name"], r["category"]): r for r in report.collect()}
     assert len(got) == len({r["id"] for r in got}) == 500 and counts["small"] >= 25
-    assert abs(sum(r["b"] == "x" for r in got) - 350) <= 45
+    assert sum(r["b"] == "x" for r in got) >= 350 and sum(r["b"] == "y" for r in got) >= 150 - 1
     assert told["a", "none"]["gap"] == 5 and told["a", "small"]["sampled"] == counts["small"] and told["b", "x"]["available"] == sum(b == "x" for _, _, b in rows)
     assert {r["id"] for r in sampling.matched_sample(df, "id", ["a", "b"], targets, 500)[0].collect()} == {r["id"] for r in got}
     assert sampling.matched_sample(df, "id", ["a", "b"], targets, 10_000)[0].count() == 4000
@@ -349,6 +372,20 @@ def test_signs_hold_wherever_a_grammar_does():
     assert len(seen) > 4000 and [t for t, told in zip(seen, signs(seen)) if not told] == []
 
 
+def test_long_lines_take_linear_time(spark):
+    import time
+
+    slot = "dear {{customer_name}} " + "welcome to the place of words " * 7000  # one line, one sentence
+    spoken = "the template engine fills {{customer_name}} " + "with words " * 20_000
+    longer = "[insert " + "a very long description of it " * 50 + "here] and so on"
+    df = spark.createDataFrame([(1, slot), (2, spoken), (3, longer), (4, "x " * 100_000), (5, "<" * 100_000), (6, "{{ " * 70_000)], "doc_id long, text string").coalesce(1)
+    residue.with_residue(df.limit(1)).collect()
+    began = time.time()
+    got = {r["doc_id"]: r["kind"] for r in residue.with_residue(df).collect()}
+    assert time.time() - began < 12  # six lines of 200 000 characters, on a machine that may be slow
+    assert got == {1: "placeholder", 2: None, 3: "placeholder", 4: None, 5: None, 6: None}
+
+
 def test_all_queries_run(spark, data):
     from millrace.llm.queries import queries
 
