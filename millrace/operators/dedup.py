@@ -129,8 +129,8 @@ def add_new(index: DataFrame, batch: DataFrame, key: Column, order: str) -> Data
     return fresh.join(first, fresh[order] == first["_first"], "left_semi")
 
 
-def bootstrap_index(rows: DataFrame, prompt: str, source: str, created: str) -> DataFrame:
+def bootstrap_index(rows: DataFrame, prompt: str, source: str, created: str, order: str) -> DataFrame:
     """The index of seen prompts from rows already written: each folded prompt once, with its earliest appearance."""
     told = rows.withColumn("prompt_key", T.fold(F.col(prompt))).filter("prompt_key <> ''")
-    first = F.min_by(F.struct(F.col(prompt).alias("first_prompt"), F.col(source).alias("first_source"), F.lit("").alias("topic"), F.col(created).alias("created_at")), F.coalesce(F.col(created), F.lit("")))
+    first = F.min_by(F.struct(F.col(prompt).alias("first_prompt"), F.col(source).alias("first_source"), F.lit("").alias("topic"), F.col(created).alias("created_at")), F.struct(F.coalesce(F.col(created), F.lit("")), F.col(order)))
     return told.groupBy("prompt_key").agg(first.alias("r")).select("prompt_key", "r.*")

@@ -110,6 +110,54 @@ def cooldown(base: float, jitter: float, failed: bool, consecutive: int, step: f
     return base + jitter + (min(cap, step * max(1, consecutive)) if failed else 0.0)
 
 
+# What an error's text holds, and its class, for each of the five kinds of calls, first match first.
+FAILURE_CLASSES = {
+    "answers": [
+        ("http_429", "openai_429"),
+        ("empty_completion_text", "empty_completion_text"),
+        ("no_json_object_found", "invalid_json_output"),
+        ("missing_items_list", "invalid_json_output"),
+        ("timed out", "timeout"),
+        ("", "openai_error"),
+    ],
+    "seed items": [
+        ("http_429", "429"),
+        ("invalid_json_output", "parse"),
+        ("items_not_list", "parse"),
+        ("invalid_payload_not_object", "parse"),
+        ("json_object_not_dict", "parse"),
+    ],
+    "mixed seeds": [
+        ("http_429", "429"),
+        ("invalid_json_output", "parse"),
+        ("no_json_object_found", "parse"),
+        ("json_object_not_dict", "parse"),
+        ("invalid_payload_not_object", "parse"),
+    ],
+    "dialogues": [
+        ("http_429", "429"),
+        ("invalid_json", "parse"),
+        ("json_object_not_dict", "parse"),
+        ("no_json_object_found", "parse"),
+        ("messages_not_even", "parse"),
+        ("roles_not_alternating", "parse"),
+    ],
+    "listed seeds": [("http_429", "429")],
+}
+
+
+def latest_step(paths: DataFrame, column: str) -> DataFrame:
+    """path, step: of paths that end in `step-<number>`, the one of the highest step."""
+    step = F.regexp_extract(F.col(column), r"(?:^|/)step-(\d+)/?$", 1)
+    told = paths.select(F.col(column).alias("path"), F.nullif(step, F.lit("")).cast("bigint").alias("step"))
+    return told.filter("step IS NOT NULL").agg(F.max_by("path", "step").alias("path"), F.max("step").alias("step"))
+
+
+def throughput(tokens: Column, seconds: Column) -> Column:
+    """Tokens a second; a run too short to time counts as a millionth of a second."""
+    return tokens.cast("double") / F.greatest(seconds.cast("double"), F.lit(1e-6))
+
+
 def failure_class(error: Column, classes: list[tuple[str, str]], other: str = "error") -> Column:
     """The class of the first needle found in an error's lower-case text."""
     low = F.lower(F.coalesce(error, F.lit("")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,6 +39,35 @@ def ask(teacher: TeacherFn, batch: list[tuple[str, str]], attempts: int = 8) ->
     return done, errors
 
 
+# HTTP states after which a call is worth another try, of the two kinds of services.
+RETRIED = [429, 500, 502, 503, 504]
+RETRIED_MORE = [408, 409, *RETRIED]
+
+
+class StatusError(RuntimeError):
+    """What a generator raises for a failed call, with the state it got (None where there was no answer)."""
+
+    def __init__(self, status: int | None, text: str = ""):
+        super().__init__(f"http_{status}: {text}" if status else text)
+        self.status = status
+
+
+def with_retries(teacher: TeacherFn, attempts: int = 5, backoff: float = 1.0, retried: list[int] = RETRIED, sleep: Callable[[float], None] = time.sleep) -> TeacherFn:
+    """A generator that is asked again after failures that may pass, each time after a longer wait (backoff x attempt)."""
+
+    def asked(batch: list[tuple[str, str]]) -> dict[str, str]:
+        for attempt in range(1, attempts + 1):
+            try:
+                return teacher(batch)
+            except StatusError as e:
+                if attempt == attempts or e.status is not None and e.status not in retried:
+                    raise
+            sleep(backoff * attempt)
+        raise StatusError(None, "no attempts")
+
+    return asked
+
+
 def generate(requests: DataFrame, answered: DataFrame | None, make: Callable[[], TeacherFn], size: int = 5, attempts: int = 8) -> DataFrame:
     """id, response, error for requests (id, prompt) whose id has no response yet. The generator is made once per task."""
     todo = requests.select("id", "prompt")

@@ -607,20 +607,13 @@ def fence_removal(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT line_no, coalesce(json_extract_string(j, '$.title'), json_extract_string(j, '$.izina')) AS title FROM (SELECT line_no, response::JSON AS j FROM chat_seed_pairs
   WHERE starts_with(response, '{') AND json_valid(response)) WHERE coalesce(json_extract_string(j, '$.title'), json_extract_string(j, '$.izina')) IS NOT NULL""")
-def json_repair(spark: SparkSession, d: str) -> DataFrame:
-    """Titles of responses that are JSON objects (those that parse as they are)."""
+def json_titles(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of responses that are JSON objects as they stand."""
     rows = table(spark, d, "chat_seed_pairs").filter(F.startswith("response", F.lit("{"))).withColumn("v", F.try_parse_json("response")).filter("v IS NOT NULL")
     title = F.coalesce(jsonl.field(F.col("v"), "$.title"), jsonl.field(F.col("v"), "$.izina"))
     return rows.select("line_no", title.alias("title")).filter("title IS NOT NULL")
 
 
-@query()
-def json_salvage(spark: SparkSession, d: str) -> DataFrame:
-    """Objects in responses after repair (fences, commas, truncation), with their keys."""
-    rows = table(spark, d, "chat_seed_pairs").filter(F.contains("response", F.lit("{"))).withColumn("v", jsonl.repaired(F.col("response"))).filter("v IS NOT NULL")
-    return rows.select("line_no", F.schema_of_variant("v").alias("schema"))
-
-
 _WSC = _WS[:-1]
 _NOT_WS = "[^" + _WSC[1:]
 _LABELLED = f"""regexp_matches(b, '(?i)^(prompt|question|user){_WSC}*:{_WSC}')"""

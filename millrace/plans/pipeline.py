@@ -110,6 +110,60 @@ def files_fingerprint(**paths: str) -> str:
     return hashlib.sha256(json.dumps(told, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
 
 
+def config_fingerprint(path: str) -> str:
+    """SHA-256 of a file's bytes."""
+    return hashlib.sha256(Path(path).read_bytes()).hexdigest()
+
+
+def run_id(name: str, config: str, data: str) -> str:
+    """A run's id from its name and the fingerprints of its configuration and data."""
+    return hashlib.sha1(f"{name}:{config}:{data}".encode()).hexdigest()[:12]
+
+
+def out_path(prefix: str, suffix: str) -> str:
+    """An output beside others of its prefix."""
+    return f"{prefix}.{suffix}"
+
+
+def read_config(path: str) -> dict:
+    """A run's configuration: JSON, or YAML where a reader for it is installed."""
+    text = Path(path).read_text("utf-8")
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:
+            raise RuntimeError(f"{path}: no YAML reader is installed") from e
+        told = yaml.safe_load(text)
+    else:
+        told = json.loads(text)
+    if not isinstance(told, dict):
+        raise ValueError(f"{path}: not an object")
+    return told
+
+
+def preflight_files(spark: SparkSession, least: int = 100, **paths: str) -> dict:
+    """The check before training: files that are missing and files with too few valid pairs, in the order given, their
+    summaries, and the fingerprint of all if nothing failed."""
+    there = {name: path for name, path in paths.items() if Path(path).exists()}
+    summaries: dict[str, dict] = {}
+    for name, path in there.items():  # a file each, as many as there are splits
+        row = jsonl.summarize_lines(spark.read.text(path), []).first()
+        summaries[name] = row.asDict()
+    failures = []
+    for name, path in paths.items():
+        if name not in there:
+            failures.append(f"missing:{name}:{path}")
+        elif summaries[name]["valid_pairs"] < least:
+            failures.append(f"too_few_valid_rows:{name}:{summaries[name]['valid_pairs']}")
+    return {"ok": not failures, "failures": failures, "dataset_fingerprint": "" if failures else files_fingerprint(**paths), "summaries": summaries}
+
+
+def append_metrics(path: str, step: int, **values: float) -> None:
+    """One JSON line more in a local log of metrics."""
+    with open(path, "a", encoding="utf-8") as f:
+        f.write(json.dumps({"step": step, **values}) + "\n")
+
+
 def write_report(path: str, told: dict) -> None:
     """An indented JSON document, moved into place when it is whole."""
     at = Path(path)

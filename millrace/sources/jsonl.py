@@ -6,6 +6,8 @@ that of repeated keys the last one counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -89,6 +91,35 @@ def read_pairs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return exploded.select("file", "line_no", "pair_no", "pair.*").filter("prompt <> '' AND response <> ''")
 
 
+def summarize_lines(lines: DataFrame, by: list[str]) -> DataFrame:
+    """Per group of physical lines (column `value`): n_lines (blank and malformed ones too), valid_pairs (a dialogue may hold
+    several), invalid_lines (without a valid pair), mean characters of prompts and responses of valid pairs (0 where none)."""
+    record = F.when(F.json_object_keys("value").isNotNull(), F.try_parse_json("value"))
+    pairs = F.filter(pairs_of(F.col("value"), F.col("v")), lambda p: (p["prompt"] != "") & (p["response"] != ""))
+    told = lines.select(*by, "value", record.alias("v")).select(*by, F.when(F.col("v").isNotNull(), pairs).alias("pairs"))
+    chars = lambda k: F.coalesce(F.aggregate("pairs", F.lit(0).cast("bigint"), lambda a, p: a + F.char_length(p[k])), F.lit(0))
+    told = told.select(*by, F.greatest(F.coalesce(F.size("pairs"), F.lit(0)), F.lit(0)).alias("n"), chars("prompt").alias("p"), chars("response").alias("r"))
+    n = F.coalesce(F.sum("n"), F.lit(0))
+    return told.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_lines"), n.alias("valid_pairs"), F.count_if(F.col("n") == 0).alias("invalid_lines"),
+        T.ratio(F.sum("p"), n).alias("avg_prompt_chars"), T.ratio(F.sum("r"), n).alias("avg_response_chars"),
+    )
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """`df` (file, line_no, ...) with `place`, one whole number that sorts by file name, then line."""
+    files = df.select("file").distinct().withColumn("_n", F.row_number().over(Window.orderBy("file")) - 1)  # a row a file
+    joined = join_by_size(df, stage(files, "files"), ["file"], "inner", 200_000)
+    return joined.withColumn("place", F.col("_n") * F.lit(2**40) + F.col("line_no")).drop("_n")
+
+
+def token_examples(spark: SparkSession, path: str | list[str], ids: Callable[[Column], Column], seq_len: int, eos: str = "") -> DataFrame:
+    """file, line_no, pair_no, input_ids, labels, supervised of every pair in the files that leaves something to learn."""
+    from millrace.operators.tokens import examples
+
+    return examples(read_pairs(spark, path), ids, "prompt", "response", seq_len, eos).drop("prompt", "response")
+
+
 # ---- model output
 
 
@@ -102,17 +133,28 @@ def json_block(x: Column) -> Column:
     return F.regexp_extract(x, r"(?s)(\{.*\})", 1)
 
 
-def repaired(x: Column) -> Column:
-    """A VARIANT from model output: as it is, its block, without trailing commas, with stray backslashes escaped, with
-    raw control characters escaped, closed where it breaks off; the first that parses."""
-    body = unfenced(x)
-    block = F.when(json_block(body) != "", json_block(body)).otherwise(F.regexp_extract(body, r"(?s)(\{.*)", 1))
-    bare = F.regexp_replace(block, r",(\s*[}\]])", "$1")
-    slashes = F.regexp_replace(bare, r'\\(?!["\\/bfnrtu])', r"\\\\\\\\")
-    lines = F.regexp_replace(F.regexp_replace(slashes, r"\n", r"\\\\n"), r"\t", r"\\\\t")
-    tries = [body, block, bare, slashes, lines]
-    tries += [F.concat(bare, F.lit(end)) for end in ("}", "]}", "}]}", '"}', '"]}', '"}]}')]
-    return F.coalesce(*[F.try_parse_json(F.nullif(t, F.lit(""))) for t in tries])
+def _strings_on_one_line(x: Column) -> Column:
+    """JSON text whose strings hold line breaks and tabs as escapes. Quotes that aren't escaped part strings from the rest."""
+    parts = F.split(x, r'(?<!\\)"')
+    inside = lambda s: F.replace(F.replace(F.replace(s, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")), F.lit("\t"), F.lit("\\t"))
+    return F.array_join(F.transform(parts, lambda s, i: F.when(i % 2 == 1, inside(s)).otherwise(s)), '"')
+
+
+def with_repaired(df: DataFrame, text: str, name: str = "v") -> DataFrame:
+    """`df` and a VARIANT from model output: as it is, its block, without trailing commas, with stray backslashes escaped, with
+    line breaks and tabs in strings escaped, closed where it breaks off; the first that parses. Each form is made once a row,
+    in a projection of its own."""
+    body, block, bare, slashes = (F.col(f"_{n}\u0001") for n in ("body", "block", "bare", "slashes"))
+    told = df.withColumn("_body\u0001", unfenced(F.col(text)))
+    told = told.withColumn("_block\u0001", F.when(json_block(body) != "", json_block(body)).otherwise(F.regexp_extract(body, r"(?s)(\{.*)", 1)))
+    told = told.withColumn("_bare\u0001", F.regexp_replace(block, r",(\s*[}\]])", "$1"))
+    told = told.withColumn("_slashes\u0001", F.regexp_replace(bare, r'\\(?!["\\/bfnrtu])', r"\\\\\\\\"))
+    told = told.withColumn("_line\u0001", _strings_on_one_line(slashes))
+    line = F.col("_line\u0001")
+    tries = [body, block, bare, slashes, line]
+    tries += [F.concat(line, F.lit(end)) for end in ("}", "]}", "}]}", '"}', '"]}', '"}]}')]
+    value = F.coalesce(*[F.try_parse_json(F.nullif(t, F.lit(""))) for t in tries])
+    return told.withColumn(name, value).drop(*[f"_{n}\u0001" for n in ("body", "block", "bare", "slashes", "line")])
 
 
 def items_of(v: Column, required: list[str]) -> Column:
@@ -126,11 +168,36 @@ def items_of(v: Column, required: list[str]) -> Column:
 
 
 def partial_item(x: Column, keys: list[str]) -> Column:
-    """Strings of keys found by pattern in output that doesn't parse, JSON escapes undone."""
-    found = [F.regexp_extract(x, rf'"{k}"\s*:\s*"((?:[^"\\]|\\.)*)"', 1) for k in keys]
+    """Strings of keys found by pattern in output that doesn't parse, JSON escapes undone; null where a key isn't found."""
+    told = {k: rf'"{k}"\s*:\s*"((?:[^"\\]|\\.)*+)"' for k in keys}
+    found = [F.when(F.rlike(x, F.lit(p)), F.regexp_extract(x, p, 1)) for p in told.values()]
     return F.struct(*[F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), f, F.lit('"'))), "$", "string").alias(k) for f, k in zip(found, keys)])
 
 
+def with_salvaged(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """`df` and the keys' strings and `how`: from the repaired value (`parsed`; the first of its items, if it has any), else
+    from what patterns find (`partial`), else nulls (`lost`). Columns of those names are replaced."""
+    told = with_repaired(df, text, "_v\u0001")
+    first = F.coalesce(F.try_variant_get("_v\u0001", "$.items[0]", "variant"), F.col("_v\u0001"))
+    told = told.withColumn("_first\u0001", first).withColumn("_p\u0001", partial_item(F.col(text), keys))
+    told = told.withColumn("_f\u0001", F.struct(*[field(F.col("_first\u0001"), f"$.{k}").alias(k) for k in keys]))
+    parsed, partial = F.col("_f\u0001"), F.col("_p\u0001")
+    any_of = lambda s: F.coalesce(*[s[k] for k in keys]).isNotNull()
+    how = F.when(any_of(parsed), "parsed").when(any_of(partial), "partial").otherwise("lost")
+    told = told.withColumns({**{k: F.when(any_of(parsed), parsed[k]).otherwise(partial[k]) for k in keys}, "how": how})
+    return told.drop("_v\u0001", "_first\u0001", "_p\u0001", "_f\u0001")
+
+
+def batch_items(v: Column) -> Column:
+    """struct(answers: map of id to response, error): the items of a batch's answer with an id and a response, both made plain;
+    of equal ids the last. `missing_items_list` where there is no list of items. Batches are small by their making."""
+    listed = F.try_variant_get(v, "$.items", "array<variant>")
+    pairs = F.transform(listed, lambda i: F.struct(T.norm_ascii(F.try_variant_get(i, "$.id", "string")).alias("key"), T.norm_ascii(F.try_variant_get(i, "$.response", "string")).alias("value")))
+    good = F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != ""))
+    last = F.filter(good, lambda p, i: ~F.exists(F.slice(good, i + 2, F.greatest(F.size(good), F.lit(1))), lambda q: q["key"] == p["key"]))
+    return F.struct(F.map_from_entries(last).alias("answers"), F.when(listed.isNull(), "missing_items_list").alias("error"))
+
+
 def completion_text(v: Column) -> Column:
     """The text of a completion: message content as a string or in parts, choice text, or output_text."""
     parts = F.try_variant_get(v, "$.choices[0].message.content", "array<variant>")

@@ -121,6 +121,24 @@ def test_sequential_accept_against_model(spark):
     assert got == model_accept(rows, 0.7, 3, 5)
 
 
+def test_acceptance_of_a_long_chain(spark):
+    # each is near its neighbours only, so verdicts depend on each other all along
+    rows = [(i, " ".join(f"w{k}" for k in range(i, i + 12)), "") for i in range(30)]
+    rows += [(100 + i, "same words again", "t") for i in range(40)] + [(200, None, "t"), (201, "...", "t"), (202, "... ", "t")]
+    df = spark.createDataFrame(rows, "line_no long, prompt string, topic string")
+    got = {r["line_no"]: (r["status"], r["match"]) for r in dedup.sequential_accept(df, "line_no", "prompt", "topic", 0.7, 3, 5).collect()}
+    assert {k: s for k, (s, _) in got.items()} == model_accept([(i, p or "", t) for i, p, t in rows], 0.7, 3, 5)
+    assert got[1] == ("near_duplicate", 0) and got[139] == ("near_duplicate", 100)
+
+
+def test_near_in_recent(spark):
+    index = spark.createDataFrame([(1, "a b c d", "t", "1"), (2, "a b c x", "u", "2"), (3, "A B C D", "t", "3"), (4, "z", None, None), (5, "", "t", "9")], "n int, p string, t string, c string")
+    probes = spark.createDataFrame([(1, "a b c d", "t"), (2, "a b q", "u"), (3, "nothing", "t"), (4, "...", "t"), (5, None, None), (6, "a b c x", "t")], "k int, p string, t string")
+    got = {r["k"]: (r["found"], r["match"]) for r in dedup.near_in_recent(index, probes.withColumn("n", F.lit(0)).withColumn("c", F.lit("")), "k", "p", "t", "c", "n", 0.7).collect()}
+    assert got == {1: (True, "A B C D"), 2: (False, "a b c x"), 3: (False, None), 4: (False, None), 5: (False, None), 6: (True, "a b c x")}
+    assert dedup.near_in_recent(index.limit(0), probes.withColumn("n", F.lit(0)), "k", "p", "t", "c", "n").filter("found").count() == 0
+
+
 def test_examples_mask_the_prompt(spark):
     df = spark.createDataFrame([(1, "Hi", "Yes"), (2, "User: Hi", "Yes"), (3, "Hi", "")], "n long, p string, r string")
     got = {r["n"]: r for r in tokens.examples(df, tokens.char_ids, "p", "r", 0).collect()}
@@ -187,8 +205,8 @@ def test_passes_pools_and_bootstrap(spark):
     told = [r["t"] for r in df.orderBy("n").select(teacher.first_parsed([F.col("x"), F.col("y")]).alias("t")).collect()]
     assert [(t["value"], t["pass"]) if t else None for t in told] == [("b", 1), ("a", 0), None, ("a", 0)]
     assert [r["n"] for r in teacher.first_valid(df, "call", "n").collect()] == [2]
-    rows = spark.createDataFrame([("A b", "s1", "2"), ("a  B", "s2", "1"), (" ", "s", "0"), ("c", "s", None)], "prompt string, source string, created_at string")
-    index = {r["prompt_key"]: r["first_source"] for r in dedup.bootstrap_index(rows, "prompt", "source", "created_at").collect()}
+    rows = spark.createDataFrame([(1, "A b", "s1", "2"), (2, "a  B", "s2", "1"), (3, " ", "s", "0"), (5, "c", "later", None), (4, "c", "s", None)], "n int, prompt string, source string, created_at string")
+    index = {r["prompt_key"]: r["first_source"] for r in dedup.bootstrap_index(rows, "prompt", "source", "created_at", "n").collect()}
     assert index == {"a b": "s2", "c": "s"}
     batch = spark.createDataFrame([(1, "A B"), (2, "new"), (3, "NEW"), (4, None)], "n int, prompt string")
-    assert [r["n"] for r in dedup.add_new(dedup.bootstrap_index(rows, "prompt", "source", "created_at"), batch, T.fold(F.col("prompt")), "n").collect()] == [2]
+    assert [r["n"] for r in dedup.add_new(dedup.bootstrap_index(rows, "prompt", "source", "created_at", "n"), batch, T.fold(F.col("prompt")), "n").collect()] == [2]

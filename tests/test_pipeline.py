@@ -1,7 +1,7 @@
 import json
 import os
 from collections import Counter
-from hashlib import sha1
+from hashlib import sha1, sha256
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +63,69 @@ def test_small_inputs(tmp_path, monkeypatch):
     assert json.loads((tmp_path / "r" / "x.json").read_text()) == {"a": 1}
 
 
+def test_preflight_and_runs(spark, tmp_path):
+    lines = [json.dumps({"prompt": "Hi", "response": "Yes"})] * 3 + ["", "bad"]
+    (tmp_path / "train.jsonl").write_text("\n".join(lines) + "\n")
+    (tmp_path / "val.jsonl").write_text(lines[0] + "\n")
+    at = {n: str(tmp_path / f"{n}.jsonl") for n in ("train", "val", "test")}
+    told = pipeline.preflight_files(spark, 2, **at)
+    assert told["failures"] == ["too_few_valid_rows:val:1", f"missing:test:{at['test']}"] and not told["ok"] and told["dataset_fingerprint"] == ""
+    assert told["summaries"]["train"] == {"n_lines": 5, "valid_pairs": 3, "invalid_lines": 2, "avg_prompt_chars": 2.0, "avg_response_chars": 3.0}
+    fine = pipeline.preflight_files(spark, 1, train=at["train"], val=at["val"])
+    assert fine["ok"] and fine["dataset_fingerprint"] == pipeline.files_fingerprint(train=at["train"], val=at["val"])
+    (tmp_path / "c.json").write_text('{"a": 1}')
+    print_ = pipeline.config_fingerprint(str(tmp_path / "c.json"))
+    assert print_ == sha256(b'{"a": 1}').hexdigest() and pipeline.read_config(str(tmp_path / "c.json")) == {"a": 1}
+    assert pipeline.run_id("n", print_, "d") == sha1(f"n:{print_}:d".encode()).hexdigest()[:12] and pipeline.out_path("a/b", "final.jsonl") == "a/b.final.jsonl"
+    (tmp_path / "l.json").write_text("[1]")
+    with pytest.raises(ValueError):
+        pipeline.read_config(str(tmp_path / "l.json"))
+    pipeline.append_metrics(str(tmp_path / "m"), 1, loss=0.5)
+    pipeline.append_metrics(str(tmp_path / "m"), 2, loss=0.25)
+    assert [json.loads(x)["step"] for x in (tmp_path / "m").read_text().splitlines()] == [1, 2]
+    steps = spark.createDataFrame([("c/step-00000010",), ("c/step-00000009",), ("c/step-x",), ("c/other",)], "p string")
+    assert tuple(report.latest_step(steps, "p").first()) == ("c/step-00000010", 10)
+    speed = spark.createDataFrame([(100, 2.0), (5, 0.0)], "t int, s double").select(report.throughput(F.col("t"), F.col("s")).alias("x")).collect()
+    assert [r["x"] for r in speed] == [50.0, 5e6]
+
+
+def test_seeds_and_requests(spark):
+    made = seed.template_records(spark, ["a", "A"]).orderBy("place").collect()
+    n = sum(map(len, seed.TEMPLATES.values()))
+    assert len(made) == n and made[0]["id"].startswith("rw_") and made[-1]["lang_mode"] == "control"  # A is a, case aside
+    assert seed.template_records(spark, target=5).count() == 5 and seed.template_records(spark).count() == len(seed.TOPICS) * n
+    assert seed.item_schema(True)["properties"]["items"]["items"] == seed.item_schema()
+    row = spark.createDataFrame([("t", "o", "rw", ["x", "y"], [])], "t string, o string, m string, a array<string>, f array<string>")
+    text = row.select(seed.request_text(*[F.col(c) for c in "tomaf"], 3).alias("r")).first()["r"]
+    assert "3 new" in text and "- x\n- y" in text and "begin with" not in text
+
+
+def test_retries():
+    from millrace.operators import teacher
+
+    calls, waits = [], []
+
+    def asks(status):
+        def answer(batch):
+            calls.append(status)
+            if len(calls) < 3:
+                raise teacher.StatusError(status, "x")
+            return {"1": "ok"}
+
+        return answer
+
+    assert teacher.with_retries(asks(503), 4, 2.0, sleep=waits.append)([("1", "p")]) == {"1": "ok"} and waits == [2.0, 4.0]
+    calls.clear()
+    with pytest.raises(teacher.StatusError):
+        teacher.with_retries(asks(408), 4, sleep=waits.append)([("1", "p")])
+    assert len(calls) == 1
+    calls.clear()
+    assert teacher.with_retries(asks(408), 4, retried=teacher.RETRIED_MORE, sleep=waits.append)([("1", "p")])
+    calls.clear()
+    with pytest.raises(teacher.StatusError):
+        teacher.with_retries(asks(None), 2, sleep=waits.append)([("1", "p")])
+
+
 def test_end_to_end(spark, tmp_path):
     good = "Iki ni igisubizo kirekire gihagije kandi cyiza cyane nomero {}."
     rows = [{"id": f"i{k}", "prompt": f"Sobanura ikibazo cya {k}", "response": good.format(k), "lang_mode": "rw", "topic": "t" if k % 2 else "u", "task_type": "rw_instruction"} for k in range(40)]

@@ -30,12 +30,21 @@ def test_line_numbers_and_shapes(spark, tmp_path):
 
 def test_repair(spark):
     texts = ['```json\n{"a": "x",}\n```', 'Sure: {"items": [{"id": "1", "response": "r"},]} done', '{"a": "C:\\q"}', '{"a": "line\nbreak"}', '{"items": [{"a": "b"}', '{"a": "cut off', "no json"]
-    got = [r["s"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(F.schema_of_variant(jsonl.repaired(F.col("t"))).alias("s")).collect()]
+    got = [r["s"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").transform(lambda x: jsonl.with_repaired(x, "t")).orderBy("i").select(F.schema_of_variant("v").alias("s")).collect()]
     assert all(s and s.startswith("OBJECT") for s in got[:6]) and got[6] is None
     item = spark.createDataFrame([('{"prompt": "a \\"b\\"", "task_type": "x", broken',)], "t string").select(jsonl.partial_item(F.col("t"), ["prompt", "task_type"]).alias("i")).first()["i"]
     assert (item["prompt"], item["task_type"]) == ('a "b"', "x")
 
 
+def test_salvage_and_batches(spark):
+    texts = ['{"prompt": "a\nb\t\\"c\\"", "task_type": "t"}', '{"items": [{"prompt": "p"}, {"prompt": "q"}]}', 'x {"prompt": "cut", "task_type": "t", "la', "nothing", None, '"prompt": "' + "x" * 100_000]
+    got = jsonl.with_salvaged(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), "t", ["prompt", "task_type"]).orderBy("i").collect()
+    assert [(x["prompt"], x["task_type"], x["how"]) for x in got] == [('a\nb\t"c"', "t", "parsed"), ("p", None, "parsed"), ("cut", "t", "partial"), (None, None, "lost"), (None, None, "lost"), (None, None, "lost")]
+    batches = ['{"items": [{"id": "1", "response": "a"}, 5, {"id": " 1 ", "response": "b"}, {"id": "", "response": "x"}, {"id": "2", "response": " "}, {"id": "3", "response": "“c”"}]}', '{"items": 3}', '{"items": []}']
+    told = [r["b"] for r in spark.createDataFrame(list(enumerate(batches)), "i int, t string").orderBy("i").select(jsonl.batch_items(F.parse_json("t")).alias("b")).collect()]
+    assert told[0]["answers"] == {"1": "b", "3": '"c"'} and told[0]["error"] is None and told[1]["error"] == "missing_items_list" and told[2]["answers"] == {}
+
+
 def test_completion_shapes(spark):
     shapes = [
         {"choices": [{"message": {"content": "a"}}]}, {"choices": [{"message": {"content": [{"text": "a"}, "b"]}}]}, {"choices": [{"text": "a"}]}, {"output_text": "a"}, {"x": 1},
