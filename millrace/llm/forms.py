@@ -34,6 +34,9 @@ LOOKALIKES = {
     "Cyrillic": "АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ҮY ХX ԚQ ԜW аa еe оo рp сc уy үy хx ѕs іi јj ԁd һh ԛq ԝw ѵv ӏl",
     "Greek": "ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX οo νv ρp ϲc ϳj",
     "Armenian": "ՕO ՏS օo սu հh",
+    "Cherokee": "ᎪA ᏴB ᏟC ᎠD ᎬE ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᎡR ᏚS ᎢT ᏙV ᎳW ᏃZ",
+    "Coptic": "ⲎH ⲒI ⲔK ⲘM ⲚN ⲞO ⲢP ⲤC ⲦT ⲬX ⲟo ⲣp ⲥc",
+    "Lisu": "ꓐB ꓑP ꓓD ꓔT ꓖG ꓗK ꓙJ ꓚC ꓜZ ꓝF ꓟM ꓠN ꓡL ꓢS ꓣR ꓦV ꓧH ꓪW ꓫX ꓬY ꓮA ꓰE ꓲI ꓳO ꓴU",
 }
 # Letters of two other scripts that look alike, Cyrillic and Greek.
 CYRILLIC_GREEK = "ПΠ ГΓ ФΦ"
@@ -53,16 +56,17 @@ _INVISIBLE = re.compile(f"[{INVISIBLE}]+")
 _TOKEN = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+")
 #: Beside these (ASCII, the no-break space, composed Latin letters) a text needs more than its white space made plain
 _OTHER = re.compile("[^\\x00-\\x7f\\xa0\\xc0-\\xff]")
-SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian")
+SCRIPTS = ("Latin", "Cyrillic", "Greek", "Armenian", "Cherokee", "Coptic", "Lisu")
 
 
 def _plain_table() -> dict[int, str]:
-    """By rule: the compatibility forms that look like their plain spelling (wide, narrow, ligatures, roman numerals)."""
+    """By rule: the compatibility forms that look like their plain spelling (wide, narrow, ligatures, roman numerals, the
+    letters and digits of mathematics)."""
     out: dict[int, str] = {}
-    for code in range(0x80, 0x10000):
+    for code in [*range(0x80, 0x10000), *range(0x1D400, 0x1D800)]:
         kind, _, rest = unicodedata.decomposition(chr(code)).partition(" ")
-        alike = 0xFB00 <= code <= 0xFB06 or 0x2160 <= code <= 0x217F or code in (0x132, 0x133) or 0x1C4 <= code <= 0x1CC
-        if kind in ("<wide>", "<narrow>") or kind == "<compat>" and alike:
+        alike = code >= 0x1D400 or 0xFB00 <= code <= 0xFB06 or 0x2160 <= code <= 0x217F or code in (0x132, 0x133) or 0x1C4 <= code <= 0x1CC
+        if kind in ("<wide>", "<narrow>") or kind in ("<compat>", "<font>") and alike:
             out[code] = unicodedata.normalize("NFKC", chr(code))
     for plain, marks in MARKS.items():
         out.update((ord(m), plain) for m in marks)

@@ -7,6 +7,7 @@ from millrace.llm.forms import form, kind_of, lookalike_pairs, script_sets, with
 SAME = [
     ("Мuri Rwanda", "Muri Rwanda"), ("ｂｉｒｏ", "biro"), ("école", "école"), ("y’uko", "y'uko"), ("yʼuko", "y'uko"), ("a​b­c﻿", "abc"), ("a  　b\n\nc ", "a b c"),
     ("Wi‑Fi", "Wi-Fi"), ("ﬁn", "fin"), ("“x”", '"x"'), ("соре", "cope"), ("１２，", "12,"), ("a⁠b", "ab"), ("ό", "ó"), ("＂x＂", '"x"'),
+    ("ᎪᏟᎬ", "ACE"), ("ꓡꓲꓢꓴ", "LISU"), ("ⲞⲢ", "OP"), ("𝐦𝐮𝐫𝐢 𝟏𝟐", "muri 12"), ("𝗠uri", "Muri"), ("𝚨", "A"),
 ]
 DIFFERENT = [("A", "a"), ("e", "é"), ("0", "O"), ("1", "l"), ("x²", "x2"), ("①", "1"), ("ab", "a b"), ("«x»", '"x"'), ("😊", "👍"), ("Привет", "Privet"), ("½", "1/2"), ("ß", "ss")]
 
