@@ -11,10 +11,12 @@ as answer, refusal, echo, foreign or unfinished, and the words the tags cover de
 
 The field is trained on pairs made from a bounded sample of rows (`max_rows`, those with the smallest hash of their key):
 responses as they are, with their full stop taken off, cut at a random place, exchanged for a copy of the message in
-several guises, for a response in another language, or for a refusal composed of stock phrases. Features are the share of
+several guises, for a response in another language (with the message as it is, and with one that asks for that language), or
+for a refusal composed of stock phrases. Features are the share of
 a clause's words that lie in runs shared with the last user message, whether its language is the message's (a model of
 the same kind as problem 6's), how and on what words it ends and how often sentences end on them, open brackets and
-fences, its place, and its words. Tagging is applied to every row; nothing is sampled but the training pairs.
+fences, its place, and its words; of short responses also how words begin and how many of those that the message doesn't hold
+are seldom in responses, so that refusals in other words than the stock phrases are told too. Tagging is applied to every row; nothing is sampled but the training pairs.
 Rows without a user message can't be copies or foreign; extra columns aren't read; repeated rows are judged alike.
 """
 
@@ -156,6 +158,7 @@ class PairTagger:
         self.ids = _Ids()
         self.final: dict[str, int] = {}
         self.total: dict[str, int] = {}
+        self.seldom = 0
         self._endings([r for _, r in pairs])
         self.node = np.zeros((1 << BITS, len(TAGS)), np.float32)
         self.step = np.zeros((len(TAGS), len(TAGS)), np.float32)
@@ -189,6 +192,7 @@ class PairTagger:
                     if len(ws) > 1:
                         final[f"{ws[-2]} {ws[-1]}"] += 1
         self.total = {k: v for k, v in total.items() if v > 1}
+        self.seldom = len(responses) // 100  # words that next to no response has
         self.final = {k: v for k, v in final.items() if k in self.total}
 
     @staticmethod
@@ -235,6 +239,11 @@ class PairTagger:
                 f = ["b", e, f"m{match}", f"q{quoted}", f"{'first' if j == 0 else 'later'}", f"{'only' if len(cs) == 1 else 'many'}", f"n{min(n, 6)}", f"{e}n{min(n, 6)}", f"m{match}n{min(n, 4)}", f"{e}m{match}"]
                 f += [f"q{int(quoted)}w{w}" for w in ws]
                 f += [f"w{a} {b}" for a, b in zip(ws, ws[1:])]
+                if len(cs) <= 3:  # a refusal is short; how its words begin carries over to words never seen
+                    f += [f"p{w[:2]}" for w in ws[:12]] + [f"p{w[:3]}" for w in ws] + [f"p{w[:5]}" for w in ws]
+                    own = [w for w in ws if w not in known]
+                    rare = sum(self.total.get(w, 0) <= self.seldom for w in own) / max(1, len(own))
+                    f += [f"s{i}{w[:3]}" for i, w in enumerate(ws[:4])] + [f"r{int(rare * 4.99)}", f"r{int(rare * 4.99)}{min(n, 6)}{len(cs)}", f"o{int(len(own) / n * 4.99)}"]
                 if last:
                     f += self._ending(c, response, ws)
                 ids += map(get, f)
@@ -336,7 +345,11 @@ class PairTagger:
             if i % 3 == 1 and not any(p.search(m) for p in _ASKED.values()):
                 other = [y for y in by if y not in (x, "rw_mixed")]
                 if other and x != "rw_mixed":
-                    add(m, rng.choice(by[rng.choice(other)]), FOREIGN)
+                    y = rng.choice(other)
+                    r2 = rng.choice(by[y])
+                    add(m, r2, FOREIGN)
+                    name = rng.choice(ASKED[y].split("|"))  # the same answer to a message that asks for its language
+                    add(rng.choice([f"{name}: {m}", f"{m} ({name})", f"{m} {name}."]), r2, ANSWER)
             if i % 3 == 2:
                 a, b, c = (s.split("|") for s in REFUSALS["rw" if x == "rw_mixed" else x])
                 topic = rng.choice([w for w in _WORD.findall(m) if len(w) > 3] or ["ibyo"])

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.llm import pairs
+from millrace.llm.forms import form
 from millrace.llm.language import LANGS, is_empty, label_lines, train, with_languages, wrong_label
 from millrace.llm.pairs import TAGS, fit, last_message, pair_defects
 
@@ -72,6 +74,25 @@ def test_defects(spark, tagger):
     assert pair_defects(df.limit(0), "line_no", "prompt", "response", tagger).count() == 0
 
 
+def test_refusals_in_words_never_trained(spark, model, monkeypatch):
+    """Of each language's stock phrases every other one is left out of training; refusals made of those are told all the same."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/chat_seed_pairs.parquet").select("line_no", "prompt", "response").dropna().orderBy("line_no").collect()
+    plain = [(pairs.last_message(r["prompt"]), form(r["response"], True)) for r in rows]
+    plain = [(m, r) for m, r in plain if m and not is_empty(r)]
+    whole = dict(pairs.REFUSALS)
+    known = {k: (a, "|".join(b.split("|")[::2]), c) for k, (a, b, c) in whole.items()}
+    monkeypatch.setattr(pairs, "REFUSALS", known)
+    half = pairs.PairTagger(plain[:1500], model)
+    hit = n = 0
+    for (m, _), x in zip(plain[1500:], [x for x, _ in model.label([m for m, _ in plain[1500:]])]):
+        if x in whole:
+            a, b, c = (y.split("|") for y in whole[x])
+            text = f"{a[n % len(a)]} {b[1::2][n % len(b[1::2])].format(t='ibyo')}".strip()
+            got = half.defect(half.tags([(m, f"{text[0].upper()}{text[1:]}. {c[n % len(c)]}".strip())])[0])
+            n, hit = n + 1, hit + (got == "refusal")
+    assert n > 200 and hit >= 0.55 * n
+
+
 def test_fit_on_nothing(spark, model):
     empty = spark.createDataFrame([], "line_no long, prompt string, response string")
     tagger = fit(empty, "line_no", "prompt", "response", model)
