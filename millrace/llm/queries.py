@@ -145,6 +145,14 @@ def p4_splits(spark: SparkSession, d: str) -> DataFrame:
     return _splits(spark, d).select("line_no", "conversation_id", "split")
 
 
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each split, and how many conversations stand in it and in another one too."""
+    assigned = _splits(spark, d)
+    apart = assigned.filter("conversation_id IS NOT NULL").groupBy("conversation_id").agg(F.min("split").alias("a"), F.max("split").alias("b")).filter("a <> b")
+    marked = assigned.join(apart.select("conversation_id", F.lit(1).alias("_apart")), "conversation_id", "left")
+    return marked.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count("_apart").alias("n_apart"))
+
+
 def _capacities(spark: SparkSession, d: str) -> dict[str, int]:
     """All capacities: a table of a few rows by its meaning; the driver refuses it (and drops nothing) where it isn't."""
     rows = table(spark, d, "pack_capacity").orderBy("pack_name").limit(MAX_SMALL + 1).collect()
@@ -199,6 +207,11 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return _matched(spark, d)[1].select("dim_name", "category", "wanted", "available", "sampled", "gap")
 
 
+def p7_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Categories of which the sample has fewer rows than wanted, and how many."""
+    return _matched(spark, d)[1].filter("gap > 0").select("dim_name", "category", "wanted", "available", "gap")
+
+
 def queries() -> dict[str, Query]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
@@ -234,6 +247,12 @@ def oracle_sql() -> dict[str, str]:
   GROUP BY a.line_no, b.line_no, a.n, b.n HAVING count(*) >= 0.8::DOUBLE * (a.n + b.n - count(*)) - 1e-9"""
     return {
         "p5_found": overlap,
+        # each split has its quota to the row (largest remainders), no conversation is in two
+        "p4_report": """WITH n AS (SELECT count(*) AS n FROM chat_seed_pairs), q AS (SELECT s, i, n, n * r AS x FROM n, (VALUES ('train', 0, 0.9::DOUBLE), ('val', 1, 0.05::DOUBLE), ('test', 2, 0.05::DOUBLE)) AS v(s, i, r))
+  SELECT s AS split, floor(x)::BIGINT + CASE WHEN row_number() OVER (ORDER BY x - floor(x) DESC, i) <= n - sum(floor(x)) OVER () THEN 1 ELSE 0 END AS n_rows, 0::BIGINT AS n_apart FROM q""",
+        # only what isn't there is missing
+        "p7_gaps": f"""SELECT * FROM (SELECT m.dim_name, m.category, greatest(m.min_rows, ceil(m.target_pct * m.sample_rows / 100.0))::BIGINT AS wanted, coalesce(s.n, 0)::BIGINT AS available,
+  greatest(m.min_rows, ceil(m.target_pct * m.sample_rows / 100.0))::BIGINT - coalesce(s.n, 0)::BIGINT AS gap FROM mix_target m LEFT JOIN {counts} s ON s.dim_name = m.dim_name AND s.c = lower(trim(m.category))) WHERE gap > 0""",
         "p3_share": f"SELECT line_no, share FROM {_REPEATED}",
         "p3_found": f"SELECT line_no FROM {_REPEATED} WHERE share >= 0.3::DOUBLE",
         "p4_found": "SELECT line_no, substr(id, 1, 19) AS conversation_id FROM chat_seed_pairs WHERE conversation_id IS DISTINCT FROM substr(id, 1, 19)",
