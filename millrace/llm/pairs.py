@@ -9,14 +9,19 @@ as answer, refusal, echo, foreign or unfinished, and the words the tags cover de
 * `wrong_language`: foreign covers (nearly) all words;
 * `truncated`: the last clause is unfinished.
 
-The field is trained on pairs made from a bounded sample of rows (`max_rows`, those with the smallest hash of their key):
+The field is trained on pairs made from every row that has a message and a response:
 responses as they are, with their full stop taken off, cut at a random place, exchanged for a copy of the message in
 several guises, for a response in another language (with the message as it is, and with one that asks for that language), or
 for a refusal composed of stock phrases. Features are the share of
 a clause's words that lie in runs shared with the last user message, whether its language is the message's (a model of
 the same kind as problem 6's), how and on what words it ends and how often sentences end on them, open brackets and
 fences, its place, and its words; of short responses also how words begin and how many of those that the message doesn't hold
-are seldom in responses, so that refusals in other words than the stock phrases are told too. Tagging is applied to every row; nothing is sampled but the training pairs.
+are seldom in responses, so that refusals in other words than the stock phrases are told too.
+
+Nothing is sampled. Words and their endings are counted over all rows; known are those that stand more often than in one of
+1500 responses (and at least twice), which bounds their number whatever the table's size. Rows fall into pieces of about `piece`
+by their hash, `block` pieces are trained on as one block in a task, and a feature's weights are the mean over all blocks,
+each counted as often as it has the feature: a table of one piece is trained on as a whole. Tagging is applied to every row.
 Rows without a user message can't be copies or foreign; extra columns aren't read; repeated rows are judged alike.
 """
 
@@ -26,16 +31,17 @@ import random
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from millrace.llm.forms import form
 from millrace.llm.language import LANGS, LanguageModel, cut, is_empty
-from millrace.session import hash_sample
+from millrace.session import release, stage
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
@@ -99,14 +105,16 @@ _REFUSING = re.compile(
     r"(?i)sinshobora|sinabi|sinabasha|sinagi|ntabwo nemerewe|ndakwangiye|ambuza|ndayiretse|sinshaka|nta gisubizo|can't help|cannot answer|decline|rather not|guidelines keep|not able to|unable to|possible for me"
     r"|peux pas|impossible de|ne le ferai|refuser|autorisé à|m'interdi|siwezi|sitaweza|sina ruhusa|sitafanya|sitali|ninakataa|kukataa|zinanizuia"
 )
+_REFUSING_PARTS = _REFUSING.pattern.removeprefix("(?i)").split("|")  # plain words, looked for first
 
 
 @dataclass(frozen=True)
 class PairConfig:
-    max_rows: int = 3000
+    piece: int = 3000  # rows that pairs are made from together
+    block: int = 5  # pieces trained on together
     max_clauses: int = 16  # of a response to train on
     shard: int = 500
-    epochs: int = 10
+    epochs: int = 10  # over a piece; a block of several has as many steps in all
     rate: float = 0.12
     l2: float = 2e-4
     cover: float = 0.85
@@ -143,8 +151,8 @@ class _Ids(dict):
         return i
 
 
-def _bucket(final: int, total: int) -> str:
-    if total < 3:
+def _bucket(final: int, total: int, few: int) -> str:
+    if total < few:
         return "few"
     r = final / total
     return "0" if r < 0.01 else "1" if r < 0.1 else "2" if r < 0.3 else "3" if r < 0.6 else "4" if r < 0.95 else "5"
@@ -158,13 +166,13 @@ class PairTagger:
         self.ids = _Ids()
         self.final: dict[str, int] = {}
         self.total: dict[str, int] = {}
-        self.seldom = 0
-        self._endings([r for _, r in pairs])
+        self.seldom, self.few = 0, 3
+        self.know(*count_endings(r for _, r in pairs), len(pairs))
         self.node = np.zeros((1 << BITS, len(TAGS)), np.float32)
         self.step = np.zeros((len(TAGS), len(TAGS)), np.float32)
-        made = self._made(pairs)
+        made = self._made(pairs, cfg.seed)
         if made:
-            self._train(made)
+            self._train([self._prepared(made)], cfg.epochs)
 
     def __getstate__(self) -> dict:
         state = dict(self.__dict__) | {"ids": _Ids()}
@@ -179,78 +187,77 @@ class PairTagger:
 
     # ---- features
 
-    def _endings(self, responses: list[str]) -> None:
-        """How often words, and pairs of words, end a sentence, and how often they stand at all."""
-        final, total = Counter(), Counter()
-        for r in responses:
-            for s in _CUT.split(r):
-                ws = [w.lower() for w in _WORD.findall(s)]
-                grams = ws + [f"{a} {b}" for a, b in zip(ws, ws[1:])]
-                total.update(grams)
-                if ws and s.rstrip(" )\"'")[-1:] in (".", "!", "?"):
-                    final[ws[-1]] += 1
-                    if len(ws) > 1:
-                        final[f"{ws[-2]} {ws[-1]}"] += 1
-        self.total = {k: v for k, v in total.items() if v > 1}
-        self.seldom = len(responses) // 100  # words that next to no response has
-        self.final = {k: v for k, v in final.items() if k in self.total}
+    def know(self, total: dict[str, int], final: dict[str, int], n: int) -> None:
+        """Take the counts of `n` responses; which words are known, few or seldom goes by their share."""
+        least = least_count(n)
+        self.total = {k: v for k, v in total.items() if v >= least}
+        self.few = max(3, -(-n // 1000))
+        self.seldom = n // 100  # words that next to no response has
+        self.final = {k: final[k] for k in self.total if final.get(k)}
 
     @staticmethod
     def clauses(response: str) -> list[str]:
         return [c for c in _CUT.split(response) if _WORD.search(c)]
 
-    def features(self, rows: list[tuple[str, str]]) -> tuple[list[int], list[int], list[int], list[int]]:
+    def features(self, rows: list[tuple[str, str]], split: list[list[str]] | None = None) -> tuple[list[int], list[int], list[int], list[int]]:
         """For plain (message, response) rows: feature ids, where each clause's begin, clauses of each row, words of each clause."""
-        split = [self.clauses(r) for _, r in rows]
-        flat = [c for cs in split for c in cs]
-        spoken = self._languages([m for m, _ in rows], flat)
-        message_langs, clause_langs = spoken
+        split = [self.clauses(r) for _, r in rows] if split is None else split
+        message_langs, clause_langs = self._languages({m for m, _ in rows}, {c for cs in split for c in cs})
         ids, starts, sizes, words = [], [], [], []
-        get, k = self.ids.__getitem__, 0
-        for r, (message, response) in enumerate(rows):
-            cs = split[r]
+        get, before = self.ids.__getitem__, None
+        for (message, response), cs in zip(rows, split):
             sizes.append(len(cs))
-            mw = [w.lower() for w in _WORD.findall(message)]
-            grams = set(zip(mw, mw[1:], mw[2:]))
-            known = set(mw)
-            lang = message_langs[r]
-            asked = {x for x, names in _ASKED.items() if names.search(message)}
+            if message != before:
+                before, lang = message, message_langs[message]
+                mw = [w.lower() for w in _WORD.findall(message)]
+                grams = set(zip(mw, mw[1:], mw[2:]))
+                known = set(mw)
+                asked = {x for x, names in _ASKED.items() if names.search(message)}
+                seen: dict[tuple[str, bool, int, bool], tuple[list[int], list[str]]] = {}  # rows made from one pair share most clauses
+            json = response[:1] in "{["
             for j, c in enumerate(cs):
                 starts.append(len(ids))
-                ws = [w.lower() for w in _WORD.findall(c)]
+                at = (c, j == 0, min(len(cs), 4), json)
+                if at not in seen:
+                    f, ws = self._clause(c, j == 0, len(cs), json, lang, clause_langs[c], asked, known, grams)
+                    seen[at] = [get(x) for x in f], ws
+                own, ws = seen[at]
                 words.append(len(ws))
-                n = len(ws)
-                held = [False] * n
-                for i in range(n - 2):
-                    if (ws[i], ws[i + 1], ws[i + 2]) in grams:
-                        held[i] = held[i + 1] = held[i + 2] = True
-                share = sum(held) / n
-                if n < 3 and all(w in known for w in ws):
-                    share = 1.0
-                last = j == len(cs) - 1
-                told = clause_langs[k]
-                k += 1
-                if lang in (None, "rw_mixed") or told is None:
-                    match = "?"
-                else:
-                    match = "=" if told == lang else "asked" if told in asked else "mixed" if told == "rw_mixed" else "#"
-                quoted = ('"' in c or "«" in c) and response[:1] not in "{["  # JSON quotes all
-                e = f"e{0 if share == 0 else 1 + int(share * 4.99)}"
-                f = ["b", e, f"m{match}", f"q{quoted}", f"{'first' if j == 0 else 'later'}", f"{'only' if len(cs) == 1 else 'many'}", f"n{min(n, 6)}", f"{e}n{min(n, 6)}", f"m{match}n{min(n, 4)}", f"{e}m{match}"]
-                f += [f"q{int(quoted)}w{w}" for w in ws]
-                f += [f"w{a} {b}" for a, b in zip(ws, ws[1:])]
-                if len(cs) <= 3:  # a refusal is short; how its words begin carries over to words never seen
-                    f += [f"p{w[:2]}" for w in ws[:12]] + [f"p{w[:3]}" for w in ws] + [f"p{w[:5]}" for w in ws]
-                    own = [w for w in ws if w not in known]
-                    rare = sum(self.total.get(w, 0) <= self.seldom for w in own) / max(1, len(own))
-                    f += [f"s{i}{w[:3]}" for i, w in enumerate(ws[:4])] + [f"r{int(rare * 4.99)}", f"r{int(rare * 4.99)}{min(n, 6)}{len(cs)}", f"o{int(len(own) / n * 4.99)}"]
-                if last:
-                    f += self._ending(c, response, ws)
-                ids += map(get, f)
+                ids += own
+                if j == len(cs) - 1:
+                    ids += map(get, self._ending(c, response, ws))
         return ids, starts, sizes, words
 
-    def _languages(self, messages: list[str], flat: list[str]) -> tuple[list[str | None], list[str | None]]:
-        of_messages = [x for x, _ in self.languages.label(messages)]
+    def _clause(self, c: str, first: bool, many: int, json: bool, lang: str | None, told: str | None, asked: set[str], known: set[str], grams: set[tuple[str, str, str]]) -> tuple[list[str], list[str]]:
+        """Features of a clause, but for those of a response's end, and its words."""
+        ws = [w.lower() for w in _WORD.findall(c)]
+        n = len(ws)
+        held = [False] * n
+        for i in range(n - 2):
+            if (ws[i], ws[i + 1], ws[i + 2]) in grams:
+                held[i] = held[i + 1] = held[i + 2] = True
+        share = sum(held) / n
+        if n < 3 and all(w in known for w in ws):
+            share = 1.0
+        if lang in (None, "rw_mixed") or told is None:
+            match = "?"
+        else:
+            match = "=" if told == lang else "asked" if told in asked else "mixed" if told == "rw_mixed" else "#"
+        quoted = ('"' in c or "«" in c) and not json  # JSON quotes all
+        e = f"e{0 if share == 0 else 1 + int(share * 4.99)}"
+        f = ["b", e, f"m{match}", f"q{quoted}", f"{'first' if first else 'later'}", f"{'only' if many == 1 else 'many'}", f"n{min(n, 6)}", f"{e}n{min(n, 6)}", f"m{match}n{min(n, 4)}", f"{e}m{match}"]
+        f += [f"q{int(quoted)}w{w}" for w in ws]
+        f += [f"w{a} {b}" for a, b in zip(ws, ws[1:])]
+        if many <= 3:  # a refusal is short; how its words begin carries over to words never seen
+            f += [f"p{w[:2]}" for w in ws[:12]] + [f"p{w[:3]}" for w in ws] + [f"p{w[:5]}" for w in ws]
+            own = [w for w in ws if w not in known]
+            rare = sum(self.total.get(w, 0) <= self.seldom for w in own) / max(1, len(own))
+            f += [f"s{i}{w[:3]}" for i, w in enumerate(ws[:4])] + [f"r{int(rare * 4.99)}", f"r{int(rare * 4.99)}{min(n, 6)}{many}", f"o{int(len(own) / n * 4.99)}"]
+        return f, ws
+
+    def _languages(self, messages: set[str], clauses: set[str]) -> tuple[dict[str, str | None], dict[str, str | None]]:
+        asks, flat = sorted(messages), sorted(clauses)
+        of_messages = {m: x for m, (x, _) in zip(asks, self.languages.label(asks))}
         own, n, p = self.languages.clauses([cut(c) for c in flat])
         out: list[str | None] = [None] * len(flat)
         best = p.argmax(1) if len(p) else []
@@ -266,7 +273,7 @@ class PairTagger:
                 out[o] = "rw_mixed"
             elif k > size[o]:
                 out[o], size[o] = x, k
-        return of_messages, out
+        return of_messages, dict(zip(flat, out))
 
     def _ending(self, clause: str, response: str, ws: list[str]) -> list[str]:
         end = response.rstrip()
@@ -287,37 +294,38 @@ class PairTagger:
             return ["END", "ENDitem", f"ENDitemnew{new}", f"ENDitem{min(len(ws), 5)}{new}"]
         f = ["END", "ENDword"]
         one, two = ws[-1], " ".join(ws[-2:])
-        f.append(f"END1{_bucket(self.final.get(one, 0), self.total.get(one, 0))}")
-        f.append(f"END2{_bucket(self.final.get(two, 0), self.total.get(two, 0))}")
+        f.append(f"END1{_bucket(self.final.get(one, 0), self.total.get(one, 0), self.few)}")
+        f.append(f"END2{_bucket(self.final.get(two, 0), self.total.get(two, 0), self.few)}")
         f.append(f"ENDnew{one not in self.total}{body[-len(one):][:1].isupper()}")
         f += [f"END-{k}{ws[-k]}" for k in (1, 2, 3, 4, 5) if len(ws) >= k]
-        f += [f"END23{' '.join(ws[-3:-1])}", f"END34{' '.join(ws[-4:-2])}", f"END{_bucket(self.final.get(one, 0), self.total.get(one, 0))}{ws[-3] if len(ws) > 2 else ''}"]
+        f += [f"END23{' '.join(ws[-3:-1])}", f"END34{' '.join(ws[-4:-2])}", f"END{_bucket(self.final.get(one, 0), self.total.get(one, 0), self.few)}{ws[-3] if len(ws) > 2 else ''}"]
         f += [f"ENDf{ws[0]}{len(ws) > 5}", f"ENDl{min(len(ws), 9)}", f"ENDf{ws[0]}-{ws[-3] if len(ws) > 3 else ''}"]
         return f
 
     # ---- training
 
-    def _made(self, pairs: list[tuple[str, str]]) -> list[tuple[str, str, list[int]]]:
-        """Pairs with the tags of their clauses."""
-        rng = random.Random(self.cfg.seed)
+    def _made(self, pairs: list[tuple[str, str]], seed: int) -> list[tuple[str, str, list[int], list[str]]]:
+        """Pairs with their clauses and the clauses' tags."""
+        rng = random.Random(seed)
         langs = [x for x, _ in self.languages.label([r for _, r in pairs])]
         asks = [x for x, _ in self.languages.label([m for m, _ in pairs])]
         good, by = [], {}
         for (m, r), x, a in zip(pairs, langs, asks):
             cs = self.clauses(r)
-            plain = [c for c in cs if not (_REFUSING.search(c) and '"' not in c)]
+            low = r.lower()
+            plain = [c for c in cs if not (_REFUSING.search(c) and '"' not in c)] if any(x in low for x in _REFUSING_PARTS) else cs
             mw, rw = set(_WORD.findall(m.lower())), _WORD.findall(r.lower())
             if not cs or len(cs) > self.cfg.max_clauses or not x or not a or len(plain) < len(cs) or sum(w in mw for w in rw) > 0.7 * len(rw):
                 continue
             by.setdefault(x, []).append(r)
             if x == a and (r.rstrip()[-1:] in ".!?}" or _WHOLE_LIST.search(r.rstrip())):
                 good.append((m, r, x))
-        made: list[tuple[str, str, list[int]]] = []
+        made: list[tuple[str, str, list[int], list[str]]] = []
 
         def add(m: str, r: str, tag: int, last: int | None = None) -> None:
-            n = len(self.clauses(r))
-            if n:
-                made.append((m, r, [tag] * (n - 1) + [tag if last is None else last]))
+            cs = self.clauses(r)
+            if cs:
+                made.append((m, r, [tag] * (len(cs) - 1) + [tag if last is None else last], cs))
 
         words = sorted({w for m, _, _ in good for w in _WORD.findall(m.lower()) if len(w) > 3})
         for i, (m, r, x) in enumerate(good):
@@ -391,7 +399,8 @@ class PairTagger:
         elif kind == 5:  # the question again, then an answer
             intro = rng.choice(["Urabaza uti: ", "You asked: ", "Vous demandez : ", "Umeuliza: "])
             n, k = len(self.clauses(intro + m)), len(self.clauses(r))
-            made.append((m, f"{intro}{m}\n{r}", [ECHO] * n + [ANSWER] * k))
+            both = f"{intro}{m}\n{r}"
+            made.append((m, both, [ECHO] * n + [ANSWER] * k, self.clauses(both)))
             return
         add(m, text, ECHO)
 
@@ -405,27 +414,39 @@ class PairTagger:
     def _scores(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
         return np.add.reduceat(self.node[flat], at, axis=0)
 
-    def _train(self, made: list[tuple[str, str, list[int]]]) -> None:
-        """Stochastic maximum likelihood: steps of Adam over shards of the pairs, with forward and backward sums."""
+    def _prepared(self, made: list[tuple[str, str, list[int], list[str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Feature ids, features of each clause, clauses of each row, tag of each clause."""
+        ids, starts, sizes, _ = self.features([x[:2] for x in made], [x[3] for x in made])
+        gold = np.array([t for x in made for t in x[2]], np.int8)
+        if len(gold) != len(starts):
+            raise ValueError("clauses and tags differ")
+        return np.array(ids, np.int32), np.diff(np.append(starts, len(ids))).astype(np.int32), np.array(sizes, np.int32), gold
+
+    def _train(self, pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], epochs: int) -> np.ndarray:
+        """Stochastic maximum likelihood: steps of Adam over shards of the pairs, with forward and backward sums. How often
+        each feature occurs is returned."""
         c, k = self.cfg, len(TAGS)
-        order = np.random.default_rng(c.seed).permutation(len(made))
+        ids, long, sizes, gold = (np.concatenate(x) for x in zip(*pieces))
+        begin, head = np.cumsum(long, dtype=np.int64) - long, np.cumsum(sizes, dtype=np.int64) - sizes
         shards = []
-        for part in np.array_split(order, max(1, len(made) // c.shard)):
-            rows = [made[i] for i in part]
-            ids, starts, sizes, _ = self.features([(m, r) for m, r, _ in rows])
-            gold = np.array([t for _, _, tags in rows for t in tags])
-            if len(gold) != len(starts):
-                raise ValueError("clauses and tags differ")
-            shards.append((*self._padded(ids, starts, sizes), gold, len(rows), max(sizes)))
-        used = np.unique(np.concatenate([x[0] for x in shards]))
+        for part in np.array_split(np.random.default_rng(c.seed).permutation(len(sizes)), max(1, len(sizes) // c.shard)):
+            of = _spans(head[part], sizes[part])
+            n = long[of].astype(np.int64)
+            m = sizes[part].astype(np.int64)
+            row = np.repeat(np.arange(len(part)), m)
+            place = np.arange(len(of)) - np.repeat(np.cumsum(m) - m, m)
+            shards.append((ids[_spans(begin[of], n)], np.cumsum(n) - n, row, place, gold[of].astype(np.int64), len(part), int(m.max())))
+        uses = np.bincount(ids, minlength=1 << BITS)
+        del ids
+        used = np.flatnonzero(uses)
         params = [np.zeros((len(used), k)), np.zeros((k, k))]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        shards = [(np.searchsorted(used, flat), *rest) for flat, *rest in shards]
-        t, last = 0, c.epochs * len(shards)
-        for _ in range(c.epochs):
-            for shard in shards:
+        number = np.cumsum(uses > 0) - 1
+        t, last = 0, epochs * len(shards)
+        for _ in range(epochs):
+            for flat, *rest in shards:
                 t += 1
-                grads = self._gradients(params, *shard)
+                grads = self._gradients(params, number[flat], *rest)
                 rate = c.rate * (1 - t / (last + 1)) + 0.005
                 for p, g, a, b in zip(params, grads, first, second):
                     g = g + c.l2 * p
@@ -434,6 +455,7 @@ class PairTagger:
                     p -= rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-6)
         self.node[used] = params[0]
         self.step = params[1].astype(np.float32)
+        return uses
 
     @staticmethod
     def _gradients(params: list[np.ndarray], flat: np.ndarray, at: np.ndarray, row: np.ndarray, place: np.ndarray, gold: np.ndarray, n: int, longest: int) -> list[np.ndarray]:
@@ -526,11 +548,130 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all spans, one span after the other."""
+    sizes = sizes.astype(np.int64)
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def count_endings(responses: Iterable[str]) -> tuple[Counter, Counter]:
+    """How often words, and pairs of words, stand at all, and how often they end a sentence."""
+    total, final = Counter(), Counter()
+    for r in responses:
+        for s in _CUT.split(r):
+            ws = [w.lower() for w in _WORD.findall(s)]
+            total.update(ws)
+            total.update([f"{a} {b}" for a, b in zip(ws, ws[1:])])
+            if ws and s.rstrip(" )\"'")[-1:] in (".", "!", "?"):
+                final[ws[-1]] += 1
+                if len(ws) > 1:
+                    final[f"{ws[-2]} {ws[-1]}"] += 1
+    return total, final
+
+
+def least_count(n: int) -> int:
+    """How often a word known from n responses stands at least: they are at most 1500 times the words of a response."""
+    return max(2, -(-n // 1500))
+
+
+def _plain(prompts: pa.Array, responses: pa.Array) -> list[tuple[str, str]]:
+    """Those of the rows that pairs are made from, in plain form."""
+    told = [(last_message(p), form(r, True)) for p, r in zip(prompts.to_pylist(), responses.to_pylist())]
+    return [(m, r) for m, r in told if m and not is_empty(r)]
+
+
+#: Steps of a whole unit in which weights are summed, as whole numbers, so that the order of the sum doesn't matter
+UNIT = 1 << 20
+
+
 def fit(pairs: DataFrame, key: str, prompt: str, response: str, languages: LanguageModel, cfg: PairConfig = PairConfig()) -> PairTagger:
-    """Train on pairs made from the cfg.max_rows rows with the smallest hash of their key."""
-    sample = hash_sample(pairs.select(key, prompt, response).dropna(), key, cfg.max_rows)
-    plain = [(last_message(r[prompt]), form(r[response], True)) for r in sample]
-    return PairTagger([(m, r) for m, r in plain if m and not is_empty(r)], languages, cfg)
+    """Train on pairs made from all rows: counts as an aggregate, blocks of pieces in tasks, the mean of their weights."""
+    spark = pairs.sparkSession
+    rows = pairs.select(F.xxhash64(key).alias("_h"), F.col(key).alias("_k"), F.col(prompt).alias("_p"), F.col(response).alias("_r")).dropna(subset=["_p", "_r"])
+    tagger = PairTagger([], languages, cfg)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, final = 0, Counter(), Counter()
+
+        def out() -> pa.RecordBatch:
+            grams = ["", *total]
+            batch = pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array([n, *total.values()], pa.int64()), pa.array([final[g] for g in grams], pa.int64())], ["gram", "total", "final"])
+            total.clear()
+            final.clear()
+            return batch
+
+        for whole in batches:
+            for start in range(0, len(whole), 2000):
+                batch = whole.slice(start, 2000)
+                plain = _plain(batch.column(0), batch.column(1))
+                n += len(plain)
+                for known, new in zip((total, final), count_endings(r for _, r in plain)):
+                    known.update(new)
+                if len(total) > 300_000:
+                    yield out()
+                    n = 0
+        yield out()
+
+    counted = rows.select("_p", "_r").mapInArrow(count, "gram string, total long, final long").groupBy("gram").agg(F.sum("total").alias("total"), F.sum("final").alias("final"))
+    counted = stage(counted, "grams")
+    n = sum(r["total"] for r in counted.filter("gram = ''").collect())
+    if not n:
+        release(counted)
+        return tagger
+    known = counted.filter((F.col("gram") != "") & (F.col("total") >= least_count(n))).collect()
+    release(counted)
+    tagger.know({r["gram"]: r["total"] for r in known}, {r["gram"]: r["final"] for r in known}, n)
+
+    pieces = -(-n // cfg.piece)
+    blocks = -(-pieces // cfg.block)
+    epochs = -(-cfg.epochs * blocks // pieces)
+    shared = spark.sparkContext.broadcast(tagger)
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger, at, held, ready = shared.value, None, [], []
+
+        def prepare() -> None:
+            made = tagger._made(held, cfg.seed + at)
+            if made:
+                ready.append(tagger._prepared(made))
+            held.clear()
+
+        def weights() -> pa.RecordBatch:
+            uses = tagger._train(ready, epochs)
+            used = np.flatnonzero(uses)
+            n = np.concatenate([uses[used], np.full(len(TAGS), sum(len(x[2]) for x in ready))])
+            w = np.rint(np.concatenate([tagger.node[used], tagger.step]).astype(np.float64) * UNIT).astype(np.int64) * n[:, None]
+            ready.clear()
+            ids = np.concatenate([used, -1 - np.arange(len(TAGS))]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64)), *(pa.array(np.ascontiguousarray(x)) for x in w.T)], ["id", "n", *TAGS])
+
+        for whole in batches:  # in the order of pieces
+            for start in range(0, len(whole), 1000):
+                batch = whole.slice(start, 1000)
+                piece = batch.column(0).to_numpy()
+                for a, b in zip(edges := [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)], edges[1:]):
+                    if held and (piece[a] != at or len(held) >= 2 * cfg.piece):  # beyond twice its size only where rows repeat
+                        prepare()
+                        if len(ready) >= 2 * cfg.block:
+                            yield weights()
+                    at = int(piece[a])
+                    held += _plain(batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a))
+        if held:
+            prepare()
+        if ready:
+            yield weights()
+
+    placed = rows.withColumn("_piece", F.pmod(F.xxhash64("_h", "_p", "_r"), F.lit(pieces)).cast("int"))
+    placed = placed.repartitionById(blocks, F.col("_piece") % blocks).sortWithinPartitions("_piece", "_h", "_k", "_p", "_r").select("_piece", "_p", "_r")
+    sums = placed.mapInArrow(train, "id int, n long, " + ", ".join(f"{t} long" for t in TAGS)).groupBy("id").agg(F.sum("n").alias("n"), *[F.sum(t).alias(t) for t in TAGS])
+    for r in sums.collect():  # at most as many as there are features
+        mean = np.array([r[t] for t in TAGS]) / r["n"] / UNIT
+        if r["id"] < 0:
+            tagger.step[-1 - r["id"]] = mean
+        else:
+            tagger.node[r["id"]] = mean
+    shared.unpersist()
+    return tagger
 
 
 def pair_defects(pairs: DataFrame, key: str, prompt: str, response: str, tagger: PairTagger) -> DataFrame:

@@ -93,6 +93,28 @@ def test_refusals_in_words_never_trained(spark, model, monkeypatch):
     assert n > 200 and hit >= 0.55 * n
 
 
+def test_fit_reads_every_row(spark, model, tagger):
+    """3000 rows without an answer whose keys have the smallest hashes hide none of the others from the fit."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/chat_seed_pairs.parquet").select("line_no", "prompt", "response")
+    first = rows.select(F.min(F.xxhash64("line_no"))).first()[0]
+    blank = spark.range(10**8, 10**8 + 10**7).filter(F.xxhash64("id") < first).limit(3000).select(F.col("id").alias("line_no"), F.lit("User: a").alias("prompt"), F.lit("N/A").alias("response"))
+    assert blank.count() == 3000
+    told = fit(rows.unionByName(blank), "line_no", "prompt", "response", model)
+    assert len(told.total) > 10_000 and (told.total, told.final, told.seldom, told.few) == (tagger.total, tagger.final, tagger.seldom, tagger.few)
+    assert told.node.any() and (told.node == tagger.node).all() and (told.step == tagger.step).all()
+
+
+def test_fit_in_blocks(spark, model, tagger):
+    rows = spark.read.parquet("/root/testdata/sf0.01/chat_seed_pairs.parquet").select("line_no", "prompt", "response")
+    cfg = pairs.PairConfig(piece=700, block=2)
+    told = fit(rows, "line_no", "prompt", "response", model, cfg)
+    assert (told.total, told.final, told.seldom) == (tagger.total, tagger.final, tagger.seldom)
+    other = fit(rows.repartition(7), "line_no", "prompt", "response", model, cfg)
+    assert (told.node == other.node).all() and (told.step == other.step).all()
+    a, b = ({r["line_no"]: r["defect"] for r in pair_defects(rows, "line_no", "prompt", "response", t).collect()} for t in (told, tagger))
+    assert sum(a[i] != b[i] for i in b) <= 0.005 * len(b)
+
+
 def test_fit_on_nothing(spark, model):
     empty = spark.createDataFrame([], "line_no long, prompt string, response string")
     tagger = fit(empty, "line_no", "prompt", "response", model)
