@@ -17,6 +17,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,77 @@ def ngrams(word: str) -> list[int]:
     return [zlib.crc32(w[i : i + n].encode()) & ((1 << BITS) - 1) for n in (1, 2, 3, 4) for i in range(len(w) - n + 1)]
 
 
+def _shifts() -> np.ndarray:
+    """For a length, a byte's place and its value: what the byte of a CRC becomes when as many bytes follow."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> 1 ^ np.uint32(0xEDB88320), table >> 1)
+    out = [(np.arange(256, dtype=np.uint32) << np.arange(0, 32, 8, dtype=np.uint32)[:, None]).ravel()]
+    for _ in range(_LONGEST):
+        out.append(out[-1] >> 8 ^ table[out[-1] & 255])
+    return np.concatenate(out)
+
+
+_LONGEST = 64
+_SHIFTS = _shifts()
+
+
+def joined_crc(crc: np.ndarray | int, then: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRCs of texts of which `crc` is the first part's, and `then` that of the second, of `size` bytes."""
+    crc, size = np.broadcast_to(np.asarray(crc, np.uint32), then.shape), size.astype(np.int64)
+    while len(long := np.flatnonzero(size > _LONGEST)):
+        crc = crc.copy()
+        crc[long] = joined_crc(crc[long], np.zeros(len(long), np.uint32), np.full(len(long), _LONGEST))
+        size[long] -= _LONGEST
+    at = size << 10
+    out = then.copy()
+    for place in range(4):
+        out ^= _SHIFTS.take(at + (256 * place) + (crc >> np.uint32(8 * place) & np.uint32(255)))
+    return out
+
+
+#: What a character is: part of a word of letters, of letters and digits; a mark between clauses, white space, a mark of items
+LETTER, LETTER_OR_DIGIT, _MARK, _SPACE, _ITEM = 1, 2, 4, 8, 16
+
+
+def _kind(c: str) -> int:
+    letter, mark = c.isalnum(), c == "\n" or bool(_CLAUSE.match(c))
+    return LETTER * (letter and not c.isdecimal()) | LETTER_OR_DIGIT * letter | _MARK * mark | _SPACE * c.isspace() | _ITEM * (c in "-•*")
+
+
+_KINDS = np.array([_kind(chr(i)) for i in range(256)], np.uint8)
+
+
+def words_of(texts: list[str], kind: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of all texts, one after the other; how many each text has; and how many ends of clauses stand before each."""
+    text = "\n".join([*texts, ""])
+    try:
+        codec, codes = "latin-1", np.frombuffer(text.encode("latin-1"), np.uint8)
+        kinds = _KINDS[codes]
+    except UnicodeEncodeError:
+        codec, codes = "utf-32-le", np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        far = codes > 255
+        kinds = _KINDS[np.where(far, 0, codes)]
+        several, which = np.unique(codes[far], return_inverse=True)
+        kinds[far] = np.array([_kind(chr(c)) for c in several.tolist()], np.uint8)[which]
+    inside = (kinds & kind) > 0
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    words = np.where(inside, codes, 32).astype(codes.dtype).tobytes().decode(codec, "strict" if codec == "latin-1" else "surrogatepass").split()
+    ends = (kinds & _MARK) > 0
+    space = (kinds & _SPACE) > 0
+    ends[1:-1] |= space[:-2] & ((kinds[1:-1] & _ITEM) > 0) & space[2:]
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    many = np.add.reduceat(begins, np.cumsum(size) - size, dtype=np.int64) if texts else np.zeros(0, np.int64)
+    return words, many, np.cumsum(ends)[begins]
+
+
+class _Numbers(dict):
+    def __missing__(self, w: str) -> int:
+        self[w] = i = len(self)
+        return i
+
+
 class LanguageModel:
     """Trained on (text, language); gives clause and text probabilities."""
 
@@ -129,11 +201,11 @@ class LanguageModel:
         return float(grid[int(np.argmin(loss))])
 
     def _forget(self) -> None:
-        self._known: dict[str, int] = {}
-        self._table = np.zeros((1024, len(LANGS) + 1), np.float32)
+        self._known, self._filled = _Numbers(), 0
+        self._table = np.zeros((0, len(LANGS) + 1), np.float32)
 
     def __getstate__(self) -> dict:
-        keep = {k: v for k, v in self.__dict__.items() if k not in ("_known", "_table", "weights", "idf")}
+        keep = {k: v for k, v in self.__dict__.items() if k not in ("_known", "_filled", "_table", "weights", "idf")}
         rows = np.flatnonzero(np.abs(self.weights).any(1))
         return keep | {"sparse": (rows.astype(np.int32), self.weights[rows] * self.idf[rows][:, None])}
 
@@ -144,37 +216,53 @@ class LanguageModel:
         self.weights[rows] = values
         self._forget()
 
-    def _id(self, w: str) -> int:
-        """The row of a word's vector: its n-grams' summed logits and their number."""
-        i = self._known.get(w)
-        if i is None:
-            i = self._known[w] = len(self._known)
-            if i >= len(self._table):
-                self._table = np.concatenate([self._table, np.zeros_like(self._table)])
-            g = np.array(ngrams(w))
-            share = 1.0 if w in self.vocabulary else self.cfg.unknown_share
-            self._table[i, :-1] = (self.weights[g] * self.idf[g][:, None]).sum(0) * share
-            self._table[i, -1] = len(g) * share
-        return i
-
-    def clauses(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _fill(self) -> None:
+        """The vectors of words seen first: their n-grams' summed logits and their number."""
+        new = list(islice(self._known, self._filled, None))
+        if not new:
+            return
+        self._filled = len(self._known)
+        text = "".join(f"<{w}>" for w in new)
+        n = np.array([len(w) + 2 for w in new])
+        letters = {c: c.encode() for c in set(text)}
+        crc = {c: zlib.crc32(x) for c, x in letters.items()}
+        one, size = np.array([crc[c] for c in text], np.uint32), np.array([len(letters[c]) for c in text])
+        begin, many = np.cumsum(n) - n, 4 * n - 6  # words have a letter at least
+        left = np.repeat(begin + n, n) - np.arange(len(text))
+        at = (np.cumsum(many) - many)[word := np.repeat(np.arange(len(n)), n)] + np.arange(len(text)) - begin[word]
+        grams, told = np.empty(int(many.sum()), np.int64), one
+        for k in range(4):
+            if k:
+                told = joined_crc(told[:-1], one[k:], size[k:])
+            ok = np.flatnonzero(left[: len(told)] > k)
+            grams[at[ok]] = told[ok] & np.uint32((1 << BITS) - 1)
+            at += n[word] - k
+        share = np.array([1.0 if w in self.vocabulary else self.cfg.unknown_share for w in new])
+        sums = np.add.reduceat(self.weights[grams] * self.idf[grams][:, None], np.cumsum(many) - many, axis=0) * share[:, None]
+        self._table = np.concatenate([self._table, np.concatenate([sums, (many * share)[:, None]], axis=1).astype(np.float32)])
+
+    def clauses(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each run of clauses of one language: its text, its words, its probabilities."""
         if len(self._known) > 300_000:
             self._forget()
-        ids: list[int] = []
-        owner, starts = [], []
-        known, new = self._known, self._id
-        for t, parts in enumerate(texts):
-            for part in parts:
-                ws = _WORD.findall(part)
-                if ws:
-                    owner.append(t)
-                    starts.append(len(ids))
-                    ids += [known[w] if w in known else new(w) for w in ws]
-        if not ids:
+        words, many, clause = words_of([t.lower() for t in texts], LETTER)
+        if not words:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(LANGS)))
-        at, own = self._split(np.array(ids), np.array(starts), np.array(owner))
-        total, n = np.add.reduceat(self._table[np.array(ids)], at, axis=0), np.diff(np.append(at, len(ids)))
+        return self.runs(self.numbers(words), clause, np.repeat(np.arange(len(texts)), many))
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Words' numbers, which hold as long as `_known` is the same."""
+        return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
+
+    def runs(self, ids: np.ndarray, clause: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`clauses` for words by their numbers, with their clause and text."""
+        if not len(ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(LANGS)))
+        starts = np.flatnonzero(np.concatenate(([True], (clause[1:] != clause[:-1]) | (text[1:] != text[:-1]))))
+        owner = text[starts]
+        self._fill()
+        at, own = self._split(ids, starts, owner)
+        total, n = np.add.reduceat(self._table.take(ids, axis=0), at, axis=0), np.diff(np.append(at, len(ids)))
         best = total[:, :-1].argmax(1)
         # neighbouring clauses of one language are one
         run = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (best[1:] != best[:-1]))))
@@ -185,7 +273,7 @@ class LanguageModel:
         """Clauses in which two languages meet without a mark are cut where both parts are clearest."""
         least = self.cfg.clause_words
         ends = np.append(starts[1:], len(ids))
-        total = np.add.reduceat(self._table[ids], starts, axis=0)
+        total = np.add.reduceat(self._table.take(ids, axis=0), starts, axis=0)
         top = _softmax(total[:, :-1] / total[:, -1:] / self.temperature).max(1)
         doubtful = np.flatnonzero((ends - starts >= 2 * least) & (top < self.cfg.sure))
         if not len(doubtful):
@@ -216,27 +304,25 @@ class LanguageModel:
 
     def label(self, texts: list[str]) -> list[tuple[str | None, float]]:
         """Language (or rw_mixed, or None) and confidence of plain-form texts."""
-        own, n, p = self.clauses([cut(t) for t in texts])
-        m, k = len(texts), len(LANGS)
+        return self.told(*self.clauses(texts), len(texts))
+
+    def told(self, own: np.ndarray, n: np.ndarray, p: np.ndarray, m: int) -> list[tuple[str | None, float]]:
+        """`label` for the clauses of `m` texts."""
+        k = len(LANGS)
         best = p.argmax(1) if len(p) else np.zeros(0, int)
         clear = (n >= self.cfg.clause_words) & (p.max(1) >= self.cfg.clear) if len(p) else np.zeros(0, bool)
         mass, seen, sure = np.zeros((m, k)), np.zeros((m, k)), np.zeros((m, k))
         np.add.at(mass, own, p * n[:, None])
         np.add.at(seen, (own[clear], best[clear]), n[clear])
         np.maximum.at(sure, (own[clear], best[clear]), p.max(1)[clear])
-        out: list[tuple[str | None, float]] = []
-        for i in range(m):
-            total = mass[i].sum()
-            if total == 0:
-                out.append((None, 0.0))
-                continue
-            foreign = seen[i, 1:].max()
-            top = int(mass[i].argmax())
-            if seen[i, 0] and foreign:
-                out.append(("rw_mixed", float(min(sure[i, 0], sure[i, 1:].max()))))
-            else:
-                out.append((LANGS[top], float(mass[i, top] / total)))
-        return out
+        total, top = mass.sum(1), mass.argmax(1)
+        mixed = (seen[:, 0] > 0) & (seen[:, 1:].max(1, initial=0) > 0)
+        share = mass.max(1, initial=0) / np.where(total > 0, total, 1)
+        both = np.minimum(sure[:, 0], sure[:, 1:].max(1, initial=0))
+        return [
+            (None, 0.0) if not t else ("rw_mixed", b) if x else (LANGS[k], s)
+            for t, x, k, s, b in zip(total.tolist(), mixed.tolist(), top.tolist(), share.tolist(), both.tolist())
+        ]
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -244,11 +330,6 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def cut(text: str) -> list[str]:
-    """The clauses of a text."""
-    return [c for line in text.lower().split("\n") for c in _CLAUSE.split(line)]
-
-
 def train(samples: DataFrame, text: str = "sample_text", lang: str = "lang", cfg: LanguageConfig = LanguageConfig()) -> LanguageModel:
     """Fit on labelled rows, at most cfg.max_samples of them: those with the smallest hash of their text, in the texts' order,
     so that the same rows give the same model and no language is cut off."""
@@ -284,7 +365,7 @@ def label_lines(model: LanguageModel, plain: list[str]) -> list[list[tuple[str,
     lines = [[x for x in t.split("\n") if x.strip()] for t in plain]
     many = [i for i, x in enumerate(lines) if len(x) > 1]
     flat = [x for i in many for x in lines[i]]
-    own, n, p = model.clauses([cut(x) for x in flat])
+    own, n, p = model.clauses(flat)
     by: dict[int, list[int]] = {}
     for k, o in enumerate(own.tolist()):
         by.setdefault(o, []).append(k)

@@ -27,28 +27,34 @@ Rows without a user message can't be copies or foreign; extra columns aren't rea
 
 from __future__ import annotations
 
+import gc
 import random
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice, product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.forms import form
-from millrace.llm.language import LANGS, LanguageModel, cut, is_empty
+from millrace.llm.forms import _OTHER, form
+from millrace.llm.language import LANGS, LETTER_OR_DIGIT, LanguageModel, is_empty, joined_crc, words_of
 from millrace.session import release, stage
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 _WORD = re.compile(r"[^\W_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _TURN = re.compile(r"(?:^|\n)(?:User|Assistant):[ \t]?")
 _LABEL = re.compile(r"\n[^\n:]{4,24}:")
-_CUT = re.compile(r"(?<=[.!?])[)\"'\]]*,?\s+|\n+")
+#: Ends of clauses, from a sentence's mark or a line's end on
+_CUT = re.compile(r"[.!?\n](?:(?<=\n)\n*|[)\"'\]]*,?\s+)")
+#: For texts of Latin-1: letters and digits in lower case, a space for the rest
+_LOWER = "".join(c.lower() if _WORD.match(c) else " " for c in map(chr, range(256))).encode("latin-1")
 #: A plain list of short items at the end
 _WHOLE_LIST = re.compile(r"\n[-*•] [^\n*\"(`:,]{2,30}\n[-*•] [^\n*\"(`:,]{2,30}$")
 _ITEM = re.compile(r"\s*(?:[-*•]|\d+[.)])\s")
@@ -127,8 +133,8 @@ def last_message(prompt: str | None) -> str:
         return ""
     at = prompt.rfind("\nUser: ")
     if at >= 0 and not _LABEL.search(prompt, at + 7):  # no later line that begins like a label, however it is spelled
-        return form(prompt[at + 7 :], True)
-    text = form(prompt, True)
+        return _form(prompt[at + 7 :])
+    text = _form(prompt)
     starts = [m for m in _TURN.finditer(text)]
     if not starts:
         return text
@@ -139,18 +145,92 @@ def last_message(prompt: str | None) -> str:
     return text[last.end() : next((m.start() for m in starts if m.start() >= last.end()), len(text))]
 
 
+def _form(text: str) -> str:
+    """The plain form of a text, with its lines; most are so as they are."""
+    if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _OTHER.search(text) or not text.replace("\n", "").isprintable():
+        return form(text, True)
+    return text
+
+
+def _words(text: str) -> list[str]:
+    """Its words in lower case."""
+    try:
+        return text.encode("latin-1").translate(_LOWER).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return [w.lower() for w in _WORD.findall(text)]
+
+
+def _sentences(text: str) -> list[str]:
+    """Its parts between ends of clauses."""
+    out, begin = [], 0
+    for m in _CUT.finditer(text):
+        a, b = m.span()
+        out.append(text[begin : a if text[a] == "\n" else a + 1])
+        begin = b
+    out.append(text[begin:])
+    return out
+
+
 def _h(x: str) -> int:
     return zlib.crc32(x.encode()) & ((1 << BITS) - 1)
 
 
-class _Ids(dict):
+def _hs(crc: np.ndarray) -> np.ndarray:
+    return (crc & np.uint32((1 << BITS) - 1)).astype(np.int32)
+
+
+def _grid(*parts: list) -> np.ndarray:
+    """Ids of the features spelled by one of each part."""
+    return np.array([_h("".join(map(str, x))) for x in product(*parts)], np.int32).reshape([len(x) for x in parts])
+
+
+class _Numbers(dict):
     def __missing__(self, x: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[x] = i = _h(x)
+        self[x] = i = len(self)
         return i
 
 
+class _Words(_Numbers):
+    """Word -> its number; of the numbers: CRCs and bytes of the word and its beginnings, feature ids, counts."""
+
+    def __init__(self, total: dict[str, int], final: dict[str, int], seldom: int, few: int, languages: LanguageModel):
+        self.total, self.final, self.most, self.few = total, final, seldom, few
+        self.languages, self.spoken = languages, languages._known
+        self.seen = 0
+        #: The language model's words in the word (one, but where it has digits), how many, and where they begin
+        self.letters, self.many, self.begin = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        #: CRC and bytes of the word, ids of q0w, q1w, p (2, 3, 5 letters), s0 to s3; then whether it is seldom, unknown, and its bucket
+        self.crc, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.ids = np.zeros((9, 0), np.int32)
+        self.seldom, self.new, self.bucket = np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, np.int8)
+
+    def fill(self) -> None:
+        """The tables for words seen first."""
+        new = list(islice(self, self.seen, None))
+        if not new:
+            return
+        self.seen = len(self)
+        letters = [[w] if w.isalpha() else _LETTERS.findall(w) for w in new]
+        many = np.array([len(x) for x in letters], np.int64)
+        self.begin = np.append(self.begin, len(self.letters) + np.cumsum(many) - many)
+        self.many = np.append(self.many, many)
+        self.letters = np.append(self.letters, self.languages.numbers([x for y in letters for x in y]))
+        parts = []
+        for cut_at in (None, 2, 3, 5):
+            spelled = [w[:cut_at].encode() for w in new]
+            parts.append((np.array([zlib.crc32(w) for w in spelled], np.uint32), np.array([len(w) for w in spelled], np.int64)))
+        ids = [_hs(joined_crc(zlib.crc32(x), *parts[k])) for x, k in ((b"q0w", 0), (b"q1w", 0), (b"p", 1), (b"p", 2), (b"p", 3), (b"s0", 2), (b"s1", 2), (b"s2", 2), (b"s3", 2))]
+        counts = [self.total.get(w, 0) for w in new]
+        self.crc, self.size = np.append(self.crc, parts[0][0]), np.append(self.size, parts[0][1])
+        self.ids = np.concatenate([self.ids, np.stack(ids)], axis=1)
+        self.seldom = np.append(self.seldom, np.array(counts) <= self.most)
+        self.new = np.append(self.new, [w not in self.total for w in new])
+        self.bucket = np.append(self.bucket, np.array([BUCKETS.index(_bucket(self.final.get(w, 0), n, self.few)) for w, n in zip(new, counts)], np.int8))
+
+
+BUCKETS = ("few", "0", "1", "2", "3", "4", "5")
+
+
 def _bucket(final: int, total: int, few: int) -> str:
     if total < few:
         return "few"
@@ -163,7 +243,6 @@ class PairTagger:
 
     def __init__(self, pairs: list[tuple[str, str]], languages: LanguageModel, cfg: PairConfig = PairConfig()):
         self.cfg, self.languages = cfg, languages
-        self.ids = _Ids()
         self.final: dict[str, int] = {}
         self.total: dict[str, int] = {}
         self.seldom, self.few = 0, 3
@@ -175,7 +254,7 @@ class PairTagger:
             self._train([self._prepared(made)], cfg.epochs)
 
     def __getstate__(self) -> dict:
-        state = dict(self.__dict__) | {"ids": _Ids()}
+        state = {k: v for k, v in self.__dict__.items() if k != "words"}
         rows = np.flatnonzero(self.node.any(1))
         return state | {"node": (rows.astype(np.int32), self.node[rows])}
 
@@ -184,6 +263,7 @@ class PairTagger:
         self.__dict__.update(state)
         self.node = np.zeros((1 << BITS, len(TAGS)), np.float32)
         self.node[rows] = values
+        self._forget()
 
     # ---- features
 
@@ -194,78 +274,131 @@ class PairTagger:
         self.few = max(3, -(-n // 1000))
         self.seldom = n // 100  # words that next to no response has
         self.final = {k: final[k] for k in self.total if final.get(k)}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = _Words(self.total, self.final, self.seldom, self.few, self.languages)
 
     @staticmethod
     def clauses(response: str) -> list[str]:
-        return [c for c in _CUT.split(response) if _WORD.search(c)]
+        return [c for c in _sentences(response) if c[:1].isalnum() or _WORD.search(c)]
 
-    def features(self, rows: list[tuple[str, str]], split: list[list[str]] | None = None) -> tuple[list[int], list[int], list[int], list[int]]:
-        """For plain (message, response) rows: feature ids, where each clause's begin, clauses of each row, words of each clause."""
+    def features(self, rows: list[tuple[str, str]], split: list[list[str]] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For plain (message, response) rows: feature ids, features of each clause, clauses of each row, words of each clause.
+
+        Features are texts, told apart by the low bits of their CRC. They aren't spelled one by one: words are numbered, and the
+        CRC of a text made of parts follows from those of its parts."""
         split = [self.clauses(r) for _, r in rows] if split is None else split
-        message_langs, clause_langs = self._languages({m for m, _ in rows}, {c for cs in split for c in cs})
-        ids, starts, sizes, words = [], [], [], []
-        get, before = self.ids.__getitem__, None
-        for (message, response), cs in zip(rows, split):
-            sizes.append(len(cs))
-            if message != before:
-                before, lang = message, message_langs[message]
-                mw = [w.lower() for w in _WORD.findall(message)]
-                grams = set(zip(mw, mw[1:], mw[2:]))
-                known = set(mw)
-                asked = {x for x, names in _ASKED.items() if names.search(message)}
-                seen: dict[tuple[str, bool, int, bool], tuple[list[int], list[str]]] = {}  # rows made from one pair share most clauses
-            json = response[:1] in "{["
-            for j, c in enumerate(cs):
-                starts.append(len(ids))
-                at = (c, j == 0, min(len(cs), 4), json)
-                if at not in seen:
-                    f, ws = self._clause(c, j == 0, len(cs), json, lang, clause_langs[c], asked, known, grams)
-                    seen[at] = [get(x) for x in f], ws
-                own, ws = seen[at]
-                words.append(len(ws))
-                ids += own
-                if j == len(cs) - 1:
-                    ids += map(get, self._ending(c, response, ws))
-        return ids, starts, sizes, words
-
-    def _clause(self, c: str, first: bool, many: int, json: bool, lang: str | None, told: str | None, asked: set[str], known: set[str], grams: set[tuple[str, str, str]]) -> tuple[list[str], list[str]]:
-        """Features of a clause, but for those of a response's end, and its words."""
-        ws = [w.lower() for w in _WORD.findall(c)]
-        n = len(ws)
-        held = [False] * n
-        for i in range(n - 2):
-            if (ws[i], ws[i + 1], ws[i + 2]) in grams:
-                held[i] = held[i + 1] = held[i + 2] = True
-        share = sum(held) / n
-        if n < 3 and all(w in known for w in ws):
-            share = 1.0
-        if lang in (None, "rw_mixed") or told is None:
-            match = "?"
-        else:
-            match = "=" if told == lang else "asked" if told in asked else "mixed" if told == "rw_mixed" else "#"
-        quoted = ('"' in c or "«" in c) and not json  # JSON quotes all
-        e = f"e{0 if share == 0 else 1 + int(share * 4.99)}"
-        f = ["b", e, f"m{match}", f"q{quoted}", f"{'first' if first else 'later'}", f"{'only' if many == 1 else 'many'}", f"n{min(n, 6)}", f"{e}n{min(n, 6)}", f"m{match}n{min(n, 4)}", f"{e}m{match}"]
-        f += [f"q{int(quoted)}w{w}" for w in ws]
-        f += [f"w{a} {b}" for a, b in zip(ws, ws[1:])]
-        if many <= 3:  # a refusal is short; how its words begin carries over to words never seen
-            f += [f"p{w[:2]}" for w in ws[:12]] + [f"p{w[:3]}" for w in ws] + [f"p{w[:5]}" for w in ws]
-            own = [w for w in ws if w not in known]
-            rare = sum(self.total.get(w, 0) <= self.seldom for w in own) / max(1, len(own))
-            f += [f"s{i}{w[:3]}" for i, w in enumerate(ws[:4])] + [f"r{int(rare * 4.99)}", f"r{int(rare * 4.99)}{min(n, 6)}{many}", f"o{int(len(own) / n * 4.99)}"]
-        return f, ws
-
-    def _languages(self, messages: set[str], clauses: set[str]) -> tuple[dict[str, str | None], dict[str, str | None]]:
-        asks, flat = sorted(messages), sorted(clauses)
-        of_messages = {m: x for m, (x, _) in zip(asks, self.languages.label(asks))}
-        own, n, p = self.languages.clauses([cut(c) for c in flat])
-        out: list[str | None] = [None] * len(flat)
-        best = p.argmax(1) if len(p) else []
-        top = p.max(1) if len(p) else []
+        sizes = np.array([len(cs) for cs in split], np.int32)
+        if not sizes.any():
+            return np.zeros(0, np.int32), np.zeros(0, np.int32), sizes, np.zeros(0, np.int32)
+        if len(self.words) > 300_000:
+            self.languages._forget()
+        if self.words.spoken is not self.languages._known:
+            self._forget()
+        messages, clauses, words = _Numbers(), _Numbers(), self.words
+        of_message = np.array([messages[m] if cs else 0 for (m, _), cs in zip(rows, split)], np.int64)
+        of_clause = np.array([clauses[c] for cs in split for c in cs], np.int64)
+        clauses, messages = list(clauses), list(messages)
+        of_clauses, of_messages = self._numbered(clauses), self._numbered(messages)
+        words.fill()
+        (spelled, count, _), asks = of_clauses, of_messages[:2]
+        langs = self._languages(of_messages, of_clauses)
+        # what a clause's features depend on; rows made from one pair share most clauses
+        json = np.array([r[:1] in "{[" for _, r in rows], np.int64)
+        first = np.zeros(len(of_clause), np.int64)
+        first[(np.cumsum(sizes, dtype=np.int64) - sizes)[sizes > 0]] = 1
+        key = ((np.repeat(of_message, sizes) * len(clauses) + of_clause) * 4 + np.repeat(np.minimum(sizes, 4) - 1, sizes)) * 4 + np.repeat(json, sizes) * 2 + first
+        key, where = np.unique(key, return_inverse=True)
+        message, clause = np.divmod(key >> 4, len(clauses))
+        ids, long = self._clauses(message, clause, (key >> 2 & 3) + 1, key >> 1 & 1, key & 1, messages, clauses, langs, asks, spelled, count)
+        # a clause's features, and after those of a row's last clause those of its end
+        ends, end_long = self._endings(rows, split, spelled, count, of_clause, sizes)
+        last = np.cumsum(sizes, dtype=np.int64)[sizes > 0] - 1
+        own = long[where]
+        more = np.zeros(len(own), np.int64)
+        more[last] = end_long
+        whole = own + more
+        begin = np.cumsum(whole) - whole
+        out = np.empty(int(whole.sum()), np.int32)
+        out[_spans(begin, own)] = ids[_spans((np.cumsum(long) - long)[where], own)]
+        out[_spans((begin + own)[last], end_long)] = ends
+        return out, whole.astype(np.int32), sizes, count[of_clause].astype(np.int32)
+
+    def _numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts, one after the other; how many each text has; ends of clauses before each."""
+        ws, many, clause = words_of(texts, LETTER_OR_DIGIT)
+        return np.fromiter(map(self.words.__getitem__, map(str.lower, ws)), np.int64, len(ws)), many, clause
+
+    def _clauses(self, message: np.ndarray, clause: np.ndarray, many: np.ndarray, json: np.ndarray, first: np.ndarray, messages: list[str], clauses: list[str], langs: tuple[list[str | None], list[str | None]], asks: tuple[np.ndarray, np.ndarray], flat: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of clauses in rows of `many` clauses (4: or more), but for those of a response's end, and their number."""
+        words = self.words
+        n = length[clause]
+        w = flat[_spans((np.cumsum(length) - length)[clause], n)]
+        owner = np.repeat(np.arange(len(n)), n)
+        begin = np.cumsum(n) - n
+        place = np.arange(len(w)) - np.repeat(begin, n)
+        known, held = _shared(w, message[owner], place, np.repeat(n, n), *asks, len(words))
+        share = np.add.reduceat(held, begin, dtype=np.int64) / n
+        own = n - np.add.reduceat(known, begin, dtype=np.int64)
+        share[(n < 3) & (own == 0)] = 1.0
+        echo = np.where(share == 0, 0, 1 + (share * 4.99).astype(np.int64))
+        code = {None: -1, "rw_mixed": 4} | {x: i for i, x in enumerate(LANGS)}
+        asked = np.zeros((len(messages), len(LANGS) + 2), bool)
+        for i, m in enumerate(messages):
+            for x in _asked(m):
+                asked[i, code[x]] = True
+        lang, told = np.array([code[x] for x in langs[0]])[message], np.array([code[x] for x in langs[1]])[clause]
+        match = np.select([(lang < 0) | (lang > 3) | (told < 0), told == lang, asked[message, told], told == 4], [0, 1, 2, 3], 4)
+        quoted = np.array(['"' in c or "«" in c for c in clauses], np.int64)[clause] * (1 - json)  # JSON quotes all
+        n6, n4 = np.minimum(n, 6), np.minimum(n, 4)
+        short = many <= 3  # a refusal is short; how its words begin carries over to words never seen
+        fixed = [np.full(len(n), _h("b")), _E[echo], _M[match], _Q[quoted], _FIRST[first], _ONLY[(many > 1) * 1], _N[n6], _EN[echo, n6], _MN[match, n4], _EM[echo, match]]
+        begins = np.minimum(n, 12)
+        long = len(fixed) + 2 * n - 1 + short * (begins + 2 * n + n4 + 3)
+        start = np.cumsum(long) - long
+        out = np.empty(int(long.sum()), np.int32)
+        for k, f in enumerate(fixed):
+            out[start + k] = f
+        at = start + len(fixed)
+        out[at[owner] + place] = words.ids.take(quoted[owner] * words.ids.shape[1] + w)
+        at = at + n
+        two = np.flatnonzero(place[1:] > 0)
+        a, b = w[two], w[two + 1]
+        space = joined_crc(joined_crc(zlib.crc32(b"w"), words.crc, words.size), np.full(len(words.crc), zlib.crc32(b" "), np.uint32), np.ones(len(words.crc)))
+        out[at[owner[two]] + place[two]] = _hs(joined_crc(space[a], words.crc[b], words.size[b]))
+        at = at + n - 1
+        in_short = np.flatnonzero(short[owner])
+        o, p, v = owner[in_short], place[in_short], w[in_short]
+        few = p < 12
+        out[at[o[few]] + p[few]] = words.ids[2].take(v[few])
+        at = at + begins
+        out[at[o] + p] = words.ids[3].take(v)
+        out[(at + n)[o] + p] = words.ids[4].take(v)
+        at = at + 2 * n
+        few = p < 4
+        out[at[o[few]] + p[few]] = words.ids[5 + p[few], v[few]]
+        at = (at + n4)[short]
+        rare = np.add.reduceat(~known & words.seldom[w], begin, dtype=np.int64) / np.maximum(1, own)
+        rare = (rare * 4.99).astype(np.int64)[short]
+        out[at], out[at + 1], out[at + 2] = _R[rare], _RN[rare, n6[short], many[short]], _O[(own / n * 4.99).astype(np.int64)[short]]
+        return out, long
+
+    def _languages(self, messages: tuple[np.ndarray, ...], clauses: tuple[np.ndarray, ...]) -> tuple[list[str | None], list[str | None]]:
+        """Languages of messages, and of clauses, given as `_numbered` has them."""
+        words, told = self.words, []
+        for w, of_text, clause in (messages, clauses):
+            text, many = np.repeat(np.arange(len(of_text)), of_text), words.many[w]
+            if (many == 1).all():
+                told.append(self.languages.runs(words.letters[words.begin[w]], clause, text))
+            else:
+                told.append(self.languages.runs(words.letters[_spans(words.begin[w], many)], np.repeat(clause, many), np.repeat(text, many)))
+        own, n, p = told[1]
+        out: list[str | None] = [None] * len(clauses[1])
         size: dict[int, int] = {}
-        for o, k, b, t in zip(own.tolist(), n.tolist(), list(best), list(top)):
-            if t < 0.9 or k < 2:
-                continue
+        best, top = (p.argmax(1), p.max(1)) if len(p) else (own, own)
+        sure = np.flatnonzero((top >= 0.9) & (n >= 2))
+        for o, k, b in zip(own[sure].tolist(), n[sure].tolist(), best[sure].tolist()):
             x = LANGS[b]
             if out[o] is None:
                 out[o], size[o] = x, k
@@ -273,34 +406,91 @@ class PairTagger:
                 out[o] = "rw_mixed"
             elif k > size[o]:
                 out[o], size[o] = x, k
-        return of_messages, dict(zip(flat, out))
-
-    def _ending(self, clause: str, response: str, ws: list[str]) -> list[str]:
-        end = response.rstrip()
-        if end.endswith(":)"):
-            end = end[:-2].rstrip()
-        tail = end[-1:]
-        body = end.rstrip(")\"'*_` ]}")
-        opened = end.count("{") > end.count("}") or end.count("[") > end.count("]") or end.count("```") % 2 == 1 or end.count("(") > end.count(")")
-        marked = end.count("**") % 2 == 1 or end.count('"') % 2 == 1
-        if opened or marked:
-            return ["END", "ENDopen", f"ENDopen{int(opened)}{int(marked)}"]
-        if tail in ",:;":
-            return ["END", "ENDcomma"]
-        if body[-1:] in (".", "!", "?") or not (body[-1:].isalnum()):
-            return ["END", "ENDstop"]
-        if _ITEM.match(clause):
+        return [x for x, _ in self.languages.told(*told[0], len(messages[1]))], out
+
+    def _endings(self, rows: list[tuple[str, str]], split: list[list[str]], spelled: np.ndarray, count: np.ndarray, of_clause: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of the end of each row that has clauses, and their number."""
+        words, names = self.words, list(self.words)
+        total, final, few = self.total, self.final, self.few
+        last = of_clause[np.cumsum(sizes, dtype=np.int64)[sizes > 0] - 1]
+        many, end_at = count[last], np.cumsum(count)[last]
+        ones, twos, lengths = spelled[end_at - 1].tolist(), spelled[end_at - 2].tolist(), many.tolist()
+        ids: list[list[int]] = []
+        told: dict[str, list[int]] = {}
+        upper, bucket, at = [], [], []  # of those that end on a word, after three others at least
+        for k, (i, one, many_words) in enumerate(zip(np.flatnonzero(sizes).tolist(), ones, lengths)):
+            end = rows[i][1].rstrip()
+            if end.endswith(":)"):
+                end = end[:-2].rstrip()
+            body = end.rstrip(")\"'*_` ]}")
+            times = end.count
+            kind = "stop"
+            marked = '"' in end and times('"') % 2 == 1 or "**" in end and times("**") % 2 == 1
+            if "{" in end and times("{") > times("}") or "[" in end and times("[") > times("]") or "```" in end and times("```") % 2 == 1 or "(" in end and times("(") > times(")"):
+                kind = f"open1{int(marked)}"
+            elif marked:
+                kind = "open01"
+            elif end[-1:] in ",:;":
+                kind = "comma"
+            elif body[-1:].isalnum():
+                kind = "item" if _ITEM.match(split[i][-1]) else "word"
+            if kind == "word" and many_words > 3:
+                one = names[one]
+                two = f"{names[twos[k]]} {one}"
+                n = total.get(two, 0)
+                at.append(k)
+                upper.append(body[-len(one) :][:1].isupper())
+                bucket.append(0 if n < few else BUCKETS.index(_bucket(final.get(two, 0), n, few)))
+                ids.append([])
+            elif kind in ("item", "word"):
+                ids.append(self._end(kind, [names[w] for w in spelled[end_at[k] - many_words : end_at[k]].tolist()], body))
+            else:
+                ids.append(told.get(kind) or told.setdefault(kind, self._end(kind, [], body)))
+        long = np.array([len(x) for x in ids], np.int64)
+        if not at:
+            return np.fromiter((x for y in ids for x in y), np.int32), long
+        n = many[at]
+        to = end_at[at]
+        tail = np.stack([*(spelled[np.maximum(0, to - k)] for k in range(1, 6)), spelled[to - n]])
+        two, cap = np.array(bucket), np.array(upper, np.int64)
+        crc, size = words.crc, words.size
+        after = lambda x, k: joined_crc(zlib.crc32(x.encode()) if isinstance(x, str) else x, crc[tail[k]], size[tail[k]])
+        mark = lambda x, c: joined_crc(x, np.full(len(n), zlib.crc32(c), np.uint32), np.ones(len(n)))
+        one = words.bucket[tail[0]]
+        columns = [np.full(len(n), _h("END")), np.full(len(n), _h("ENDword")), _END1[one], _END2[two], _ENDNEW[words.new[tail[0]] * 1, cap]]
+        columns += [_hs(after(f"END-{k + 1}", k)) for k in range(5)]
+        columns += [_hs(after(mark(after("END23", 2), b" "), 1)), _hs(after(mark(after("END34", 3), b" "), 2)), _hs(after(_ENDB[one], 2))]
+        start = after("ENDf", 5)
+        five = n > 5
+        columns += [_hs(np.where(five, joined_crc(start, np.full(len(n), zlib.crc32(b"True"), np.uint32), np.full(len(n), 4)), joined_crc(start, np.full(len(n), zlib.crc32(b"False"), np.uint32), np.full(len(n), 5))))]
+        columns += [_ENDL[np.minimum(n, 9)], _hs(after(mark(start, b"-"), 2))]
+        table = np.stack(columns, axis=1).astype(np.int32)
+        keep = np.ones(table.shape, bool)
+        keep[:, 9] = n > 4
+        long[at] = keep.sum(1)
+        begin = np.cumsum(long) - long
+        out = np.empty(int(long.sum()), np.int32)
+        out[_spans(begin[at], long[at])] = table[keep]
+        others = [k for k, x in enumerate(ids) if x]
+        out[_spans(begin[others], long[others])] = [x for y in ids for x in y]
+        return out, long
+
+    def _end(self, kind: str, ws: list[str], body: str) -> list[int]:
+        if kind == "item":
             new = ws[-1] not in self.total
-            return ["END", "ENDitem", f"ENDitemnew{new}", f"ENDitem{min(len(ws), 5)}{new}"]
-        f = ["END", "ENDword"]
-        one, two = ws[-1], " ".join(ws[-2:])
-        f.append(f"END1{_bucket(self.final.get(one, 0), self.total.get(one, 0), self.few)}")
-        f.append(f"END2{_bucket(self.final.get(two, 0), self.total.get(two, 0), self.few)}")
-        f.append(f"ENDnew{one not in self.total}{body[-len(one):][:1].isupper()}")
-        f += [f"END-{k}{ws[-k]}" for k in (1, 2, 3, 4, 5) if len(ws) >= k]
-        f += [f"END23{' '.join(ws[-3:-1])}", f"END34{' '.join(ws[-4:-2])}", f"END{_bucket(self.final.get(one, 0), self.total.get(one, 0), self.few)}{ws[-3] if len(ws) > 2 else ''}"]
-        f += [f"ENDf{ws[0]}{len(ws) > 5}", f"ENDl{min(len(ws), 9)}", f"ENDf{ws[0]}-{ws[-3] if len(ws) > 3 else ''}"]
-        return f
+            f = ["END", "ENDitem", f"ENDitemnew{new}", f"ENDitem{min(len(ws), 5)}{new}"]
+        elif kind == "word":
+            f = ["END", "ENDword"]
+            one, two = ws[-1], " ".join(ws[-2:])
+            told = _bucket(self.final.get(one, 0), self.total.get(one, 0), self.few)
+            f += [f"END1{told}", f"END2{_bucket(self.final.get(two, 0), self.total.get(two, 0), self.few)}"]
+            f.append(f"ENDnew{one not in self.total}{body[-len(one):][:1].isupper()}")
+            f += [f"END-{k}{ws[-k]}" for k in (1, 2, 3, 4, 5) if len(ws) >= k]
+            f += [f"END23{' '.join(ws[-3:-1])}", f"END34{' '.join(ws[-4:-2])}", f"END{told}{ws[-3] if len(ws) > 2 else ''}"]
+            f += [f"ENDf{ws[0]}{len(ws) > 5}", f"ENDl{min(len(ws), 9)}", f"ENDf{ws[0]}-{ws[-3] if len(ws) > 3 else ''}"]
+        else:
+            f = ["END", "ENDopen", f"END{kind}"] if kind.startswith("open") else ["END", f"END{kind}"]
+        return [_h(x) for x in f]
 
     # ---- training
 
@@ -313,27 +503,30 @@ class PairTagger:
         for (m, r), x, a in zip(pairs, langs, asks):
             cs = self.clauses(r)
             low = r.lower()
-            plain = [c for c in cs if not (_REFUSING.search(c) and '"' not in c)] if any(x in low for x in _REFUSING_PARTS) else cs
-            mw, rw = set(_WORD.findall(m.lower())), _WORD.findall(r.lower())
-            if not cs or len(cs) > self.cfg.max_clauses or not x or not a or len(plain) < len(cs) or sum(w in mw for w in rw) > 0.7 * len(rw):
+            plain = [c for c in cs if not (_REFUSING.search(c) and '"' not in c)] if any(map(low.__contains__, _REFUSING_PARTS)) else cs
+            mw, rw = set(_words(m)), _words(r)
+            if not cs or len(cs) > self.cfg.max_clauses or not x or not a or len(plain) < len(cs) or sum(map(mw.__contains__, rw)) > 0.7 * len(rw):
                 continue
             by.setdefault(x, []).append(r)
             if x == a and (r.rstrip()[-1:] in ".!?}" or _WHOLE_LIST.search(r.rstrip())):
-                good.append((m, r, x))
+                good.append((m, r, x, cs))
         made: list[tuple[str, str, list[int], list[str]]] = []
 
-        def add(m: str, r: str, tag: int, last: int | None = None) -> None:
-            cs = self.clauses(r)
+        def add(m: str, r: str, tag: int, last: int | None = None, cs: list[str] | None = None) -> None:
+            cs = self.clauses(r) if cs is None else cs
             if cs:
                 made.append((m, r, [tag] * (len(cs) - 1) + [tag if last is None else last], cs))
 
-        words = sorted({w for m, _, _ in good for w in _WORD.findall(m.lower()) if len(w) > 3})
-        for i, (m, r, x) in enumerate(good):
-            add(m, r, ANSWER)
+        words = sorted({w for m, *_ in good for w in _words(m) if len(w) > 3})
+        for i, (m, r, x, cs) in enumerate(good):
+            add(m, r, ANSWER, cs=cs)
             stem = r.rstrip()
             if stem[-1:] in ".!?":
-                add(m, stem[:-1], ANSWER)
-                sentence = self.clauses(stem)[-1]
+                sentence = cs[-1]
+                # where it is the end of the text, what is cut off it leaves the clauses before as they are
+                before = cs[:-1] if len(sentence) > 1 and stem.endswith(sentence) else None
+                end = len(stem) - len(sentence)
+                add(m, stem[:-1], ANSWER, cs=None if before is None else [*before, sentence[:-1]])
                 if len(sentence) > 20:
                     for _ in range(2):
                         at = rng.randrange(4, len(sentence) - 3)
@@ -341,8 +534,9 @@ class PairTagger:
                             short = stem[: len(stem) - len(sentence)] + sentence[:at]
                             if rng.random() < 0.5:  # at a word's end
                                 short = short.rsplit(" ", 1)[0]
-                            if short.rstrip()[-1:].isalnum():
-                                add(m, short.rstrip(), ANSWER, UNFINISHED)
+                            short = short.rstrip()
+                            if short[-1:].isalnum():
+                                add(m, short, ANSWER, UNFINISHED, cs=None if before is None or len(short) <= end else [*before, short[end:]])
             elif stem[-1:] == "}":
                 add(m, stem[: rng.randrange(len(stem) // 2, len(stem))], ANSWER, UNFINISHED)
             elif len(stem.rsplit(" ", 1)[-1]) > 5:  # a list cut within its last word, or after a comma
@@ -350,7 +544,7 @@ class PairTagger:
                 add(m, stem + rng.choice([",", ":"]), ANSWER, UNFINISHED)
             if i % 3 == 0:
                 self._add_copy(add, made, rng, m, r, words)
-            if i % 3 == 1 and not any(p.search(m) for p in _ASKED.values()):
+            if i % 3 == 1 and not _asked(m):
                 other = [y for y in by if y not in (x, "rw_mixed")]
                 if other and x != "rw_mixed":
                     y = rng.choice(other)
@@ -374,7 +568,7 @@ class PairTagger:
                     if rng.random() < 0.5:
                         add(m, rng.choice(YES_NO[x].split("|")).format(t=names[-1]), ANSWER)
         for x, (a, b, c) in REFUSALS.items():  # every stock phrase a few times, however rare its language is in the sample
-            asked = [m for m, _, y in good if y == x]
+            asked = [m for m, _, y, _ in good if y == x]
             for core in b.split("|") if asked else ():
                 for _ in range(4):
                     m = rng.choice(asked)
@@ -404,23 +598,13 @@ class PairTagger:
             return
         add(m, text, ECHO)
 
-    def _padded(self, ids: list[int], starts: list[int], sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        flat, at = np.array(ids, np.int64), np.array(starts, np.int64)
-        size = np.array(sizes, np.int64)
-        row = np.repeat(np.arange(len(size)), size)
-        place = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
-        return flat, at, row, place
-
-    def _scores(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(self.node[flat], at, axis=0)
-
     def _prepared(self, made: list[tuple[str, str, list[int], list[str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Feature ids, features of each clause, clauses of each row, tag of each clause."""
-        ids, starts, sizes, _ = self.features([x[:2] for x in made], [x[3] for x in made])
+        ids, long, sizes, _ = self.features([x[:2] for x in made], [x[3] for x in made])
         gold = np.array([t for x in made for t in x[2]], np.int8)
-        if len(gold) != len(starts):
+        if len(gold) != len(long):
             raise ValueError("clauses and tags differ")
-        return np.array(ids, np.int32), np.diff(np.append(starts, len(ids))).astype(np.int32), np.array(sizes, np.int32), gold
+        return ids, long, sizes, gold
 
     def _train(self, pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], epochs: int) -> np.ndarray:
         """Stochastic maximum likelihood: steps of Adam over shards of the pairs, with forward and backward sums. How often
@@ -428,99 +612,109 @@ class PairTagger:
         c, k = self.cfg, len(TAGS)
         ids, long, sizes, gold = (np.concatenate(x) for x in zip(*pieces))
         begin, head = np.cumsum(long, dtype=np.int64) - long, np.cumsum(sizes, dtype=np.int64) - sizes
+        uses = np.bincount(ids, minlength=1 << BITS)
+        used = np.flatnonzero(uses)
+        number = np.cumsum(uses > 0) - 1
         shards = []
         for part in np.array_split(np.random.default_rng(c.seed).permutation(len(sizes)), max(1, len(sizes) // c.shard)):
-            of = _spans(head[part], sizes[part])
+            of, rows = _by_place(head[part], sizes[part])
             n = long[of].astype(np.int64)
-            m = sizes[part].astype(np.int64)
-            row = np.repeat(np.arange(len(part)), m)
-            place = np.arange(len(of)) - np.repeat(np.cumsum(m) - m, m)
-            shards.append((ids[_spans(begin[of], n)], np.cumsum(n) - n, row, place, gold[of].astype(np.int64), len(part), int(m.max())))
-        uses = np.bincount(ids, minlength=1 << BITS)
-        del ids
-        used = np.flatnonzero(uses)
+            tags = gold[of].astype(np.int64)
+            steps = np.zeros((k, k))
+            at = 0
+            for m, then in zip(rows, rows[1:]):
+                np.add.at(steps, (tags[at : at + then], tags[at + m : at + m + then]), 1)
+                at += m
+            shards.append((number[ids[_spans(begin[of], n)]], n, rows, tags, steps))
+        del ids, number
         params = [np.zeros((len(used), k)), np.zeros((k, k))]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        number = np.cumsum(uses > 0) - 1
         t, last = 0, epochs * len(shards)
         for _ in range(epochs):
-            for flat, *rest in shards:
+            for shard in shards:
                 t += 1
-                grads = self._gradients(params, number[flat], *rest)
+                grads = self._gradients(params, *shard)
                 rate = c.rate * (1 - t / (last + 1)) + 0.005
-                for p, g, a, b in zip(params, grads, first, second):
-                    g = g + c.l2 * p
-                    a += 0.1 * (g - a)
-                    b += 0.01 * (g * g - b)
-                    p -= rate * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.99**t)) + 1e-6)
+                for p, g, a, b in zip(params, grads, first, second):  # in place: these are the large arrays
+                    g += c.l2 * p
+                    a *= 0.9
+                    a += 0.1 * g
+                    b *= 0.99
+                    g *= g
+                    g *= 0.01
+                    b += g
+                    np.multiply(b, 1 / (1 - 0.99**t), out=g)
+                    np.sqrt(g, out=g)
+                    g += 1e-6
+                    np.divide(a, g, out=g)
+                    g *= rate / (1 - 0.9**t)
+                    p -= g
         self.node[used] = params[0]
         self.step = params[1].astype(np.float32)
         return uses
 
     @staticmethod
-    def _gradients(params: list[np.ndarray], flat: np.ndarray, at: np.ndarray, row: np.ndarray, place: np.ndarray, gold: np.ndarray, n: int, longest: int) -> list[np.ndarray]:
+    def _gradients(params: list[np.ndarray], flat: np.ndarray, long: np.ndarray, rows: list[int], gold: np.ndarray, steps: np.ndarray) -> list[np.ndarray]:
+        """Of a shard whose clauses stand by their place, of rows with more clauses first: rows[j] have a clause at place j.
+        Forward and backward are shares of each place's sum, so they neither vanish nor overflow."""
         (w, step), k = params, len(TAGS)
-        mask = np.zeros((n, longest), bool)
-        mask[row, place] = True
-        score = np.zeros((n, longest, k))
-        score[row, place] = np.add.reduceat(w[flat], at, axis=0)
-        alpha, beta = np.zeros((n, longest, k)), np.zeros((n, longest, k))
-        alpha[:, 0] = score[:, 0]
-        for j in range(1, longest):
-            alpha[:, j] = np.where(mask[:, j, None], _lse(alpha[:, j - 1, :, None] + step, 1) + score[:, j], alpha[:, j - 1])
-        for j in range(longest - 2, -1, -1):
-            beta[:, j] = np.where(mask[:, j + 1, None], _lse(step + (score[:, j + 1] + beta[:, j + 1])[:, None, :], 2), 0.0)
-        z = _lse(alpha[:, -1], 1)
-        diff = np.exp(alpha + beta - z[:, None, None])[row, place] - np.eye(k)[gold]
-        owner = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(flat))))
-        node = np.stack([np.bincount(flat, weights=diff[owner, y], minlength=len(w)) for y in range(k)], axis=1)
-        same = row[1:] == row[:-1]
-        steps = np.zeros((k, k))
-        np.add.at(steps, (gold[:-1][same], gold[1:][same]), -1)
-        joint = alpha[:, :-1, :, None] + step + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]
-        steps += np.exp(joint[mask[:, 1:]]).sum(0)
-        return [node / n, steps / n]
+        score = np.add.reduceat(w.take(flat, axis=0), np.cumsum(long) - long, axis=0)
+        score -= np.maximum.reduce(score.T)[:, None]
+        x = np.exp(score, out=score)
+        go, ones = np.exp(step - step.max()), np.ones((k, k))  # by ones: a row's sum in each of its columns
+        at = np.cumsum([0, *rows]).tolist()
+        alpha, beta = np.empty_like(x), np.ones_like(x)
+        np.divide(x[: rows[0]], x[: rows[0]] @ ones, out=alpha[: rows[0]])
+        for i, j, m in zip(at, at[1:], rows[1:]):
+            a = alpha[i : i + m] @ go
+            a *= x[j : j + m]
+            np.divide(a, a @ ones, out=alpha[j : j + m])
+        for i, j, m in zip(at[-3::-1], at[-2::-1], rows[:0:-1]):
+            x[j : j + m] *= beta[j : j + m]
+            b = x[j : j + m] @ go.T
+            np.divide(b, b @ ones, out=beta[i : i + m])
+        later = x[at[1] :]  # of places after the first, with what follows
+        before = alpha[np.concatenate([np.arange(i, i + m) for i, m in zip(at, rows[1:])] or [at[:0]]).astype(np.int64)]
+        joint = before.T @ (later / ((before * (later @ go.T)) @ ones))
+        alpha *= beta
+        alpha /= alpha @ ones
+        alpha[np.arange(len(gold)), gold] -= 1
+        alpha /= rows[0]
+        node = np.empty_like(w)
+        for y in range(k):
+            node[:, y] = np.bincount(flat, weights=np.repeat(alpha[:, y], long), minlength=len(w))
+        return [node, (joint * go - steps) / rows[0]]
 
     # ---- tagging
 
     def tags(self, rows: list[tuple[str, str]]) -> list[list[tuple[int, int]]]:
         """(tag, words) of each clause of plain (message, response) rows, by Viterbi over all rows at once."""
-        ids, starts, sizes, words = self.features(rows)
-        if not ids:
+        ids, long, sizes, words = self.features(rows)
+        if not len(ids):
             return [[] for _ in rows]
-        flat, at, row, place = self._padded(ids, starts, sizes)
-        scores = self._scores(flat, at)
-        order = np.argsort(-np.array(sizes), kind="stable")  # long rows first: step j concerns a shrinking head
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        lengths = np.array(sizes)[order]
-        longest = int(lengths[0])
-        by_place = np.argsort(place, kind="stable")
-        bounds = np.searchsorted(place[by_place], np.arange(longest + 1))
-        best = np.zeros((len(rows), len(TAGS)), np.float32)
-        back: list[tuple[np.ndarray, np.ndarray]] = []
-        for j in range(longest):
-            here = by_place[bounds[j] : bounds[j + 1]]
-            r = rank[row[here]]
-            if j == 0:
-                best[r] = scores[here]
-                back.append((r, np.zeros((len(r), len(TAGS)), np.int8)))
-            else:
-                options = best[r][:, :, None] + self.step
-                back.append((r, options.argmax(1).astype(np.int8)))
-                best[r] = options.max(1) + scores[here]
-        path = [[0] * n for n in lengths.tolist()]
+        long = long.astype(np.int64)
+        scores = np.add.reduceat(self.node.take(ids, axis=0), np.cumsum(long) - long, axis=0)
+        of, many = _by_place(np.cumsum(sizes, dtype=np.int64) - sizes, sizes)
+        scores = scores[of]  # long rows first: step j concerns a shrinking head
+        at = np.cumsum([0, *many])
+        best = np.zeros((many[0], len(TAGS)), np.float32)
+        back: list[np.ndarray] = []
+        for j, m in enumerate(many):
+            if j:
+                options = best[:m, :, None] + self.step
+                back.append(options.argmax(1).astype(np.int8))
+                best[:m] = options.max(1)
+            best[:m] += scores[at[j] : at[j] + m]
         state = best.argmax(1)
-        for j in range(longest - 1, -1, -1):
-            r, b = back[j]
-            for i, x in zip(r.tolist(), range(len(r))):
-                path[i][j] = int(state[i])
-                state[i] = b[x, state[i]]
-        out, k = [], 0
-        for i, n in enumerate(sizes):
-            out.append(list(zip(path[rank[i]], words[k : k + n])))
-            k += n
-        return out
+        path = np.empty(len(of), np.int8)
+        for j in range(len(many) - 1, -1, -1):
+            m = many[j]
+            path[of[at[j] : at[j] + m]] = state[:m]
+            if j:
+                state[:m] = back[j - 1][np.arange(m), state[:m]]
+        told = list(zip(path.tolist(), words.tolist()))
+        ends = np.cumsum(sizes, dtype=np.int64).tolist()
+        return [told[a:b] for a, b in zip([0, *ends], ends)]
 
     def defect(self, clauses: list[tuple[int, int]]) -> str | None:
         """The defect of a pair from the words its tags cover."""
@@ -543,9 +737,62 @@ class PairTagger:
 _ASKED = {x: re.compile(rf"(?i)(?<!\w)(?:{names})(?!\w)") for x, names in ASKED.items()}
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)
+# Ids of features that few values spell
+_E, _M, _Q, _FIRST, _ONLY = _grid([f"e{i}" for i in range(6)]), _grid(MATCH := ["m?", "m=", "masked", "mmixed", "m#"]), _grid(["qFalse", "qTrue"]), _grid(["later", "first"]), _grid(["only", "many"])
+_N, _EN = _grid([f"n{i}" for i in range(7)]), _grid([f"e{i}n" for i in range(6)], range(7))
+_MN, _EM = _grid([f"{m}n" for m in MATCH], range(5)), _grid([f"e{i}" for i in range(6)], MATCH)
+_R, _RN, _O = _grid([f"r{i}" for i in range(5)]), _grid([f"r{i}" for i in range(5)], range(7), range(4)), _grid([f"o{i}" for i in range(5)])
+_END1, _END2, _ENDL = _grid(["END1"], BUCKETS)[0], _grid(["END2"], BUCKETS)[0], _grid(["ENDl"], range(10))[0]
+_ENDNEW, _ENDB = _grid(["ENDnewFalse", "ENDnewTrue"], [False, True]), np.array([zlib.crc32(f"END{b}".encode()) for b in BUCKETS], np.uint32)
+
+
+#: In lower case every name of a language holds one of these
+_STEMS = ("rwand", "engl", "ereza", "angla", "fren", "fran", "fara", "swah", "sway")
+
+
+def _asked(message: str) -> list[str]:
+    if message.isascii() and not any(map(message.lower().__contains__, _STEMS)):
+        return []
+    return [x for x, names in _ASKED.items() if names.search(message)]
+
+
+def _among(keys: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Whether keys are among the sorted `own`."""
+    return own[np.minimum(np.searchsorted(own, keys), len(own) - 1)] == keys if len(own) else np.zeros(len(keys), bool)
+
+
+def _shared(w: np.ndarray, message: np.ndarray, place: np.ndarray, n: np.ndarray, has: np.ndarray, length: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """For words of clauses, with their message, place and the clause's length: whether the message holds the word, and
+    whether the word lies in three in a row that the message holds in a row."""
+    whose = np.repeat(np.arange(len(length)), length)
+    own = np.sort(whose * words + has)
+    key = message * words + w
+    marks = np.zeros(1 << 21, bool)  # most words are in no message: only those that may be are looked up
+    marks[own * 0x9E3779B1 >> 9 & 0x1FFFFF] = True
+    maybe = np.flatnonzero(marks[key * 0x9E3779B1 >> 9 & 0x1FFFFF])
+    known = np.zeros(len(w), bool)
+    known[maybe] = _among(key[maybe], own)
+    held = np.zeros(len(w), bool)
+    begin = np.flatnonzero(known[:-2] & known[1:-1] & known[2:] & (place + 2 < n)[:-2])
+    inside = np.flatnonzero((np.arange(len(has)) - np.repeat(np.cumsum(length) - length, length) + 2 < np.repeat(length, length)))
+    if len(begin) and len(inside):
+        name = np.concatenate([has[inside], w[begin]])
+        for of in ((has, w, 1), (has, w, 2)):
+            name = np.unique(name * words + np.concatenate([of[0][inside + of[2]], of[1][begin + of[2]]]), return_inverse=True)[1]
+        name = np.concatenate([whose[inside], message[begin]]) * (int(name.max()) + 1) + name
+        begin = begin[_among(name[len(inside) :], np.sort(name[: len(inside)]))]
+        for k in range(3):
+            held[begin + k] = True
+    return known, held
+
+
+def _by_place(head: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The clauses of rows, given by each row's first and their number: those at the first place, at the second and so on,
+    rows with more clauses first; and how many have that place."""
+    order = np.argsort(-sizes.astype(np.int64), kind="stable")
+    head, sizes = head[order], sizes[order]
+    rows = [int((sizes > j).sum()) for j in range(int(sizes[0]))] if len(sizes) else []
+    return np.concatenate([head[:m] + j for j, m in enumerate(rows)]) if rows else np.zeros(0, np.int64), rows
 
 
 def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -556,17 +803,25 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def count_endings(responses: Iterable[str]) -> tuple[Counter, Counter]:
     """How often words, and pairs of words, stand at all, and how often they end a sentence."""
-    total, final = Counter(), Counter()
-    for r in responses:
-        for s in _CUT.split(r):
-            ws = [w.lower() for w in _WORD.findall(s)]
-            total.update(ws)
-            total.update([f"{a} {b}" for a, b in zip(ws, ws[1:])])
-            if ws and s.rstrip(" )\"'")[-1:] in (".", "!", "?"):
-                final[ws[-1]] += 1
-                if len(ws) > 1:
-                    final[f"{ws[-2]} {ws[-1]}"] += 1
-    return total, final
+    parts = [s for r in responses for s in _sentences(r)]
+    numbers = _Numbers()
+    spelled, many, _ = words_of(parts, LETTER_OR_DIGIT)
+    w = np.fromiter(map(numbers.__getitem__, map(str.lower, spelled)), np.int64, len(spelled))
+    names, n = list(numbers), len(numbers)
+    inner = np.ones(len(w), bool)
+    inner[np.cumsum(many)[many > 0] - 1] = False
+    inner = np.flatnonzero(inner)
+    stop = np.array([s.rstrip(" )\"'").endswith((".", "!", "?")) for s in parts], bool)
+    ends, ends_two = np.cumsum(many)[stop & (many > 0)] - 1, np.cumsum(many)[stop & (many > 1)] - 1
+
+    def counts(one: np.ndarray, two: np.ndarray) -> Counter:
+        ones = np.bincount(one, minlength=n)
+        keys, times = np.unique(two, return_counts=True)
+        told = Counter({names[i]: k for i, k in enumerate(ones.tolist()) if k})
+        told.update({f"{names[i]} {names[j]}": k for i, j, k in zip((keys // n).tolist(), (keys % n).tolist(), times.tolist())})
+        return told
+
+    return counts(w, w[inner] * n + w[inner + 1]), counts(w[ends], w[ends_two - 1] * n + w[ends_two])
 
 
 def least_count(n: int) -> int:
@@ -574,10 +829,21 @@ def least_count(n: int) -> int:
     return max(2, -(-n // 1500))
 
 
-def _plain(prompts: pa.Array, responses: pa.Array) -> list[tuple[str, str]]:
-    """Those of the rows that pairs are made from, in plain form."""
-    told = [(last_message(p), form(r, True)) for p, r in zip(prompts.to_pylist(), responses.to_pylist())]
-    return [(m, r) for m, r in told if m and not is_empty(r)]
+def plain_pairs(pairs: DataFrame, key: str, prompt: str, response: str) -> DataFrame:
+    """<key>, _h (hash of the key), _row (hash of the row), _m (last user message in plain form, empty where there is none) and _r
+    (response in plain form, null where it is empty) of each row."""
+    raw = pairs.select(F.col(key), F.xxhash64(key).alias("_h"), F.col(prompt).alias("_p"), F.col(response).alias("_r")).withColumn("_row", F.xxhash64("_h", "_p", "_r"))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, len(whole), 2000):
+                batch = whole.slice(start, 2000)
+                responses = [None if x is None else _form(x) for x in batch.column(3).to_pylist()]
+                responses = [None if is_empty(x) else x for x in responses]
+                messages = ["" if x is None else last_message(p) for p, x in zip(batch.column(2).to_pylist(), responses)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(4), pa.array(messages, pa.string()), pa.array(responses, pa.string())], [key, "_h", "_row", "_m", "_r"])
+
+    return raw.mapInArrow(plain, f"`{key}` {dict(pairs.select(key).dtypes)[key]}, _h long, _row long, _m string, _r string")
 
 
 #: Steps of a whole unit in which weights are summed, as whole numbers, so that the order of the sum doesn't matter
@@ -586,8 +852,15 @@ UNIT = 1 << 20
 
 def fit(pairs: DataFrame, key: str, prompt: str, response: str, languages: LanguageModel, cfg: PairConfig = PairConfig()) -> PairTagger:
     """Train on pairs made from all rows: counts as an aggregate, blocks of pieces in tasks, the mean of their weights."""
-    spark = pairs.sparkSession
-    rows = pairs.select(F.xxhash64(key).alias("_h"), F.col(key).alias("_k"), F.col(prompt).alias("_p"), F.col(response).alias("_r")).dropna(subset=["_p", "_r"])
+    plain = stage(plain_pairs(pairs, key, prompt, response), "pairs")
+    tagger = _fit(plain, key, languages, cfg)
+    release(plain)
+    return tagger
+
+
+def _fit(plain: DataFrame, key: str, languages: LanguageModel, cfg: PairConfig) -> PairTagger:
+    spark = plain.sparkSession
+    rows = plain.filter("_m <> '' AND _r IS NOT NULL")
     tagger = PairTagger([], languages, cfg)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -602,17 +875,16 @@ def fit(pairs: DataFrame, key: str, prompt: str, response: str, languages: Langu
 
         for whole in batches:
             for start in range(0, len(whole), 2000):
-                batch = whole.slice(start, 2000)
-                plain = _plain(batch.column(0), batch.column(1))
-                n += len(plain)
-                for known, new in zip((total, final), count_endings(r for _, r in plain)):
+                responses = whole.column(0).slice(start, 2000).to_pylist()
+                n += len(responses)
+                for known, new in zip((total, final), count_endings(responses)):
                     known.update(new)
                 if len(total) > 300_000:
                     yield out()
                     n = 0
         yield out()
 
-    counted = rows.select("_p", "_r").mapInArrow(count, "gram string, total long, final long").groupBy("gram").agg(F.sum("total").alias("total"), F.sum("final").alias("final"))
+    counted = rows.select("_r").mapInArrow(count, "gram string, total long, final long").groupBy("gram").agg(F.sum("total").alias("total"), F.sum("final").alias("final"))
     counted = stage(counted, "grams")
     n = sum(r["total"] for r in counted.filter("gram = ''").collect())
     if not n:
@@ -645,24 +917,28 @@ def fit(pairs: DataFrame, key: str, prompt: str, response: str, languages: Langu
             ids = np.concatenate([used, -1 - np.arange(len(TAGS))]).astype(np.int32)
             return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n.astype(np.int64)), *(pa.array(np.ascontiguousarray(x)) for x in w.T)], ["id", "n", *TAGS])
 
-        for whole in batches:  # in the order of pieces
-            for start in range(0, len(whole), 1000):
-                batch = whole.slice(start, 1000)
-                piece = batch.column(0).to_numpy()
-                for a, b in zip(edges := [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)], edges[1:]):
-                    if held and (piece[a] != at or len(held) >= 2 * cfg.piece):  # beyond twice its size only where rows repeat
-                        prepare()
-                        if len(ready) >= 2 * cfg.block:
-                            yield weights()
-                    at = int(piece[a])
-                    held += _plain(batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a))
-        if held:
-            prepare()
-        if ready:
-            yield weights()
-
-    placed = rows.withColumn("_piece", F.pmod(F.xxhash64("_h", "_p", "_r"), F.lit(pieces)).cast("int"))
-    placed = placed.repartitionById(blocks, F.col("_piece") % blocks).sortWithinPartitions("_piece", "_h", "_k", "_p", "_r").select("_piece", "_p", "_r")
+        gc.disable()  # nothing here is cyclic, and looking for cycles among so many small lists takes a tenth of the time
+        try:
+            for whole in batches:  # in the order of pieces
+                for start in range(0, len(whole), 1000):
+                    batch = whole.slice(start, 1000)
+                    piece = batch.column(0).to_numpy()
+                    for a, b in zip(edges := [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)], edges[1:]):
+                        if held and (piece[a] != at or len(held) >= 2 * cfg.piece):  # beyond twice its size only where rows repeat
+                            prepare()
+                            if len(ready) >= 2 * cfg.block:
+                                yield weights()
+                        at = int(piece[a])
+                        held += zip(batch.column(1).slice(a, b - a).to_pylist(), batch.column(2).slice(a, b - a).to_pylist())
+            if held:
+                prepare()
+            if ready:
+                yield weights()
+        finally:
+            gc.enable()
+
+    placed = rows.withColumn("_piece", F.pmod("_row", F.lit(pieces)).cast("int"))
+    placed = placed.repartitionById(blocks, F.col("_piece") % blocks).sortWithinPartitions("_piece", "_h", F.col(f"`{key}`"), "_m", "_r").select("_piece", "_m", "_r")
     sums = placed.mapInArrow(train, "id int, n long, " + ", ".join(f"{t} long" for t in TAGS)).groupBy("id").agg(F.sum("n").alias("n"), *[F.sum(t).alias(t) for t in TAGS])
     for r in sums.collect():  # at most as many as there are features
         mean = np.array([r[t] for t in TAGS]) / r["n"] / UNIT
@@ -676,8 +952,18 @@ def fit(pairs: DataFrame, key: str, prompt: str, response: str, languages: Langu
 
 def pair_defects(pairs: DataFrame, key: str, prompt: str, response: str, tagger: PairTagger) -> DataFrame:
     """<key>, defect (null if none), and the share of the response's words under each tag."""
-    shared = pairs.sparkSession.sparkContext.broadcast(tagger)
-    kinds = dict(pairs.select(key).dtypes)
+    return _tagged(plain_pairs(pairs, key, prompt, response), key, tagger)
+
+
+def fit_and_tag(pairs: DataFrame, key: str, prompt: str, response: str, languages: LanguageModel, cfg: PairConfig = PairConfig()) -> DataFrame:
+    """`pair_defects` by a tagger fitted on the same rows, whose plain form is made once."""
+    plain = stage(plain_pairs(pairs, key, prompt, response), "pairs")
+    return _tagged(plain, key, _fit(plain, key, languages, cfg))
+
+
+def _tagged(plain: DataFrame, key: str, tagger: PairTagger) -> DataFrame:
+    shared = plain.sparkSession.sparkContext.broadcast(tagger)
+    kinds = dict(plain.select(key).dtypes)
     schema = f"`{key}` {kinds[key]}, defect string, " + ", ".join(f"{t} double" for t in TAGS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -685,12 +971,9 @@ def pair_defects(pairs: DataFrame, key: str, prompt: str, response: str, tagger:
         for whole in batches:
             for start in range(0, max(1, len(whole)), 2000):
                 batch = whole.slice(start, 2000)
-                prompts, responses = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-                plain = [None if x is None else form(x, True) for x in responses]
-                empty = [is_empty(x) for x in plain]
-                rows = [("", "") if e else (last_message(p), x) for p, x, e in zip(prompts, plain, empty)]
+                rows = [("", "") if r is None else (m, r) for m, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
                 tags = tagger.tags(rows)
-                defect = ["empty" if e else tagger.defect(t) for t, e in zip(tags, empty)]
+                defect = ["empty" if not r else tagger.defect(t) for (_, r), t in zip(rows, tags)]
                 shares = [[0.0] * len(tags) for _ in TAGS]
                 for i, t in enumerate(tags):
                     n = sum(x for _, x in t)
@@ -698,4 +981,4 @@ def pair_defects(pairs: DataFrame, key: str, prompt: str, response: str, tagger:
                         shares[tag][i] += x / n
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(defect, pa.string()), *(pa.array(s, pa.float64()) for s in shares)], [key, "defect", *TAGS])
 
-    return pairs.select(key, prompt, response).mapInArrow(scan, schema)
+    return plain.select(key, "_m", "_r").mapInArrow(scan, schema)

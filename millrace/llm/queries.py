@@ -76,11 +76,9 @@ def p6_labels(spark: SparkSession, d: str) -> DataFrame:
 
 def _defects(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.language import train
-    from millrace.llm.pairs import fit, pair_defects
+    from millrace.llm.pairs import fit_and_tag
 
-    pairs = table(spark, d, "chat_seed_pairs")
-    tagger = fit(pairs, "line_no", "prompt", "response", train(table(spark, d, "lang_samples")))
-    return pair_defects(pairs, "line_no", "prompt", "response", tagger)
+    return fit_and_tag(table(spark, d, "chat_seed_pairs"), "line_no", "prompt", "response", train(table(spark, d, "lang_samples")))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,3 +1,6 @@
+import cProfile
+import pstats
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +118,67 @@ def test_fit_in_blocks(spark, model, tagger):
     assert sum(a[i] != b[i] for i in b) <= 0.005 * len(b)
 
 
+def _spelled(t, message, response, cs, j):
+    """The features of a clause but those of a response's end, spelled one by one."""
+    ws, mw = ([w.lower() for w in pairs._WORD.findall(x)] for x in (cs[j], message))
+    n, c, json, first, many = len(ws), cs[j], response[:1] in "{[", j == 0, len(cs)
+    grams = set(zip(mw, mw[1:], mw[2:]))
+    held = {k for i in range(n - 2) if tuple(ws[i : i + 3]) in grams for k in (i, i + 1, i + 2)}
+    share = 1.0 if n < 3 and set(ws) <= set(mw) else len(held) / n
+    lang = t.languages.label([message])[0][0]
+    own, k, p = t.languages.clauses([c])
+    told, size = None, 0
+    for x, a, b in zip(p.argmax(1), k, p.max(1)):
+        if b >= 0.9 and a >= 2:
+            both = told not in (None, LANGS[x]) and min(a, size) >= 4
+            told, size = ("rw_mixed", size) if both else (LANGS[x], a) if a > size else (told, size)
+    asked = [x for x, names in pairs._ASKED.items() if names.search(message)]
+    m = "m?" if lang in (None, "rw_mixed") or told is None else "m=" if told == lang else "masked" if told in asked else "mmixed" if told == "rw_mixed" else "m#"
+    quoted = ('"' in c or "«" in c) and not json
+    e = f"e{0 if share == 0 else 1 + int(share * 4.99)}"
+    f = ["b", e, m, f"q{quoted}", "first" if first else "later", "only" if many == 1 else "many", f"n{min(n, 6)}", f"{e}n{min(n, 6)}", f"{m}n{min(n, 4)}", f"{e}{m}"]
+    f += [f"q{int(quoted)}w{w}" for w in ws] + [f"w{a} {b}" for a, b in zip(ws, ws[1:])]
+    if many <= 3:
+        out = [w for w in ws if w not in mw]
+        rare = int(sum(t.total.get(w, 0) <= t.seldom for w in out) / max(1, len(out)) * 4.99)
+        f += [f"p{w[:2]}" for w in ws[:12]] + [f"p{w[:3]}" for w in ws] + [f"p{w[:5]}" for w in ws]
+        f += [f"s{i}{w[:3]}" for i, w in enumerate(ws[:4])] + [f"r{rare}", f"r{rare}{min(n, 6)}{many}", f"o{int(len(out) / n * 4.99)}"]
+    return [pairs._h(x) for x in f]
+
+
+def test_features_as_spelled(tagger):
+    """Ids made from numbered words and joined CRCs are those of the features' texts, whatever the script and the words' length."""
+    rows = [
+        ("Ni gute Hepukiroca yafasha abaturanyi gukoresha ikiraro?", RW + " Ntukibagirwe gutunganya imiti mbe"), ("How can the neighbours use the bridge before sunset?", EN + '\nThe neighbours use the bridge "before" noon'),
+        ("a b c", "a b c d. a b c? ..."), ("", "x y"), ("Réponds en français : pourquoi ?", FR), ("İstanbul ΑΣ ß", "İstanbul ΑΣ ß é 3rd 123 a1b2 œuvre. Я не знаю 😊 этого"), ("w" * 300, "q" * 70 + " " + "w" * 300 + " " + "é" * 90),
+        ("m", '{"izina": "' + RW + '", "ibisobanuro": ["' + RW), ("tea", "- tea\n- green tea\n- the bridge of 1999"), ("tea", "Yego (tea"), ("tea", ""), ("tea", "Yego, ni tea :)"), ("tea", "one, two, three, four, five, six, seven"),
+    ]
+    rows += rows[::-1]
+    ids, long, sizes, words = tagger.features(rows)
+    split = [tagger.clauses(r) for _, r in rows]
+    assert sizes.tolist() == [len(x) for x in split] and words.tolist() == [len(pairs._WORD.findall(c)) for cs in split for c in cs]
+    at = k = 0
+    for (m, r), cs in zip(rows, split):
+        for j in range(len(cs)):
+            want, got = _spelled(tagger, m, r, cs, j), ids[at : at + long[k]].tolist()
+            assert got[: len(want)] == want and (len(got) > len(want)) == (j == len(cs) - 1)
+            at, k = at + long[k], k + 1
+    last = ids[long[: sizes[0]].sum() - 17 : long[: sizes[0]].sum()].tolist()  # of a response that breaks off: its last words, one by one
+    assert {pairs._h(x) for x in ("END", "ENDword", "END-1mbe", "END-2imiti", "END-3gutunganya", "END23gutunganya imiti", "END34ntukibagirwe gutunganya", "ENDfntukibagirweFalse", "ENDl4", "ENDfntukibagirwe-gutunganya")} <= set(last)
+
+
+def test_cost(spark, model):
+    """Calls of Python by training and tagging, for a row: they were over 1900 when each feature of each clause was spelled."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/chat_seed_pairs.parquet").select("line_no", "prompt", "response").dropna().orderBy("line_no").collect()
+    plain = [(pairs.last_message(r["prompt"]), form(r["response"], True)) for r in rows]
+    plain = [(m, r) for m, r in plain if m and not is_empty(r)]
+    calls = cProfile.Profile()
+    calls.enable()
+    pairs.PairTagger(plain, model).tags(plain)
+    calls.disable()
+    assert pstats.Stats(calls).total_calls < 700 * len(plain)
+
+
 def test_fit_on_nothing(spark, model):
     empty = spark.createDataFrame([], "line_no long, prompt string, response string")
     tagger = fit(empty, "line_no", "prompt", "response", model)
